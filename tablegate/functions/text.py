@@ -14,4 +14,4 @@ def number_text(column: str | Column, digits: int = 2) -> Column:
 
 def alert_text(name: Column, share: Column, threshold: float) -> Column:
     """``passenger_count_null_or_zero_count: 4.34% > 1% threshold``."""
-    return F.format_string(f"%s: %.2f%%%% > {100 * threshold:g}%%%% threshold", name, share * 100)
+    return F.format_string(f"%s: %.2f%% > {100 * threshold:g}%% threshold", name, share * 100)

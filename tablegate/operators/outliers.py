@@ -4,8 +4,9 @@ The median of all *other* values depends only on the two or three middle values
 whether the row's own value lies below or above them. So one row of order statistics, fetched as a
 scalar subquery, is all each row needs.
 
-The middle values are exact: a quantile sketch brackets them, the rows below the bracket are counted, and
-only the values inside it are put in order. Should a bracket ever miss, the whole range is used instead.
+The middle values are exact. A quantile sketch brackets them; values below and above the bracket are only
+counted, and the values inside it, about a thousandth of all, are put in order. Should the bracket ever
+miss the middle, the query fails instead of guessing.
 """
 
 from __future__ import annotations
@@ -16,45 +17,49 @@ from pyspark.sql import functions as F
 TOLERANCE = 0.5  # fixed value: share of the median a size may deviate
 SKETCH_ACCURACY = 10000
 BRACKET = [0.4995, 0.5005]  # five times the sketch's rank error on either side of the middle
-ORDER_DIRECTLY_BELOW = 100_000
+ORDER_DIRECTLY_UP_TO = 100_000
 
 
-def _middle_values(df: DataFrame, measure: str) -> DataFrame:
-    """One row: n, and the values just below, at and just above the middle position(s).
+def _beside(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:
+    """Put a one-row table beside every row as a struct: one scalar subquery, however often it is used."""
+    return df.withColumn(name, one_row.select(F.struct(*one_row.columns)).scalar())
 
-    With n values in order, ``mid`` is position n/2 rounded up; ``below`` and ``above`` are its neighbours.
-    """
-    value = F.col(measure)
-    known = df.filter(value.isNotNull()).select(value.cast("double").alias("v"))
-    sketch = known.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("v").alias("least"),
-        F.max("v").alias("most"),
+
+def _middle_values(df: DataFrame, measure: str) -> DataFrame:
+    """One row: n, and the values at the middle position (n/2 rounded up) and on either side of it."""
+    value = F.col("v")
+    known = df.filter(F.col(measure).isNotNull()).select(F.col(measure).cast("double").alias("v"))
+    bracket = known.agg(
+        (F.count(F.lit(1)) <= ORDER_DIRECTLY_UP_TO).alias("whole"),
         F.percentile_approx("v", BRACKET, SKETCH_ACCURACY).alias("q"),
-    ).select(F.struct("n", "least", "most", F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi")).alias("s"))
-
-    guess = sketch.scalar()
-    outside = known.agg(
-        F.count_if(F.col("v") < guess["lo"]).alias("under"),
-        F.count_if(F.col("v") <= guess["hi"]).alias("up_to_hi"),
-    ).select(F.struct("under", "up_to_hi").alias("o"))
-    around = outside.scalar()
-    mid = F.ceil(guess["n"] / 2)
-    missed = (around["under"] >= mid - 1) | (around["up_to_hi"] < F.least(mid + 1, guess["n"]))
-    use_all = (guess["n"] <= ORDER_DIRECTLY_BELOW) | missed
-    low = F.when(use_all, guess["least"]).otherwise(guess["lo"])
-    high = F.when(use_all, guess["most"]).otherwise(guess["hi"])
-    skipped = F.when(use_all, F.lit(0)).otherwise(around["under"])
-
-    inside = known.filter((F.col("v") >= low) & (F.col("v") <= high)).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    running = F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    placed = inside.select("v", (running + skipped).alias("upto"))
+    )
+
+    low, high = F.col("b.q")[0], F.col("b.q")[1]
+    zone = F.when(F.col("b.whole"), 0).when(value < low, -1).when(value > high, 1).otherwise(0)
+    counted = (
+        _beside(known, bracket, "b")
+        .select("v", zone.alias("zone"))
+        .groupBy(F.struct("zone", F.when(F.col("zone") == 0, value).alias("v")).alias("place"))
+        .agg(F.count(F.lit(1)).alias("c"))
+    )
+    in_order = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counted.select(
+        "place", F.sum("c").over(in_order).alias("upto"), F.sum("c").over(Window.partitionBy()).alias("n")
+    )
 
     def at(position: Column) -> Column:
-        return F.min(F.when(F.col("upto") >= position, F.col("v")))
+        return F.min(F.when(F.col("upto") >= position, F.col("place")))
 
-    return placed.agg(
-        F.first(guess["n"]).alias("n"), at(mid - 1).alias("below"), at(mid).alias("mid"), at(mid + 1).alias("above")
+    mid = F.ceil(F.col("n") / 2)
+    middle = ranked.agg(
+        F.max("n").alias("n"), at(mid - 1).alias("below"), at(mid).alias("mid"), at(mid + 1).alias("above")
+    )
+    missed = F.greatest(F.abs("below.zone"), F.abs("mid.zone"), F.abs("above.zone")) > 0
+    return middle.select(
+        F.when(missed, F.raise_error(F.lit("the quantile sketch missed the middle")).cast("bigint"))
+        .otherwise(F.col("n"))
+        .alias("n"),
+        *[F.col(f"{side}.v").alias(side) for side in ("below", "mid", "above")],
     )
 
 
@@ -64,17 +69,19 @@ def leave_one_out(df: DataFrame, measure: str, tolerance: float = TOLERANCE) ->
     A value is an outlier when it deviates from the median of the others by more than ``tolerance`` times
     that median, or when that median is 0. With no others, both columns are NULL.
     """
-    middles = _middle_values(df, measure)
-    m = middles.select(F.struct("n", "below", "mid", "above").alias("m")).scalar()
     v = F.col(measure).cast("double")
-    n, below, mid, above = m["n"], m["below"], m["mid"], m["above"]
+    n, below, mid, above = (F.col(f"_m.{name}") for name in ("n", "below", "mid", "above"))
 
     # Odd n leaves an even number of others: the mean of the two values around the gap the row leaves.
-    # Even n leaves an odd number: the middle of the others is the value across the middle from the row.
-    odd = F.when(v < mid, (mid + above) / 2).when(v > mid, (below + mid) / 2).otherwise((below + above) / 2)
-    even = F.when(v <= mid, above).otherwise(mid)
-    median = F.when(n <= 1, F.lit(None).cast("double")).when(n % 2 == 1, odd).otherwise(even)
-    deviates = F.abs(v - F.col("median_of_others")) > F.lit(tolerance) * F.col("median_of_others")
-    return df.withColumn("median_of_others", F.when(v.isNotNull(), median)).withColumn(
-        "is_outlier", (F.col("median_of_others") == 0) | deviates
+    # Even n leaves an odd number: the middle of the others lies across the middle from the row.
+    around_gap = F.when(v < mid, mid + above).when(v > mid, below + mid).otherwise(below + above) / 2
+    across = F.when(v <= mid, above).otherwise(mid)
+    of_others = F.when((n > 1) & v.isNotNull(), F.when(n % 2 == 1, around_gap).otherwise(across))
+
+    median = F.col("median_of_others")
+    return (
+        _beside(df, _middle_values(df, measure), "_m")
+        .withColumn("median_of_others", of_others)
+        .drop("_m")
+        .withColumn("is_outlier", (median == 0) | (F.abs(v - median) > F.lit(tolerance) * median))
     )

@@ -31,7 +31,7 @@ LOG_COLUMNS = """
 _RUN_COLUMNS = """
     pipeline_stage string NOT NULL, executed_at timestamp NOT NULL, status string NOT NULL,
     rows_read bigint, rows_written bigint, schema_check_status string, duration_seconds double,
-    counts map<string,bigint>, watched array<string>, error string
+    counts array<struct<name:string,value:bigint>>, watched array<string>, error string
 """
 
 
@@ -55,10 +55,10 @@ def log_rows(spark: SparkSession, runs: list[Run], threshold: float = ALERT_THRE
     """LOG-1: runs as log rows, metrics as JSON text, alerts derived from the watched counts (LOG-2)."""
     rows = [
         (r.stage, r.executed_at, r.status, r.rows_read, r.rows_written, r.schema_check, r.duration)
-        + (r.counts, r.watched, r.error)
+        + (list(r.counts.items()), r.watched, r.error)
         for r in runs
     ]
-    raw = spark.createDataFrame(rows, _RUN_COLUMNS)
+    raw = spark.createDataFrame(rows, _RUN_COLUMNS).withColumn("counts", F.map_from_entries("counts"))
 
     def share(name):
         return F.try_divide(F.element_at("counts", name).cast("double"), F.col("rows_read").cast("double"))

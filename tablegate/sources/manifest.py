@@ -5,6 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ def readable_schemas(spark: SparkSession, paths: list[str]) -> dict[str, T.Struc
     def footer(path: str) -> T.StructType | None:
         try:
             return spark.read.parquet(path).schema
-        except PySparkException:
+        except (PySparkException, Py4JJavaError):
             return None
 
     named = by_name(paths)

@@ -50,7 +50,7 @@ LANDED = """
 landed AS (
     SELECT *, 'slice=' || wk AS _source_file
     FROM (
-        SELECT *, event_id % 6 + 1 AS rate, CASE WHEN event_id % 10 = 0 THEN 1.25 ELSE 0.0 END AS fee,
+        SELECT *, event_id % 6 + 1 AS rate, CAST(CASE WHEN event_id % 10 = 0 THEN 1.25 ELSE 0 END AS DOUBLE) AS fee,
                unnest(list_distinct([week, strftime(date_trunc('week', tpep_pickup_datetime - INTERVAL 1 DAY),
                                                     '%Y-%m-%d')])) AS wk
         FROM trips
@@ -235,9 +235,9 @@ SELECT count(*) AS by_range, count(*) AS by_parts FROM orders
 WHERE year(o_orderdate) = 1996 AND month(o_orderdate) = 12"""
 ORACLE["avg_of_period_totals"] = """
 SELECT
-  round((SELECT avg(t) FROM (SELECT sum(o_totalprice) AS t FROM orders GROUP BY strftime(o_orderdate, '%Y-%m'))), 4)
+  round((SELECT avg(t) FROM (SELECT sum(o_totalprice) AS t FROM orders GROUP BY strftime(o_orderdate, '%Y-%m'))), 2)
     AS avg_monthly_total,
-  round((SELECT avg(t) FROM (SELECT sum(o_totalprice) AS t FROM orders GROUP BY CAST(o_orderdate AS DATE))), 4)
+  round((SELECT avg(t) FROM (SELECT sum(o_totalprice) AS t FROM orders GROUP BY CAST(o_orderdate AS DATE))), 2)
     AS avg_daily_total"""
 ORACLE["hour_extremes"] = f"""{BASE}, by_hour AS ({BY_HOUR}),
 lo AS (SELECT * FROM by_hour ORDER BY avg_passenger_count, pickup_hour LIMIT 1),

@@ -223,7 +223,7 @@ def calendar_filter(spark, sf_dir):
 @query
 def avg_of_period_totals(spark, sf_dir):
     totals = analytics.avg_of_period_totals(fx.table(spark, sf_dir, "orders"), "o_orderdate", "o_totalprice")
-    return totals.select(*[F.round(c, 4).alias(c) for c in totals.columns])
+    return totals.select(*[F.round(c, 2).alias(c) for c in totals.columns])
 
 
 @query
@@ -318,7 +318,7 @@ def schema_drift(spark, sf_dir):
     stacked = ingest.conformed_slices(spark, paths, fx.DRIFT, schemas)
     cells = _filled_cells(stacked).select(F.lower("column_name").alias("column_name"), "non_null_count")
     families = F.transform(
-        F.map_entries("type_family_by_slice"), lambda e: F.concat_ws(":", e["slice"], e["type_family"])
+        F.map_entries("type_family_by_slice"), lambda e: F.concat_ws(":", e["key"], e["value"])
     )
     return report.join(cells, "column_name").select(
         "column_name",
