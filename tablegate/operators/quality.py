@@ -123,10 +123,14 @@ def rule_counts(df: DataFrame, contract: Contract, by: Iterable[str] = ()) -> Da
     return counted.select(*by, "rows_read", F.inline(per_rule))
 
 
+def failed_share() -> Column:
+    """Share of the rows read that fail a counted rule; NULL where nothing was read."""
+    return F.try_divide(F.col("failed_count").cast("double"), F.col("rows_read").cast("double"))
+
+
 def above_share(counts: DataFrame, limit: float) -> DataFrame:
     """Counts whose share of the rows read is strictly above ``limit``; none where nothing was read."""
-    share = F.try_divide(F.col("failed_count").cast("double"), F.col("rows_read").cast("double"))
-    return counts.withColumn("share", share).filter(F.col("share") > limit)
+    return counts.withColumn("share", failed_share()).filter(F.col("share") > limit)
 
 
 def rule_alerts(counts: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataFrame:

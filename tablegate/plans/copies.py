@@ -1,0 +1,66 @@
+"""Exact de-duplication and duplicate counts that shuffle whole rows only where copies may be.
+
+A first job groups 64-bit row hashes, eight bytes per row, and writes those that repeat to the shared folder;
+losing an executor later does not repeat the search, and their number is known before anything is
+broadcast. With none, no row is shuffled at all; with few, only the rows sharing a hash are; with many, all are.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tablegate.operators.profile import duplicate_rows, percentage
+from tablegate.operators.slices import ROW_HASH, collapse_copies, collapse_suspects, repeated_hashes, suspects
+from tablegate.sources.workspace import fresh_path
+
+BROADCAST_HASHES = 2_000_000  # sixteen megabytes of hashes; with more repeats, whole rows are grouped
+
+
+@dataclass(frozen=True)
+class Repeats:
+    """The row hashes that occur more than once, and how many there are."""
+
+    hashes: DataFrame
+    count: int
+
+    @property
+    def few(self) -> bool:
+        return self.count <= BROADCAST_HASHES
+
+
+def look_for_repeats(df: DataFrame, metadata: list[str]) -> Repeats:
+    """Find the repeated hashes of the source columns, ``metadata`` aside."""
+    spark = df.sparkSession
+    found = fresh_path(spark, "repeated-hashes")
+    repeated_hashes(df, metadata).write.parquet(found)
+    hashes = spark.read.schema(f"{ROW_HASH} bigint").parquet(found)
+    return Repeats(hashes, hashes.count())
+
+
+def distinct_rows(
+    df: DataFrame, lineage: str, slices: list[str] | None = None, sums: list[str] | None = None
+) -> DataFrame:
+    """What ``collapse_copies`` gives."""
+    sums = sums or []
+    repeats = look_for_repeats(df, [lineage, *sums])
+    if repeats.few:
+        return collapse_suspects(df, repeats.hashes if repeats.count else None, lineage, slices, sums)
+    return collapse_copies(df, [lineage], lineage, slices, sums)
+
+
+def duplicate_counts(df: DataFrame, slice_column: str) -> DataFrame:
+    """What ``duplicate_rows`` gives."""
+    repeats = look_for_repeats(df, [])
+    if not repeats.few:
+        return duplicate_rows(df, slice_column)
+    volume = df.groupBy(F.col(slice_column).alias("slice")).agg(F.count(F.lit(1)).alias("row_count"))
+    found = duplicate_rows(suspects(df, repeats.hashes, []), slice_column).select("slice", "duplicate_count")
+    return (
+        volume.alias("v")
+        .join(found.alias("f"), F.col("v.slice").eqNullSafe(F.col("f.slice")), "left")
+        .select("v.slice", "row_count", F.coalesce("duplicate_count", F.lit(0)).alias("duplicate_count"))
+        .withColumn("duplicate_pct", percentage(F.col("duplicate_count"), F.col("row_count")))
+    )

@@ -1,7 +1,7 @@
 """Slice ingestion: scan, conform, stack, collapse copies, stamp, write.
 
-One job writes the table and counts while writing. The counts are observed after the only shuffle, in the
-stage that writes, where Spark counts each partition once even if tasks are lost and run again.
+The writing job also counts: the counts are observed behind any shuffle, in the stage that writes, where
+Spark counts each partition once even if tasks are lost and run again.
 """
 
 from __future__ import annotations
@@ -14,7 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegate.operators.schema import assert_uniform
-from tablegate.operators.slices import CAST_LOSS, COPIES, accounting_metrics, collapse_copies, conform, union_slices
+from tablegate.operators.slices import (
+    CAST_LOSS,
+    COPIES,
+    accounting_metrics,
+    collapse_copies,
+    conform,
+    union_slices,
+)
+from tablegate.plans.copies import distinct_rows
 from tablegate.plans.runlog import PASSED, RAISE, logged_run
 from tablegate.plans.sinks import Published, overwrite_table, sized_shuffles
 from tablegate.sources.manifest import slice_sizes
@@ -68,11 +76,12 @@ def ingest(
         run.schema_check = PASSED
         input_bytes = slice_sizes(spark, paths).agg(F.sum("size_bytes")).head()[0] or 0
         counted = Observation()
-        rows = collapsed_slices(spark, paths, drift, schemas).observe(
-            counted, *accounting_metrics(), F.coalesce(F.sum(CAST_LOSS), F.lit(0)).alias("cast_loss_count")
-        )
         stamp = F.lit(run_ts or run.executed_at).cast("timestamp").alias(INGESTED_AT)
         with sized_shuffles(spark, input_bytes):
+            stacked = conformed_slices(spark, paths, drift, schemas)
+            rows = distinct_rows(stacked, SOURCE_FILE, list(by_name(paths)), [CAST_LOSS]).observe(
+                counted, *accounting_metrics(), F.coalesce(F.sum(CAST_LOSS), F.lit(0)).alias("cast_loss_count")
+            )
             published = overwrite_table(
                 rows.drop(COPIES, CAST_LOSS).select("*", stamp), table, root, partition_by=partition_by
             )

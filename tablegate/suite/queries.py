@@ -15,7 +15,7 @@ from tablegate.functions import calendar
 from tablegate.functions.families import families_of
 from tablegate.functions.text import number_text
 from tablegate.operators import analytics, outliers, profile, quality, reconcile, schema, slices, timeseries
-from tablegate.plans import gate, ingest, runlog, sinks
+from tablegate.plans import copies, gate, ingest, runlog, sinks
 from tablegate.sources import manifest
 from tablegate.sources import slices as landed
 from tablegate.sources.workspace import fresh_path
@@ -86,10 +86,9 @@ def rule_overlap(spark, sf_dir):
 
 @query
 def rule_counts_by_slice(spark, sf_dir):
-    """Rules that reject more than half of a week."""
+    """Rule counts per week, and whether a rule rejects more than half of it."""
     counts = quality.rule_counts(fx.trips_by_week(spark, sf_dir), fx.trips_contract(), by=["week"])
-    over = quality.above_share(counts, 0.5).select("week", "rule_id", F.lit(True).alias("over_limit"))
-    return counts.join(over, ["week", "rule_id"], "left").fillna(False, subset=["over_limit"]).drop("policy")
+    return counts.withColumn("over_limit", quality.failed_share() > 0.5).drop("policy")
 
 
 @query
@@ -406,7 +405,7 @@ def ingest_accounting(spark, sf_dir):
 @query
 def distinct_documents(spark, sf_dir):
     """Documents that differ in more than their id, and how many copies each has."""
-    rows = slices.collapse_copies(fx.table(spark, sf_dir, "documents"), ["doc_id"], "doc_id")
+    rows = copies.distinct_rows(fx.table(spark, sf_dir, "documents"), "doc_id")
     return rows.select("doc_id", "lang", "source", "n_chars", F.col(slices.COPIES).alias("copies"))
 
 
@@ -483,7 +482,7 @@ def profile_quantiles_approx(spark, sf_dir):
 @query
 def profile_duplicates(spark, sf_dir):
     """Repeated documents per source, ids aside."""
-    return profile.duplicate_rows(fx.table(spark, sf_dir, "documents").drop("doc_id"), "source")
+    return copies.duplicate_counts(fx.table(spark, sf_dir, "documents").drop("doc_id"), "source")
 
 
 # --- run log and sinks ----------------------------------------------------------------------------

@@ -22,7 +22,6 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(work / "warehouse"))
-        .config("spark.checkpoint.dir", str(work / "checkpoints"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

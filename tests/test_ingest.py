@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tablegate.operators import profile, schema, slices
 from tablegate.operators.schema import SchemaDriftError
-from tablegate.plans import ingest, runlog, sinks
+from tablegate.plans import copies, ingest, runlog, sinks
 from tablegate.sources import manifest
 from tablegate.sources import slices as landed
 from tablegate.suite import fixtures as fx
@@ -79,6 +79,40 @@ def test_many_slices_fall_back_to_names(spark, monkeypatch):
     assert sorted(map(tuple, indexed.collect())) == sorted(map(tuple, named.collect())) == [(1, "a", 2), (2, "c", 1)]
 
 
+@pytest.mark.parametrize("limit", [2_000_000, 0])
+def test_every_way_of_removing_copies_agrees(spark, monkeypatch, limit):
+    """With few repeats (broadcast), many (limit 0) and none, a third of all rows being one row."""
+    monkeypatch.setattr(copies, "BROADCAST_HASHES", limit)
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 700).alias("a"),
+        F.when(F.col("id") % 3 == 0, F.lit(float("nan"))).otherwise(0.0 * F.when(F.col("id") % 2 == 0, -1.0).otherwise(1.0)).alias("b"),
+        F.concat(F.lit("s"), F.col("id") % 5).alias("_source_file"),
+        F.lit(1).alias("_cast_loss"),
+    )
+    expected = slices.collapse_copies(rows, ["_source_file"], "_source_file", None, ["_cast_loss"])
+    got = copies.distinct_rows(rows, "_source_file", [f"s{i}" for i in range(5)], ["_cast_loss"])
+
+    def plain(df):
+        return sorted((r.a is None, r.a or 0, r._source_file, r._copies, r._cast_loss) for r in df.collect())
+
+    assert plain(got) == plain(expected)
+    assert got.agg(F.sum("_copies")).head()[0] == 3000 and got.count() == 701
+
+    once = spark.range(500).select("id", F.lit("s0").alias("_source_file"))
+    assert copies.distinct_rows(once, "_source_file").filter("_copies = 1").count() == 500
+
+    named = rows.drop("_cast_loss")
+    by_hash = {r.slice: tuple(r) for r in copies.duplicate_counts(named, "_source_file").collect()}
+    by_row = {r.slice: tuple(r) for r in profile.duplicate_rows(named, "_source_file").collect()}
+    assert by_hash == by_row
+
+
+def test_no_repeats_means_no_shuffle(spark):
+    once = spark.range(500).select("id", F.lit("s0").alias("_source_file"))
+    plan = copies.distinct_rows(once, "_source_file", ["s0"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 def test_collapse_shuffles_once_and_hashes(spark, sf_dir):
     plan = ingest.collapsed_slices(spark, fx.weekly_extracts(spark, sf_dir), fx.DRIFT)
     text = plan._jdf.queryExecution().executedPlan().toString()
