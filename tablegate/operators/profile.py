@@ -129,6 +129,27 @@ def quantile_rows(profiled: DataFrame, measures: list[str]) -> DataFrame:
     return profiled.select("slice", F.inline(rows))
 
 
+def finding_rows(profiled: DataFrame, required: list[str], conditions: list[str], measures: list[str]) -> DataFrame:
+    """The whole profile in long form from its one pass: (slice, subject, metric, value)."""
+    rows = F.col("row_count")
+
+    def finding(subject: str, metric: str, value: Column) -> Column:
+        return F.struct(
+            F.lit(subject).alias("subject"), F.lit(metric).alias("metric"), value.cast("double").alias("value")
+        )
+
+    found = [finding("rows", "count", rows)]
+    for kind, prefix, subjects in (("null", "nulls_", required), ("match", "count_", conditions)):
+        for name in subjects:
+            count = F.col(f"`{prefix}{name}`")
+            found += [finding(name, f"{kind}_count", count), finding(name, f"{kind}_pct", percentage(count, rows))]
+    for name in measures:
+        found += [finding(name, stat, F.col(f"`{stat}_{name}`")) for stat in ("min", "max", "mean")]
+        sketch = F.col(f"`quantiles_{name}`")
+        found += [finding(name, quantile_name(q), F.get(sketch, i)) for i, q in enumerate(QUANTILES)]
+    return profiled.select("slice", F.inline(F.array(*found)))
+
+
 def duplicate_rows(df: DataFrame, slice_column: str) -> DataFrame:
     """AGG-6: (slice, row_count, duplicate_count, duplicate_pct).
 

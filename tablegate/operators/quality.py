@@ -1,6 +1,7 @@
 """Contract rules as columns, counts and row sets.
 
-Covers FLT-1 .. FLT-7, FLT-11, PRJ-2, PRJ-3, QLT-1 .. QLT-7 and LOG-2.
+Covers FLT-1 .. FLT-7, FLT-11, PRJ-2, PRJ-3, QLT-1 .. QLT-7 and LOG-2. The conditions of FLT-2, FLT-3, FLT-4 and
+FLT-5 are text in the contract; FLT-6 is the policy that evaluates nothing.
 
 Every rule is one boolean column over the unfiltered input, so all counts come out of a single scan and
 a rule's count does not depend on the other rules. A row is dropped where the OR of the drop rules is

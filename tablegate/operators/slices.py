@@ -1,4 +1,4 @@
-"""Putting slices together: PRJ-1, SET-1 .. SET-3 and DUP-1.
+"""Putting slices together: PRJ-1, SET-1 .. SET-3, DUP-1 and LOG-5.
 
 De-duplication is one hash aggregate on the source columns. Copies collapse before the shuffle, so a row
 repeated a billion times reaches its task as one row per map task, and the same aggregate yields the
@@ -94,6 +94,11 @@ def collapse_copies(
     return indexed.select(*[F.col(f"`{c}`") for c in keys], name, COPIES, *sums)
 
 
+def rows_per_slice(df: DataFrame, lineage: str) -> DataFrame:
+    """LOG-5: how many rows of a table came from each slice."""
+    return df.groupBy(lineage).agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def source_columns(df: DataFrame, metadata: list[str]) -> list[str]:
     return [c for c in df.columns if c not in metadata]
 

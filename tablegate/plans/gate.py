@@ -1,4 +1,4 @@
-"""The contract gate: one scan of the ingested table writes the clean table and counts on the way.
+"""The contract gate (SRC-3): one scan of the upstream table writes the clean table and counts on the way.
 
 There is no shuffle, so the scan's own stage writes, and the counts observed in it are exact even when
 tasks are lost and run again. The scan reads only the columns the contract names.
@@ -57,7 +57,7 @@ def gated(source: DataFrame, contract: Contract, counted: Observation, run_ts: d
 
 def build(
     spark: SparkSession,
-    source: DataFrame,
+    upstream: str | DataFrame,
     contract: Contract,
     table: str,
     log_table: str,
@@ -67,13 +67,14 @@ def build(
     enforce_not_null: bool = False,
     partition_by: tuple[str, ...] = (),
 ) -> GateResult | None:
-    """Check the source against the contract, publish what passes, log the run."""
+    """Check the upstream table against the contract, publish what passes, log the run."""
     contract = contract.enforcing_not_null() if enforce_not_null else contract
     expected = [c.name for c in contract.business_columns]
     expected += [QUALITY_FLAGS] if contract.flag_rules else []
     expected += [c.name for c in contract.audit_columns]
     result = None
     with logged_run(spark, "silver", log_table, root, on_schema_error) as run:
+        source = spark.table(upstream) if isinstance(upstream, str) else upstream
         assert_contract(source.schema, contract)
         run.schema_check = PASSED
         counted = Observation()

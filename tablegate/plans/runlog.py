@@ -89,7 +89,7 @@ def logged_run(spark: SparkSession, stage: str, log_table: str, root: str | None
 
     def append() -> None:
         run.duration = time.monotonic() - start
-        append_table(log_rows(spark, [run]), log_table, root)
+        append_table(log_rows(spark, [run]).coalesce(1), log_table, root)
 
     try:
         yield run

@@ -116,8 +116,8 @@ def verified_copy(spark: SparkSession, paths: list[str], destination: str) -> Da
     """SNK-3: copy slices below ``destination`` and compare both sides slice by slice.
 
     Returns (slice, left_rows, right_rows, matches, safe_to_drop); ``safe_to_drop`` is TRUE only when every
-    slice arrived whole. Dropping the source stays the caller's act. There is one write per distinct
-    schema, each keeping the slices apart in folders named after them.
+    slice arrived whole. Dropping the source stays the caller's act. Each scan is one write, which keeps
+    its slices apart in folders named after them.
     """
     source_prints, copy_prints = [], []
     for position, rows in enumerate(scan_slices(spark, paths)):
@@ -128,8 +128,11 @@ def verified_copy(spark: SparkSession, paths: list[str], destination: str) -> Da
         source_prints.append(table_fingerprint(rows, [SOURCE_FILE], columns))
         copy_prints.append(table_fingerprint(copied, [SOURCE_FILE], columns))
     compared = reconcile_fingerprints(union_slices(source_prints), union_slices(copy_prints), [SOURCE_FILE])
-    safe = compared.agg(F.every("matches")).scalar()
-    return compared.withColumnRenamed(SOURCE_FILE, "slice").withColumn("safe_to_drop", safe)
+    # Written down once, so that asking for the verdict does not read both sides again.
+    verdicts = f"{destination}/verdicts"
+    compared.withColumnRenamed(SOURCE_FILE, "slice").write.parquet(verdicts)
+    written = spark.read.parquet(verdicts)
+    return written.withColumn("safe_to_drop", written.agg(F.every("matches")).scalar())
 
 
 @contextmanager

@@ -1,9 +1,9 @@
 """Reading slices: SRC-1, SRC-2 and SRC-4.
 
 A slice is a Parquet file, or a folder of them, that landed as one; its name is the last part of its path.
-Slices whose schemas agree are read by one scan, so a plan grows with the number of distinct schemas and
-not with the number of slices. Slices whose schemas differ cannot share a scan: Parquet's double and
-bigint do not merge.
+Slices whose schemas differ cannot share a scan: Parquet's double and bigint do not merge. A few slices get
+a scan each, so that the name is a constant; many are read by one scan per distinct schema, so that the plan
+grows with the number of schemas and not with the number of slices, and the name comes from the file's path.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 SOURCE_FILE = "_source_file"
 FOOTER_THREADS = 16
+SCANS_APART = 32  # up to this many slices are scanned one by one
 
 
 def slice_name(path: str) -> str:
@@ -40,6 +41,8 @@ def read_schemas(spark: SparkSession, paths: list[str]) -> dict[str, T.StructTyp
 
 def lineage(names: list[str]) -> Column:
     """SRC-4: the slice a row was read from, also where the slice is a folder of files."""
+    if len(names) == 1:
+        return F.lit(names[0])
     file_name = F.col("_metadata.file_name")
     folder = F.substring_index(F.substring_index(F.col("_metadata.file_path"), "/", -2), "/", 1)
     return F.when(file_name.isin(names), file_name).otherwise(folder)
@@ -57,7 +60,7 @@ def scan_slices(
     skip_corrupt: bool = False,
     file_columns: bool = False,
 ) -> list[DataFrame]:
-    """SRC-1: one scan per distinct schema, each with the lineage column ``_source_file``.
+    """SRC-1: one scan per slice, or per distinct schema, each with the lineage column ``_source_file``.
 
     ``file_columns`` also keeps path and size of the file behind each row, for the manifest checks.
     """
@@ -65,7 +68,7 @@ def scan_slices(
     schemas = schemas or read_schemas(spark, paths)
     groups: dict[str, list[str]] = {}
     for name, schema in schemas.items():
-        groups.setdefault(schema.json(), []).append(name)
+        groups.setdefault(name if len(schemas) <= SCANS_APART else schema.json(), []).append(name)
     extra = [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_size").alias("_bytes")]
     scans = []
     for names in groups.values():

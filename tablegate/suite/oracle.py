@@ -346,6 +346,11 @@ FROM landed GROUP BY ALL"""
 # --- profile --------------------------------------------------------------------------------------
 
 REQUIRED = ["VendorID", "passenger_count", "total_amount", "tpep_pickup_datetime", "tpep_dropoff_datetime"]
+MATCHED = (
+    ("passenger_count_null_or_zero", "passenger_count IS NULL OR passenger_count = 0"),
+    ("total_amount_negative_or_zero", "total_amount <= 0"),
+    ("out_of_window", OUTSIDE),
+)
 ORACLE["profile_volume"] = f"WITH {TRIPS} SELECT week AS slice, count(*) AS row_count FROM trips GROUP BY 1"
 ORACLE["profile_nulls"] = (
     f"WITH {TRIPS} "
@@ -363,11 +368,7 @@ ORACLE["profile_conditions"] = f"WITH {TRIPS} " + union(
     [
         f"""SELECT week AS slice, '{name}' AS condition, count(*) FILTER ({condition}) AS matched_count,
         round(100.0 * count(*) FILTER ({condition}) / count(*), 4) AS matched_pct FROM trips GROUP BY 1"""
-        for name, condition in (
-            ("passenger_count_null_or_zero", "passenger_count IS NULL OR passenger_count = 0"),
-            ("total_amount_negative_or_zero", "total_amount <= 0"),
-            ("out_of_window", OUTSIDE),
-        )
+        for name, condition in MATCHED
     ]
 )
 ORACLE["out_of_window"] = f"""WITH {TRIPS}
@@ -387,6 +388,20 @@ ORACLE["profile_quantiles_approx"] = union(
         for m in ("l_quantity", "l_discount", "l_tax")
     ]
 )
+FINDINGS = [("rows", "count", "count(*)")]
+for subject, kind, condition in [(c, "null", f'"{c}" IS NULL') for c in REQUIRED] + [(n, "match", c) for n, c in MATCHED]:
+    FINDINGS.append((subject, f"{kind}_count", f"count(*) FILTER ({condition})"))
+    FINDINGS.append((subject, f"{kind}_pct", f"100.0 * count(*) FILTER ({condition}) / count(*)"))
+for m in ("total_amount", "passenger_count"):
+    FINDINGS += [(m, "min", f"min({m})"), (m, "max", f"max({m})"), (m, "mean", f"avg({m})")]
+    FINDINGS += [(m, f"p{int(100 * q)}", f"quantile_disc({m}, {q})") for q in (0.25, 0.5, 0.75, 0.95, 0.99)]
+ORACLE["profile_findings"] = f"WITH {TRIPS} " + union(
+    [
+        f"SELECT week AS slice, '{subject}' AS subject, '{metric}' AS metric, round(CAST({value} AS DOUBLE), 4) AS value "
+        "FROM trips GROUP BY 1"
+        for subject, metric, value in FINDINGS
+    ]
+)
 ORACLE["profile_duplicates"] = """
 WITH copies AS (SELECT source, count(*) AS c FROM documents GROUP BY source, text, lang, n_chars)
 SELECT source AS slice, CAST(sum(c) AS BIGINT) AS row_count, CAST(sum(c - 1) AS BIGINT) AS duplicate_count,

@@ -277,8 +277,7 @@ def slice_scan(spark, sf_dir):
 def lineage_counts(spark, sf_dir):
     """Rows per source file of all given tables; no column is read."""
     scans = landed.scan_slices(spark, [fx.table_path(sf_dir, t) for t in fx.TABLES])
-    counts = [s.groupBy(landed.SOURCE_FILE).agg(F.count(F.lit(1)).alias("row_count")) for s in scans]
-    return slices.union_slices(counts)
+    return slices.union_slices([slices.rows_per_slice(s, landed.SOURCE_FILE) for s in scans])
 
 
 def _filled_cells(df: DataFrame) -> DataFrame:
@@ -334,11 +333,10 @@ def schema_gate_ok(spark, sf_dir):
     """The extracts pass the slice gate with the known drift allowed; rows let through per slice."""
     paths = fx.weekly_extracts(spark, sf_dir)
     schema.assert_uniform(landed.read_schemas(spark, paths), list(fx.DRIFT))
-    counts = [
-        p.groupBy(F.col(landed.SOURCE_FILE).alias("slice")).agg(F.count(F.lit(1)).alias("row_count"))
-        for p in landed.scan_slices(spark, paths)
-    ]
-    return slices.union_slices(counts).withColumn("gate", F.lit("pass"))
+    counts = [slices.rows_per_slice(p, landed.SOURCE_FILE) for p in landed.scan_slices(spark, paths)]
+    return slices.union_slices(counts).select(
+        F.col(landed.SOURCE_FILE).alias("slice"), "row_count", F.lit("pass").alias("gate")
+    )
 
 
 @query
@@ -461,6 +459,16 @@ def profile_conditions(spark, sf_dir):
     return profile.condition_rows(_trip_profile(spark, sf_dir), [*CONDITIONS, "out_of_window"])
 
 
+@query
+def profile_findings(spark, sf_dir):
+    """Everything the profile says about the trips of each week, from one pass."""
+    trips = fx.trips_by_week(spark, sf_dir)
+    measures = ["total_amount", "passenger_count"]
+    profiled = profile.profile(trips, "week", fx.REQUIRED, _trip_conditions(), measures)
+    findings = profile.finding_rows(profiled, fx.REQUIRED, [*CONDITIONS, "out_of_window"], measures)
+    return findings.withColumn("value", F.round("value", 4))
+
+
 @query
 def out_of_window(spark, sf_dir):
     outside = calendar.out_of_window([fx.PICKUP, fx.DROPOFF], *WINDOW)

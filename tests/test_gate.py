@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+from datetime import datetime
 from uuid import uuid4
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tablegate.contract import Contract, Rule
@@ -27,8 +29,6 @@ def small(spark, rows):
 
 
 def trip(amount=5.0, passengers=1, start="2024-01-10 10:00:00", end="2024-01-10 10:30:00"):
-    from datetime import datetime
-
     return (1, passengers, amount, datetime.fromisoformat(start), datetime.fromisoformat(end))
 
 
@@ -56,9 +56,7 @@ def test_golden_counts_at_this_scale(spark, sf_dir, names):
 
 
 def test_gate_is_one_job_without_shuffle(spark, sf_dir, names):
-    from pyspark.sql import Observation
-
-    plan = gate.gated(fx.trips(spark, sf_dir), fx.trips_contract(), Observation(), __import__("datetime").datetime.now())
+    plan = gate.gated(fx.trips(spark, sf_dir), fx.trips_contract(), Observation(), datetime(2024, 2, 1))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in text and text.count("FileScan") == 1
 
@@ -137,6 +135,22 @@ def test_incompatible_source_is_logged_and_raised(spark, names, change, message)
     assert not spark.catalog.tableExists(table)
 
 
+def test_log_can_be_pruned_and_appended_to(spark, names):
+    table, log = names
+    source = small(spark, [trip(), trip(amount=-1.0)])
+    gate.build(spark, source.drop("VendorID"), fx.trips_contract(), table, log, on_schema_error=runlog.REPORT)
+    gate.build(spark, source, fx.trips_contract(), table, log)
+    runlog.prune_log(spark, log, "status = 'failed' AND rows_read IS NULL")
+    gate.build(spark, source, fx.trips_contract(), table, log)
+    assert [r.status for r in spark.table(log).collect()] == ["pass", "pass"]
+
+
+def test_gate_reads_a_table_by_name(spark, names):
+    table, log = names
+    sinks.overwrite_table(small(spark, [trip(), trip(amount=-1.0)]), table + "_up")
+    assert gate.build(spark, table + "_up", fx.trips_contract(), table, log).rows_written == 1
+
+
 def test_reported_schema_error_does_not_raise(spark, names):
     table, log = names
     source = small(spark, [trip()]).drop("total_amount")

@@ -168,6 +168,21 @@ def test_drift_report_lists_critical_columns_first(spark, land):
     assert report[0].type_family_by_slice == {"a": "floating", "b": "integer"}
 
 
+def test_one_scan_per_schema_gives_the_same_rows(spark, sf_dir, monkeypatch):
+    paths = fx.weekly_extracts(spark, sf_dir)
+
+    def rows(scans):
+        return sorted((r._source_file, r.n) for s in scans for r in slices.rows_per_slice(s, "_source_file").withColumnRenamed("row_count", "n").collect())
+
+    apart = landed.scan_slices(spark, paths)
+    monkeypatch.setattr(landed, "SCANS_APART", 1)
+    together = landed.scan_slices(spark, paths)
+    assert (len(apart), len(together)) == (6, 2)
+    assert rows(apart) == rows(together)
+    expected = {tuple(r) for r in slices.union_slices([s.select("event_id", "_source_file") for s in apart]).collect()}
+    assert {tuple(r) for r in slices.union_slices([s.select("event_id", "_source_file") for s in together]).collect()} == expected
+
+
 def test_slices_of_one_name_are_refused(spark):
     with pytest.raises(ValueError, match="share a name"):
         landed.by_name(["/x/a", "/y/a"])
