@@ -380,12 +380,17 @@ ORACLE["profile_stats"] = union(
         for m in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
     ]
 )
-ORACLE["profile_quantiles_approx"] = union(
+ORACLE["profile_quantiles_approx"] = f"WITH {TRIPS} " + union(
     [
-        f"SELECT CAST(year(l_shipdate) AS INTEGER) AS slice, '{m}' AS measure, "
-        + ", ".join(f"quantile_disc({m}, {q}) AS p{int(100 * q)}" for q in (0.25, 0.5, 0.75, 0.95, 0.99))
-        + " FROM lineitem GROUP BY 1"
-        for m in ("l_quantity", "l_discount", "l_tax")
+        f"SELECT {key} AS slice, '{m}' AS measure, "
+        + ", ".join(
+            f"CAST(quantile_disc({m}, {q}) AS DOUBLE) AS p{int(100 * q)}" for q in (0.25, 0.5, 0.75, 0.95, 0.99)
+        )
+        + f" FROM {source} GROUP BY 1"
+        for key, m, source in (
+            ("week", "passenger_count", "trips"),
+            ("CAST(year(l_shipdate) AS VARCHAR)", "l_tax", "lineitem"),
+        )
     ]
 )
 FINDINGS = [("rows", "count", "count(*)")]
@@ -394,7 +399,9 @@ for subject, kind, condition in [(c, "null", f'"{c}" IS NULL') for c in REQUIRED
     FINDINGS.append((subject, f"{kind}_pct", f"100.0 * count(*) FILTER ({condition}) / count(*)"))
 for m in ("total_amount", "passenger_count"):
     FINDINGS += [(m, "min", f"min({m})"), (m, "max", f"max({m})"), (m, "mean", f"avg({m})")]
-    FINDINGS += [(m, f"p{int(100 * q)}", f"quantile_disc({m}, {q})") for q in (0.25, 0.5, 0.75, 0.95, 0.99)]
+FINDINGS += [
+    ("passenger_count", f"p{int(100 * q)}", f"quantile_disc(passenger_count, {q})") for q in (0.25, 0.5, 0.75, 0.95, 0.99)
+]
 ORACLE["profile_findings"] = f"WITH {TRIPS} " + union(
     [
         f"SELECT week AS slice, '{subject}' AS subject, '{metric}' AS metric, round(CAST({value} AS DOUBLE), 4) AS value "
