@@ -61,7 +61,7 @@ def log_rows(spark: SparkSession, runs: list[Run], threshold: float = ALERT_THRE
     raw = spark.createDataFrame(rows, _RUN_COLUMNS).withColumn("counts", F.map_from_entries("counts"))
 
     def share(name):
-        return F.try_divide(F.element_at("counts", name).cast("double"), F.col("rows_read").cast("double"))
+        return F.try_divide(F.try_element_at(F.col("counts"), name).cast("double"), F.col("rows_read").cast("double"))
 
     loud = F.filter("watched", lambda name: share(name) > threshold)
     alerts = F.transform(loud, lambda name: alert_text(name, share(name), threshold))

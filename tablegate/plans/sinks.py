@@ -21,7 +21,7 @@ from tablegate.operators.slices import union_slices
 from tablegate.sources.slices import SOURCE_FILE, scan_slices
 
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
-TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 INFLATION = 3  # shuffled rows per byte of compressed Parquet, roughly
 MOST_PARTITIONS = 50_000  # beyond this the shuffle's own bookkeeping outweighs smaller partitions
 

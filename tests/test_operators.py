@@ -91,8 +91,12 @@ def test_reconciliation_with_missing_and_null_keys(spark):
     left = spark.createDataFrame([(None, 1), ("a", 1), ("b", 2)], "key string, v int")
     right = spark.createDataFrame([(None, 1), ("a", 1), ("c", 3)], "key string, v int")
     prints = [reconcile.table_fingerprint(t, ["key"]) for t in (left, right)]
-    by_print = {r.key: (r.left_rows, r.right_rows, r.matches) for r in reconcile.reconcile_fingerprints(*prints, ["key"]).collect()}
-    exact = {r.key: (r.left_rows, r.right_rows, r.matches) for r in reconcile.reconcile_exact(left, right, ["key"]).collect()}
+
+    def verdicts(compared):
+        return {r.key: (r.left_rows, r.right_rows, r.matches) for r in compared.collect()}
+
+    by_print = verdicts(reconcile.reconcile_fingerprints(*prints, ["key"]))
+    exact = verdicts(reconcile.reconcile_exact(left, right, ["key"]))
     assert by_print == exact == {None: (1, 1, True), "a": (1, 1, True), "b": (1, 0, False), "c": (0, 1, False)}
 
 
@@ -141,8 +145,9 @@ def test_extremes_break_ties_by_key(spark):
 
 
 def test_period_totals_leave_out_periods_without_a_value(spark):
+    days = [((1, 1), 10.0), ((1, 1), 5.0), ((1, 2), None), ((2, 1), 3.0)]
     rows = spark.createDataFrame(
-        [(datetime(2024, 1, 1), 10.0), (datetime(2024, 1, 1), 5.0), (datetime(2024, 1, 2), None), (datetime(2024, 2, 1), 3.0)],
+        [(datetime(2024, month, day), v) for (month, day), v in days],
         "ts timestamp_ntz, v double",
     )
     assert tuple(analytics.avg_of_period_totals(rows, "ts", "v").head()) == (9.0, 9.0)
