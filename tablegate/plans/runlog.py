@@ -5,6 +5,7 @@ One row per run of a stage, appended whether the run passed or failed.
 
 from __future__ import annotations
 
+import logging
 import time
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -18,6 +19,8 @@ from tablegate.operators.quality import ALERT_THRESHOLD
 from tablegate.operators.schema import SchemaDriftError
 from tablegate.plans.sinks import Published, append_table, overwrite_table
 
+LOGGER = logging.getLogger(__name__)
+
 PASSED, FAILED = "pass", "failed"  # fixed values: states of a run and of its schema check
 RAISE, REPORT = "raise", "report"
 
@@ -77,7 +80,7 @@ def log_rows(spark: SparkSession, runs: list[Run], threshold: float = ALERT_THRE
 
 @contextmanager
 def logged_run(spark: SparkSession, stage: str, log_table: str, root: str | None = None, on_schema_error: str = RAISE):
-    """LOG-3: run a stage and append its log row, whatever happens.
+    """LOG-3: run a stage, append its log row whatever happens, and say its alerts aloud.
 
     A schema error is expected: with ``report`` it ends as a ``failed`` row and no exception, with ``raise``
     (the default) the exception also leaves. Any other error is logged and always leaves. The row of a
@@ -89,7 +92,10 @@ def logged_run(spark: SparkSession, stage: str, log_table: str, root: str | None
 
     def append() -> None:
         run.duration = time.monotonic() - start
-        append_table(log_rows(spark, [run]).coalesce(1), log_table, root)
+        row = log_rows(spark, [run]).coalesce(1)
+        append_table(row, log_table, root)
+        for alert in row.head()["alerts"]:
+            LOGGER.warning("ALERT [%s]: %s", stage, alert)
 
     try:
         yield run

@@ -409,6 +409,14 @@ ORACLE["profile_findings"] = f"WITH {TRIPS} " + union(
         for subject, metric, value in FINDINGS
     ]
 )
+ORACLE["profile_quantiles_exact"] = union(
+    [
+        f"SELECT CAST(year(l_shipdate) AS INTEGER) AS slice, '{m}' AS measure, "
+        + ", ".join(f"round(quantile_cont({m}, {q}), 6) AS p{int(100 * q)}" for q in (0.25, 0.5, 0.75, 0.95, 0.99))
+        + " FROM lineitem GROUP BY 1"
+        for m in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    ]
+)
 ORACLE["profile_duplicates"] = """
 WITH copies AS (SELECT source, count(*) AS c FROM documents GROUP BY source, text, lang, n_chars)
 SELECT source AS slice, CAST(sum(c) AS BIGINT) AS row_count, CAST(sum(c - 1) AS BIGINT) AS duplicate_count,

@@ -15,7 +15,7 @@ from tablegate.functions import calendar
 from tablegate.functions.families import families_of
 from tablegate.functions.text import number_text
 from tablegate.operators import analytics, outliers, profile, quality, reconcile, schema, slices, timeseries
-from tablegate.plans import copies, gate, ingest, runlog, sinks
+from tablegate.plans import copies, gate, ingest, quantiles, runlog, sinks
 from tablegate.sources import manifest
 from tablegate.sources import slices as landed
 from tablegate.sources.workspace import fresh_path
@@ -495,6 +495,13 @@ def profile_quantiles_approx(spark, sf_dir):
     )
 
 
+@query
+def profile_quantiles_exact(spark, sf_dir):
+    lines = fx.table(spark, sf_dir, "lineitem").withColumn("ship_year", F.year("l_shipdate"))
+    exact = quantiles.exact_quantiles(lines, "ship_year", MEASURES)
+    return exact.select("slice", "measure", *[F.round(c, 6).alias(c) for c in exact.columns[2:]])
+
+
 @query
 def profile_duplicates(spark, sf_dir):
     """Repeated documents per source, ids aside."""

@@ -32,7 +32,7 @@ def trip(amount=5.0, passengers=1, start="2024-01-10 10:00:00", end="2024-01-10
     return (1, passengers, amount, datetime.fromisoformat(start), datetime.fromisoformat(end))
 
 
-def test_golden_counts_at_this_scale(spark, sf_dir, names):
+def test_golden_counts_at_this_scale(spark, sf_dir, names, caplog):
     table, log = names
     result = gate.build(spark, fx.trips(spark, sf_dir), fx.trips_contract(), table, log)
     assert (result.rows_read, result.rows_written, result.total_dropped, result.undetermined_count) == (
@@ -53,6 +53,7 @@ def test_golden_counts_at_this_scale(spark, sf_dir, names):
     row = spark.table(log).head()
     assert (row.pipeline_stage, row.status, row.error) == ("silver", "pass", None)
     assert [a.split(":")[0] for a in row.alerts] == list(result.rule_counts)
+    assert "ALERT [silver]: dropoff_before_pickup_count: 1.64% > 1% threshold" in caplog.messages
 
 
 def test_gate_is_one_job_without_shuffle(spark, sf_dir, names):

@@ -2,12 +2,13 @@ from __future__ import annotations
 
 from uuid import uuid4
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tablegate.operators import profile, schema, slices
 from tablegate.operators.schema import SchemaDriftError
-from tablegate.plans import copies, ingest, runlog, sinks
+from tablegate.plans import copies, ingest, quantiles, runlog, sinks
 from tablegate.sources import manifest
 from tablegate.sources import slices as landed
 from tablegate.suite import fixtures as fx
@@ -228,6 +229,29 @@ def test_quantile_rank_error_is_within_the_accuracy(spark, sf_dir):
         assert below - slack <= q * len(prices) <= upto + slack
 
 
+@pytest.mark.parametrize("rows", [1, 2, 3, 5000])
+def test_exact_quantiles_equal_numpy(spark, rows):
+    """Most rows in one slice, a third of them one value, some missing, one measure missing throughout."""
+    df = spark.range(rows).select(
+        F.when(F.col("id") % 10 == 0, "small").otherwise("hot").alias("s"),
+        F.when(F.col("id") % 3 == 0, 7.5).when(F.col("id") % 11 == 1, None).otherwise(F.hash("id") / 1e5).alias("a"),
+        F.when(F.col("id") > 1, F.col("id") * F.col("id")).alias("b"),
+        F.lit(None).cast("double").alias("none"),
+    )
+    got = {
+        (r.slice, r.measure): [r.p25, r.p50, r.p75, r.p95, r.p99]
+        for r in quantiles.exact_quantiles(df, "s", ["a", "b", "none"]).collect()
+    }
+    cells = {}
+    for r in df.collect():
+        for m in ("a", "b"):
+            if r[m] is not None:
+                cells.setdefault((r.s, m), []).append(float(r[m]))
+    assert got.keys() == cells.keys()
+    for key, found in got.items():
+        assert found == pytest.approx(list(np.quantile(cells[key], profile.QUANTILES)), rel=1e-12)
+
+
 def test_copy_is_verified_slice_by_slice(spark, land, tmp_path):
     paths = land(a=old(spark, [(1, 1.0, 0.5), (2, None, 0.5)]), b=new(spark, [(1, 1, 0.5), (1, 1, 0.5)]))
     result = sinks.verified_copy(spark, paths, str(tmp_path / "copy")).collect()
