@@ -10,6 +10,7 @@ import time
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,17 +26,18 @@ PASSED, FAILED = "pass", "failed"  # fixed values: states of a run and of its sc
 RAISE, REPORT = "raise", "report"
 
 # Columns of the run log; ``error`` says why a run failed.
-LOG_COLUMNS = """
-    pipeline_stage string NOT NULL, executed_at timestamp NOT NULL, status string NOT NULL,
-    rows_read bigint, rows_written bigint, schema_check_status string, duration_seconds double,
-    metrics string, alerts array<string>, error string
-"""
-# The same run before metrics become JSON text and alerts are derived from them.
-_RUN_COLUMNS = """
-    pipeline_stage string NOT NULL, executed_at timestamp NOT NULL, status string NOT NULL,
-    rows_read bigint, rows_written bigint, schema_check_status string, duration_seconds double,
-    counts array<struct<name:string,value:bigint>>, watched array<string>, error string
-"""
+LOG_COLUMNS = {
+    "pipeline_stage": "string",
+    "executed_at": "timestamp",
+    "status": "string",
+    "rows_read": "bigint",
+    "rows_written": "bigint",
+    "schema_check_status": "string",
+    "duration_seconds": "double",
+    "metrics": "string",
+    "alerts": "array<string>",
+    "error": "string",
+}
 
 
 @dataclass
@@ -56,26 +58,31 @@ class Run:
 
 def log_rows(spark: SparkSession, runs: list[Run], threshold: float = ALERT_THRESHOLD) -> DataFrame:
     """LOG-1: runs as log rows, metrics as JSON text, alerts derived from the watched counts (LOG-2)."""
-    rows = [
-        (r.stage, r.executed_at, r.status, r.rows_read, r.rows_written, r.schema_check, r.duration)
-        + (list(r.counts.items()), r.watched, r.error)
-        for r in runs
-    ]
-    raw = spark.createDataFrame(rows, _RUN_COLUMNS).withColumn("counts", F.map_from_entries("counts"))
-
-    def share(name):
-        return F.try_divide(F.try_element_at(F.col("counts"), name).cast("double"), F.col("rows_read").cast("double"))
-
-    loud = F.filter("watched", lambda name: share(name) > threshold)
-    alerts = F.transform(loud, lambda name: alert_text(name, share(name), threshold))
-    metrics = F.to_json("counts", {"ignoreNullFields": "false"})
-    return raw.select(
-        *["pipeline_stage", "executed_at", "status", "rows_read", "rows_written", "schema_check_status"],
-        "duration_seconds",
-        metrics.alias("metrics"),
-        F.when(F.col("rows_read") > 0, alerts).otherwise(F.array().cast("array<string>")).alias("alerts"),
-        "error",
-    )
+    return reduce(DataFrame.unionAll, [_log_row(spark, run, threshold) for run in runs])
+
+
+def _log_row(spark: SparkSession, run: Run, threshold: float) -> DataFrame:
+    counts = F.create_map(*[F.lit(part) for entry in run.counts.items() for part in entry])
+    metrics = F.to_json(counts.cast("map<string,bigint>"), {"ignoreNullFields": "false"})
+    loud = []
+    for name in run.watched:
+        share = F.try_divide(F.lit(run.counts.get(name)).cast("double"), F.lit(run.rows_read).cast("double"))
+        loud.append(F.when(share > threshold, alert_text(F.lit(name), share, threshold)))
+    alerts = F.filter(F.array(*loud).cast("array<string>"), lambda alert: alert.isNotNull())
+    reported = {
+        "pipeline_stage": run.stage,
+        "executed_at": run.executed_at,
+        "status": run.status,
+        "rows_read": run.rows_read,
+        "rows_written": run.rows_written,
+        "schema_check_status": run.schema_check,
+        "duration_seconds": run.duration,
+        "metrics": metrics,
+        "alerts": alerts,
+        "error": run.error,
+    }
+    one_row = spark.sql("SELECT 1")
+    return one_row.select(*[F.lit(reported[name]).cast(kind).alias(name) for name, kind in LOG_COLUMNS.items()])
 
 
 @contextmanager
@@ -92,7 +99,7 @@ def logged_run(spark: SparkSession, stage: str, log_table: str, root: str | None
 
     def append() -> None:
         run.duration = time.monotonic() - start
-        row = log_rows(spark, [run]).coalesce(1)
+        row = log_rows(spark, [run])
         append_table(row, log_table, root)
         for alert in row.head()["alerts"]:
             LOGGER.warning("ALERT [%s]: %s", stage, alert)

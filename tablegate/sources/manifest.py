@@ -71,7 +71,7 @@ def slice_readability(spark: SparkSession, paths: list[str]) -> DataFrame:
             F.lit(False).alias("is_readable"),
         )
     counts = []
-    for rows in scan_slices(spark, opened, schemas, skip_corrupt=True):
+    for rows in scan_slices(spark, opened, schemas, skip_corrupt=True, apart=0):
         hashed = row_hash([c for c in rows.columns if c != SOURCE_FILE])
         counts.append(
             rows.groupBy(F.col(SOURCE_FILE).alias("slice")).agg(
@@ -138,7 +138,7 @@ def bytes_per_row(spark: SparkSession, paths: list[str], tolerance: float = TOLE
         DataFrame.unionByName,
         [
             rows.groupBy(SOURCE_FILE, "_path").agg(F.count(F.lit(1)).alias("n"), F.max("_bytes").alias("b"))
-            for rows in scan_slices(spark, paths, file_columns=True)
+            for rows in scan_slices(spark, paths, file_columns=True, apart=0)
         ],
     )
     slices = (

@@ -59,16 +59,19 @@ def scan_slices(
     schemas: dict[str, T.StructType] | None = None,
     skip_corrupt: bool = False,
     file_columns: bool = False,
+    apart: int | None = None,
 ) -> list[DataFrame]:
     """SRC-1: one scan per slice, or per distinct schema, each with the lineage column ``_source_file``.
 
-    ``file_columns`` also keeps path and size of the file behind each row, for the manifest checks.
+    ``file_columns`` also keeps path and size of the file behind each row, for the manifest checks; ``apart``
+    overrides up to how many slices get a scan of their own.
     """
+    most_apart = SCANS_APART if apart is None else apart
     named = by_name(paths)
     schemas = schemas or read_schemas(spark, paths)
     groups: dict[str, list[str]] = {}
     for name, schema in schemas.items():
-        groups.setdefault(name if len(schemas) <= SCANS_APART else schema.json(), []).append(name)
+        groups.setdefault(name if len(schemas) <= most_apart else schema.json(), []).append(name)
     extra = [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_size").alias("_bytes")]
     scans = []
     for names in groups.values():
