@@ -33,8 +33,14 @@ def in_month_by_parts(column: str, year: int, month: int) -> Column:
     return (F.year(column) == year) & (F.month(column) == month)
 
 
-def month_key(column: str) -> Column:
-    return F.date_format(column, "yyyy-MM")
+def month_start(column: str) -> Column:
+    """First day of the month; grouping by it and naming the groups later is cheaper than naming every row."""
+    return F.trunc(F.to_date(column), "month")
+
+
+def month_name(start: Column) -> Column:
+    """2024-01 for the first day of a month."""
+    return F.date_format(start, "yyyy-MM")
 
 
 def day_key(column: str) -> Column:

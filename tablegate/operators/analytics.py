@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablegate.functions.calendar import day_key, hour_key, in_month, month_key
+from tablegate.functions.calendar import day_key, hour_key, in_month, month_name, month_start
 
 PREVIEW_ROWS = 50  # fixed value: length of a result preview
 
@@ -25,8 +25,8 @@ def avg_by(df: DataFrame, key: Column, key_name: str, measure: str, digits: int
 
 
 def avg_by_month(df: DataFrame, ts: str, measure: str) -> DataFrame:
-    """AGG-7."""
-    return avg_by(df, month_key(ts), "month", measure)
+    """AGG-7: month as text such as 2024-01."""
+    return avg_by(df, month_start(ts), "month", measure).withColumn("month", month_name(F.col("month")))
 
 
 def avg_by_hour(df: DataFrame, ts: str, measure: str, year: int, month: int) -> DataFrame:

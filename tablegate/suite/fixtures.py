@@ -76,7 +76,7 @@ def week_of(day: Column) -> Column:
 
 
 def trips_by_week(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips(spark, sf_dir).withColumn("week", F.date_format(week_of(F.to_date(PICKUP)), "yyyy-MM-dd"))
+    return trips(spark, sf_dir).withColumn("week", week_of(F.to_date(PICKUP)).cast("string"))
 
 
 def trips_contract() -> Contract:
@@ -100,7 +100,7 @@ def weekly_extracts(spark: SparkSession, sf_dir: str) -> list[str]:
 def _write_extracts(spark: SparkSession, sf_dir: str) -> list[str]:
     root = fresh_path(spark, "extracts")
     own_week, week_before = week_of(F.to_date(PICKUP)), week_of(F.date_sub(F.to_date(PICKUP), 1))
-    weeks = F.array_distinct(F.transform(F.array(own_week, week_before), lambda d: F.date_format(d, "yyyy-MM-dd")))
+    weeks = F.array_distinct(F.transform(F.array(own_week, week_before), lambda d: d.cast("string")))
     landed = (
         trips(spark, sf_dir)
         .withColumn("RatecodeID", F.col("event_id") % 6 + 1)
