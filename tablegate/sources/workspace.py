@@ -1,26 +1,39 @@
-"""Where work files go: the shared folder the cluster names in ``spark.checkpoint.dir``."""
+"""Where work files go: the shared folder the cluster names in ``spark.checkpoint.dir``, else the warehouse."""
 
 from __future__ import annotations
 
-import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; on a local master without one, a new temporary folder."""
+    """The session's checkpoint folder, or a work folder in the warehouse; all executors see both."""
     configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tablegate-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    return (configured or f"{spark.conf.get(WAREHOUSE_DIR)}/_work").rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A folder nobody has written to yet."""
     return f"{shared_dir(spark)}/{label}-{uuid4().hex}"
+
+
+def release(spark: SparkSession, path: str) -> bool:
+    """Delete a work folder on whatever file system it is on; whether there was one."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def work_folder(spark: SparkSession, label: str) -> Iterator[str]:
+    """A folder for one run, deleted when the run is over; results must be written elsewhere."""
+    path = fresh_path(spark, label)
+    try:
+        yield path
+    finally:
+        release(spark, path)
