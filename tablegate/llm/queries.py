@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegate.llm import packing, tokens
+from tablegate.llm import fingerprint, packing, tokens
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -41,3 +41,8 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     index = tokens.write(docs, vocabulary("word_bpe_49k.json"), 2, tokens.files_folder(spark))
     return tokens.read(index).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@_registered
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_edited(_table(spark, sf_dir, "documents"))
