@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegate.llm import fingerprint, packing, tokens
+from tablegate.llm import fingerprint, neardup, packing, tokens
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -46,3 +46,8 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_registered
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_edited(_table(spark, sf_dir, "documents"))
+
+
+@_registered
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), size=2, percent=80)
