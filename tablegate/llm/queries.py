@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegate.llm import fingerprint, neardup, packing, tokens
+from tablegate.llm import fingerprint, neardup, packing, tokens, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -51,3 +51,23 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_registered
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
+@_registered
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write(_table(spark, sf_dir, "pages"), warc.archive_folder(spark))
+    return warc.read(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op2_warc"] = """
+WITH payloads AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+    FROM pages
+), lasts AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM lasts
+"""
