@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegate.llm import fingerprint, neardup, packing, tokens, warc
+from tablegate.llm import fingerprint, langid, neardup, packing, tokens, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -71,3 +71,15 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to
 FROM lasts
 """
+
+
+def fold(key: str, folds: int) -> Column:
+    return F.pmod(F.crc32(F.col(key).cast("string")), F.lit(folds))
+
+
+@_registered
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    network = langid.learn(docs.filter(fold("doc_id", 4) != 2))
+    held_out = (fold("doc_id", 4) == 2).alias("held_out")
+    return langid.predict(docs.select("doc_id", "text"), network).select("doc_id", held_out, "lang_pred", "score")
