@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegate.llm import fingerprint, langid, neardup, packing, tokens, warc
+from tablegate.llm import fingerprint, langid, neardup, packing, quality, tokens, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -83,3 +83,14 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     network = langid.learn(docs.filter(fold("doc_id", 4) != 2))
     held_out = (fold("doc_id", 4) == 2).alias("held_out")
     return langid.predict(docs.select("doc_id", "text"), network).select("doc_id", held_out, "lang_pred", "score")
+
+
+@_registered
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    known = labels.filter((fold("doc_id", 5) != 0) & F.col("label").isin(0, 1))
+    known = known.filter(langid.smallest_hashes(known, "doc_id", quality.SAMPLE_DOCS))
+    weights = quality.learn(docs.join(known, "doc_id"))
+    held_out = (fold("doc_id", 5) == 0).alias("held_out")
+    return quality.predict(docs, weights).select("doc_id", held_out, "score", "predicted")
