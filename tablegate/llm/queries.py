@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegate.llm import fingerprint, langid, neardup, packing, quality, tokens, warc
+from tablegate.llm import fingerprint, langid, linededup, neardup, packing, quality, tokens, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -94,3 +94,36 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = quality.learn(docs.join(known, "doc_id"))
     held_out = (fold("doc_id", 5) == 0).alias("held_out")
     return quality.predict(docs, weights).select("doc_id", held_out, "score", "predicted")
+
+
+@_registered
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.duplicates(_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op8_line_dedup"] = r"""
+WITH split AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS body,
+           generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no
+    FROM documents
+), lines AS (
+    SELECT doc_id, line_no, w FROM (
+        SELECT doc_id, line_no, regexp_extract_all(body, '[^\x20\x09-\x0D]+') AS w FROM split)
+    WHERE len(w) >= 6
+), classes AS (
+    SELECT w, min({'d': doc_id, 'l': line_no}) AS first_at FROM lines GROUP BY w
+), variants AS (
+    SELECT w, first_at, i, list_concat(w[:i - 1], w[i + 1:]) AS v
+    FROM (SELECT w, first_at, unnest(range(1, len(w) + 1)) AS i FROM classes)
+), near AS (
+    SELECT b.w, a.first_at AS other FROM variants b JOIN variants a ON a.v = b.v AND a.i = b.i AND a.first_at < b.first_at
+    UNION ALL SELECT b.w, a.first_at FROM variants b JOIN classes a ON a.w = b.v WHERE a.first_at < b.first_at
+    UNION ALL SELECT b.w, a.first_at FROM classes b JOIN variants a ON a.v = b.w WHERE a.first_at < b.first_at
+), earlier AS (
+    SELECT w, min(other) AS earlier FROM near GROUP BY w
+)
+SELECT DISTINCT l.doc_id, CAST(l.line_no AS INT) AS line_no,
+       least(coalesce(e.earlier, c.first_at), c.first_at).d AS copy_of_doc, CAST(least(coalesce(e.earlier, c.first_at), c.first_at).l AS INT) AS copy_of_line
+FROM lines l JOIN classes c USING (w) LEFT JOIN earlier e USING (w)
+WHERE e.earlier IS NOT NULL OR c.first_at < {'d': l.doc_id, 'l': l.line_no}
+"""
