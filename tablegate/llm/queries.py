@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegate.llm import fingerprint, langid, linededup, neardup, packing, quality, tokens, warc
+from tablegate.llm import decontam, fingerprint, langid, linededup, neardup, packing, quality, tokens, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -127,3 +127,43 @@ SELECT DISTINCT l.doc_id, CAST(l.line_no AS INT) AS line_no,
 FROM lines l JOIN classes c USING (w) LEFT JOIN earlier e USING (w)
 WHERE e.earlier IS NOT NULL OR c.first_at < {'d': l.doc_id, 'l': l.line_no}
 """
+
+
+@_registered
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op9_decontamination"] = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents
+), b AS (
+    SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark
+), places AS (
+    SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d
+), item_places AS (
+    SELECT item_id, w, unnest(range(1, len(w) + 1)) AS i FROM b WHERE len(w) >= 12
+), apart AS (
+    SELECT unnest([3, 6, 9]) AS g
+), seeds AS (
+    SELECT doc_id, i, g, w[i:i + 2] AS x, w[i + g:i + g + 2] AS y FROM places, apart WHERE i + g + 2 <= len(w)
+), item_seeds AS (
+    SELECT item_id, i, g, w[i:i + 2] AS x, w[i + g:i + g + 2] AS y FROM item_places, apart WHERE i + g + 2 <= len(w)
+), diagonals AS (
+    SELECT DISTINCT s.doc_id, t.item_id, s.i - t.i AS shift FROM seeds s JOIN item_seeds t USING (g, x, y)
+), spans AS (
+    SELECT doc_id, item_id, shift, d.w AS dw, b.w AS bw,
+           unnest(range(greatest(1, 1 + shift), least(len(d.w), len(b.w) + shift) - 10)) AS i
+    FROM diagonals JOIN d USING (doc_id) JOIN b USING (item_id)
+), good AS (
+    SELECT doc_id, item_id, i - 1 AS first, i + 11 AS last FROM spans
+    WHERE list_sum(list_transform(range(0, 12), lambda k: CAST(dw[i + k] = bw[i + k - shift] AS INT))) >= 10
+    UNION ALL
+    SELECT doc_id, item_id, i - 1, i - 1 + len(b.w) FROM places JOIN b ON len(b.w) BETWEEN 5 AND 11 AND places.w[i] = b.w[1]
+    WHERE places.w[i:i + len(b.w) - 1] = b.w
+)
+SELECT doc_id, item_id, CAST(min(first) AS INT) AS first_word, CAST(max(last) AS INT) AS end_word, count(*) AS spans
+FROM good GROUP BY doc_id, item_id
+"""
