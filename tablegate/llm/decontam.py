@@ -28,14 +28,14 @@ LEAST = 5  # shorter items are not looked for; items shorter than the span must
 TOGETHER = 1_000_000  # words of items that are looked for in one pass over the documents
 _FILTER_BITS = 22
 
-_WORD = np.zeros(256, bool)
-_WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
+WORD_BYTES = np.zeros(256, bool)
+WORD_BYTES[48:58] = WORD_BYTES[65:91] = WORD_BYTES[97:123] = WORD_BYTES[128:] = True
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words (runs of letters, digits and non-ASCII characters; A-Z lower-cased) and their bounds by text."""
     data, offsets = buffers(column)
-    starts, ends = runs(_WORD[data], offsets)
+    starts, ends = runs(WORD_BYTES[data], offsets)
     return span_hashes(data, starts, ends, lower=True), np.searchsorted(starts, offsets)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegate.llm import decontam, fingerprint, langid, linededup, neardup, packing, quality, tokens, warc
+from tablegate.llm import decontam, fingerprint, langid, licenses, linededup, neardup, packing, quality, tokens, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -148,11 +148,11 @@ WITH d AS (
 ), apart AS (
     SELECT unnest([3, 6, 9]) AS g
 ), seeds AS (
-    SELECT doc_id, i, g, w[i:i + 2] AS x, w[i + g:i + g + 2] AS y FROM places, apart WHERE i + g + 2 <= len(w)
+    SELECT doc_id, i, g, hash(w[i:i + 2], w[i + g:i + g + 2]) AS h FROM places, apart WHERE i + g + 2 <= len(w)
 ), item_seeds AS (
-    SELECT item_id, i, g, w[i:i + 2] AS x, w[i + g:i + g + 2] AS y FROM item_places, apart WHERE i + g + 2 <= len(w)
+    SELECT item_id, i, g, hash(w[i:i + 2], w[i + g:i + g + 2]) AS h FROM item_places, apart WHERE i + g + 2 <= len(w)
 ), diagonals AS (
-    SELECT DISTINCT s.doc_id, t.item_id, s.i - t.i AS shift FROM seeds s JOIN item_seeds t USING (g, x, y)
+    SELECT DISTINCT s.doc_id, t.item_id, s.i - t.i AS shift FROM seeds s JOIN item_seeds t USING (g, h)
 ), spans AS (
     SELECT doc_id, item_id, shift, d.w AS dw, b.w AS bw,
            unnest(range(greatest(1, 1 + shift), least(len(d.w), len(b.w) + shift) - 10)) AS i
@@ -167,3 +167,9 @@ WITH d AS (
 SELECT doc_id, item_id, CAST(min(first) AS INT) AS first_word, CAST(max(last) AS INT) AS end_word, count(*) AS spans
 FROM good GROUP BY doc_id, item_id
 """
+
+
+@_registered
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.learn(docs))
