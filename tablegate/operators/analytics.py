@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from tablegate.functions.calendar import day_key, hour_key, in_month, month_name, month_start
 
-PREVIEW_ROWS = 50  # fixed value: length of a result preview
-
 
 def avg_by(df: DataFrame, key: Column, key_name: str, measure: str, digits: int = 2) -> DataFrame:
     """Rounded average and row count per key, ordered by key (TOP-1)."""
@@ -68,7 +66,7 @@ def avg_of_period_totals(df: DataFrame, ts: str, measure: str) -> DataFrame:
 def extremes(series: DataFrame, key: str, value: str) -> DataFrame:
     """AGG-13: keys with the lowest and highest value; ties go to the smallest key."""
     lowest = F.min(F.struct(F.col(value).alias("v"), F.col(key).alias("k")))
-    highest = F.max_by(F.struct(F.col(value).alias("v"), F.col(key).alias("k")), F.struct(F.col(value), -F.col(key)))
+    highest = F.min_by(F.struct(F.col(value).alias("v"), F.col(key).alias("k")), F.struct(-F.col(value), F.col(key)))
     return (
         series.filter(F.col(value).isNotNull())
         .agg(lowest.alias("lo"), highest.alias("hi"))
@@ -92,6 +90,6 @@ def busiest(df: DataFrame, key: Column, key_name: str, limit: int = 1) -> DataFr
     return counts.orderBy(F.desc("trip_count"), F.asc(key_name)).limit(limit)
 
 
-def preview(df: DataFrame, rows: int = PREVIEW_ROWS) -> DataFrame:
-    """TOP-4: the first rows of a result, for showing."""
-    return df.limit(rows)
+def preview(df: DataFrame, rows: int) -> DataFrame:
+    """TOP-4: the first rows of a result, for showing, and how many there are in all (total_rows)."""
+    return df.limit(rows).withColumn("total_rows", df.agg(F.count(F.lit(1))).scalar())

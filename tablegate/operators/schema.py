@@ -60,20 +60,33 @@ def drift_report(rows: DataFrame, slices: list[str], required: list[str]) -> Dat
     )
 
 
-def assert_uniform(schemas: dict[str, T.StructType], allowed_drift: list[str]) -> None:
-    """SCH-3: every slice has the first slice's columns, and its families but for ``allowed_drift``."""
+def deviations(schemas: dict[str, T.StructType], allowed_drift: list[str]) -> list[tuple[str, str, str | None, str | None]]:
+    """SCH-3: (slice or file, column, family or None, the first slice's family or None) wherever they differ.
+
+    Families of columns in ``allowed_drift`` may differ; no column may be missing on either side.
+    """
     known = {c.lower() for c in allowed_drift}
     families = {name: families_of(schema, fold_case=True) for name, schema in schemas.items()}
-    first, baseline = next(iter(families.items()))
-    for name, found in families.items():
-        differing = sorted(found.keys() ^ baseline.keys())
-        if differing:
-            raise SchemaDriftError(f"slice '{name}': columns {differing} are not in both it and slice '{first}'")
-        for column in sorted(found.keys() - known):
-            if found[column] != baseline[column]:
-                raise SchemaDriftError(
-                    f"slice '{name}': column '{column}' is '{found[column]}', but '{baseline[column]}' in slice '{first}'"
-                )
+    baseline = next(iter(families.values()), {})
+    return [
+        (name, column, found.get(column), baseline.get(column))
+        for name, found in families.items()
+        for column in sorted(found.keys() | baseline.keys())
+        if found.get(column) != baseline.get(column)
+        and (column not in known or column not in found or column not in baseline)
+    ]
+
+
+def assert_uniform(schemas: dict[str, T.StructType], allowed_drift: list[str]) -> None:
+    """SCH-3 as a gate: raises once, naming every deviation."""
+    found = deviations(schemas, allowed_drift)
+    if found:
+        first = next(iter(schemas))
+        told = [
+            f"slice '{name}': column '{column}' is '{own or 'missing'}', but '{other or 'missing'}' in slice '{first}'"
+            for name, column, own, other in found
+        ]
+        raise SchemaDriftError("; ".join(told))
 
 
 def contract_compatibility(schema: T.StructType, contract: Contract) -> list[tuple[str, str, str, str | None, bool]]:

@@ -3,10 +3,6 @@
 De-duplication is one hash aggregate on the source columns. Copies collapse before the shuffle, so a row
 repeated a billion times reaches its task as one row per map task, and the same aggregate yields the
 copy counts that the accounting needs.
-
-That aggregate shuffles whole rows. Where copies are rare, ``repeated_hashes`` finds them by shuffling eight
-bytes per row, and ``collapse_suspects`` then groups only the rows whose hash occurs more than once. The
-hash decides who is looked at, never who is a copy, so the result is exact either way.
 """
 
 from __future__ import annotations
@@ -16,12 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablegate.functions.fingerprint import row_hash
-
 COPIES = "_copies"
 CAST_LOSS = "_cast_loss"
-ROW_HASH = "_row_hash"
-INDEXED_SLICES = 256  # up to here the slice a row came from is carried as its position in the list
 
 
 def actual_name(df: DataFrame, name: str) -> str | None:
@@ -65,33 +57,17 @@ def union_slices(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=False), parts)
 
 
-def collapse_copies(
-    df: DataFrame,
-    metadata: list[str],
-    lineage: str | None = None,
-    slices: list[str] | None = None,
-    sums: list[str] | None = None,
-) -> DataFrame:
+def collapse_copies(df: DataFrame, metadata: list[str], lineage: str | None = None, sums: list[str] | None = None) -> DataFrame:
     """SET-2 (SET-3 without ``metadata``): one row per distinct source row, and its number of copies.
 
-    ``metadata`` columns take no part in the comparison and are dropped, but for ``lineage``: the
-    surviving row names the first slice that holds a copy. ``sums`` are added up over the copies.
-
-    The minimum of a string would force Spark from hash to sort aggregation, so while there are few enough
-    slices the position in the sorted list is what is carried through the shuffle.
+    ``metadata`` columns take no part in the comparison and are dropped, but for ``lineage``: the surviving row has the
+    smallest one among its copies. It should be a number, such as a slice's, since the minimum of a string forces Spark
+    from hash to sort aggregation. ``sums`` are added up over the copies.
     """
     sums = sums or []
-    keys = [c for c in df.columns if c not in {*metadata, *sums}]
-    aggregates = [F.count(F.lit(1)).alias(COPIES), *[F.sum(s).alias(s) for s in sums]]
-    if lineage is None:
-        return _grouped(df, keys, aggregates)
-    if slices is None or len(slices) > INDEXED_SLICES:
-        return _grouped(df, keys, [F.min(lineage).alias(lineage), *aggregates])
-    ordered = F.lit(sorted(slices))
-    position = F.array_position(ordered, F.col(lineage)).cast("int")
-    indexed = _grouped(df.withColumn("_position", position), keys, [F.min("_position").alias("_position"), *aggregates])
-    name = F.get(ordered, F.col("_position") - 1).alias(lineage)
-    return indexed.select(*[F.col(f"`{c}`") for c in keys], name, COPIES, *sums)
+    keys = [F.col(f"`{c}`") for c in df.columns if c not in {*metadata, *sums}]
+    first = [F.min(lineage).alias(lineage)] if lineage is not None else []
+    return df.groupBy(*keys).agg(*first, F.count(F.lit(1)).alias(COPIES), *[F.sum(s).alias(s) for s in sums])
 
 
 def rows_per_slice(df: DataFrame, lineage: str) -> DataFrame:
@@ -99,45 +75,6 @@ def rows_per_slice(df: DataFrame, lineage: str) -> DataFrame:
     return df.groupBy(lineage).agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def source_columns(df: DataFrame, metadata: list[str]) -> list[str]:
-    return [c for c in df.columns if c not in metadata]
-
-
-def repeated_hashes(df: DataFrame, metadata: list[str]) -> DataFrame:
-    """The row hashes that occur more than once: every copy has one, and hardly any other row."""
-    hashes = df.select(row_hash(source_columns(df, metadata)).alias(ROW_HASH))
-    return hashes.groupBy(ROW_HASH).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(ROW_HASH)
-
-
-def _hashed(df: DataFrame, metadata: list[str]) -> DataFrame:
-    return df.withColumn(ROW_HASH, row_hash(source_columns(df, metadata)))
-
-
-def suspects(df: DataFrame, repeated: DataFrame, metadata: list[str]) -> DataFrame:
-    """The rows whose hash repeats; ``repeated`` is broadcast, so its size must have been checked."""
-    return _hashed(df, metadata).join(F.broadcast(repeated), ROW_HASH, "left_semi").drop(ROW_HASH)
-
-
-def collapse_suspects(
-    df: DataFrame, repeated: DataFrame | None, lineage: str, slices: list[str] | None, sums: list[str]
-) -> DataFrame:
-    """``collapse_copies`` where only the rows with a repeated hash are grouped; the others pass through.
-
-    ``repeated`` is broadcast, so its size must have been checked; None says that no hash repeats.
-    """
-    once = F.lit(1).cast("bigint").alias(COPIES)
-    columns = [F.col(f"`{c}`") for c in [*source_columns(df, [lineage, *sums]), lineage]]
-    if repeated is None:
-        return df.select(*columns, once, *sums)
-    metadata = [lineage, *sums]
-    single = _hashed(df, metadata).join(F.broadcast(repeated), ROW_HASH, "left_anti").select(*columns, once, *sums)
-    return single.unionByName(collapse_copies(suspects(df, repeated, metadata), [lineage], lineage, slices, sums))
-
-
-def _grouped(df: DataFrame, keys: list[str], aggregates: list[Column]) -> DataFrame:
-    return df.groupBy(*[F.col(f"`{c}`") for c in keys]).agg(*aggregates)
-
-
 def accounting_metrics() -> list[Column]:
     """DUP-1 as aggregates over collapsed rows."""
     return [

@@ -15,11 +15,10 @@ from pyspark.sql import types as T
 
 from tablegate.operators.schema import assert_uniform
 from tablegate.operators.slices import CAST_LOSS, COPIES, accounting_metrics, collapse_copies, conform, union_slices
-from tablegate.plans.copies import distinct_rows
 from tablegate.plans.runlog import PASSED, RAISE, logged_run
 from tablegate.plans.sinks import Published, overwrite_table, sized_shuffles
 from tablegate.sources.manifest import slice_sizes
-from tablegate.sources.slices import SOURCE_FILE, by_name, read_schemas, scan_slices
+from tablegate.sources.slices import SLICE, SOURCE_FILE, name_of, read_schemas, scan_slices
 
 INGESTED_AT = "_ingested_at"
 
@@ -34,20 +33,25 @@ class IngestResult:
 
 
 def conformed_slices(
-    spark: SparkSession, paths: list[str], drift: dict[str, str], schemas: dict[str, T.StructType] | None = None
+    spark: SparkSession,
+    paths: list[str],
+    drift: dict[str, str],
+    schemas: dict[str, T.StructType] | None = None,
+    numbered: bool = False,
 ) -> DataFrame:
-    """All slices stacked under one schema, with lineage and cast-loss columns; copies still in."""
+    """All slices stacked under one schema, with lineage (a number if asked) and cast-loss columns; copies still in."""
     schemas = schemas or read_schemas(spark, paths)
     assert_uniform(schemas, list(drift))
-    return union_slices([conform(part, drift, count_loss=True) for part in scan_slices(spark, paths, schemas)])
+    return union_slices([conform(part, drift, count_loss=True) for part in scan_slices(spark, paths, schemas, numbered=numbered)])
 
 
 def collapsed_slices(
     spark: SparkSession, paths: list[str], drift: dict[str, str], schemas: dict[str, T.StructType] | None = None
 ) -> DataFrame:
     """The rows to publish: distinct over the source columns, with lineage and copy counts."""
-    rows = conformed_slices(spark, paths, drift, schemas)
-    return collapse_copies(rows, [SOURCE_FILE], SOURCE_FILE, list(by_name(paths)), sums=[CAST_LOSS])
+    rows = conformed_slices(spark, paths, drift, schemas, numbered=True)
+    rows = collapse_copies(rows, [SLICE], SLICE, sums=[CAST_LOSS])
+    return rows.withColumn(SLICE, name_of(F.col(SLICE), paths)).withColumnRenamed(SLICE, SOURCE_FILE)
 
 
 def ingest(
@@ -71,8 +75,7 @@ def ingest(
         counted = Observation()
         stamp = F.lit(run_ts or run.executed_at).cast("timestamp").alias(INGESTED_AT)
         with sized_shuffles(spark, input_bytes):
-            stacked = conformed_slices(spark, paths, drift, schemas)
-            rows = distinct_rows(stacked, SOURCE_FILE, list(by_name(paths)), [CAST_LOSS]).observe(
+            rows = collapsed_slices(spark, paths, drift, schemas).observe(
                 counted, *accounting_metrics(), F.coalesce(F.sum(CAST_LOSS), F.lit(0)).alias("cast_loss_count")
             )
             published = overwrite_table(

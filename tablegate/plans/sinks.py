@@ -18,12 +18,11 @@ from pyspark.sql import functions as F
 
 from tablegate.operators.reconcile import reconcile_fingerprints, table_fingerprint
 from tablegate.operators.slices import union_slices
-from tablegate.sources.slices import SOURCE_FILE, scan_slices
+from tablegate.sources.slices import SOURCE_FILE, by_name, scan_slices
 
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 INFLATION = 3  # shuffled rows per byte of compressed Parquet, roughly
-MOST_PARTITIONS = 50_000  # beyond this the shuffle's own bookkeeping outweighs smaller partitions
 
 
 @dataclass(frozen=True)
@@ -128,6 +127,10 @@ def verified_copy(spark: SparkSession, paths: list[str], destination: str) -> Da
         source_prints.append(table_fingerprint(rows, [SOURCE_FILE], columns))
         copy_prints.append(table_fingerprint(copied, [SOURCE_FILE], columns))
     compared = reconcile_fingerprints(union_slices(source_prints), union_slices(copy_prints), [SOURCE_FILE])
+    # A slice without rows has no fingerprint on either side: 0 rows arrived out of 0.
+    slices = spark.createDataFrame([(n,) for n in by_name(paths)], f"{SOURCE_FILE} string")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("left_rows", "right_rows")]
+    compared = slices.join(compared, SOURCE_FILE, "left").select(SOURCE_FILE, *counts, F.coalesce("matches", F.lit(True)).alias("matches"))
     # Written down once, so that asking for the verdict does not read both sides again.
     verdicts = f"{destination}/verdicts"
     compared.withColumnRenamed(SOURCE_FILE, "slice").write.parquet(verdicts)
@@ -142,7 +145,7 @@ def sized_shuffles(spark: SparkSession, input_bytes: int):
     Adaptive execution merges partitions that turn out small, so erring upwards is cheap.
     """
     before = spark.conf.get(SHUFFLE_PARTITIONS)
-    wanted = min(ceil(input_bytes * INFLATION / TARGET_PARTITION_BYTES), MOST_PARTITIONS)
+    wanted = ceil(input_bytes * INFLATION / TARGET_PARTITION_BYTES)
     spark.conf.set(SHUFFLE_PARTITIONS, str(max(int(before), wanted)))
     try:
         yield

@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tablegate.functions.fingerprint import row_hash
 from tablegate.operators.outliers import TOLERANCE, leave_one_out
-from tablegate.sources.slices import FOOTER_THREADS, SOURCE_FILE, by_name, scan_slices
+from tablegate.sources import slices as landed
+from tablegate.sources.slices import SLICE, by_name, existing, file_url, name_of
 
 # Verification states of a slice.
 VERIFIED, INCOMPLETE, UNDETERMINED = "verified", "incomplete", "undetermined"
@@ -21,101 +18,90 @@ VERIFIED, INCOMPLETE, UNDETERMINED = "verified", "incomplete", "undetermined"
 
 def file_manifest(spark: SparkSession, *locations: str, pattern: str = "*.parquet") -> DataFrame:
     """SRC-6: (path, length, modificationTime) of the files; their content is not read."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
-    return reader.load(list(locations)).select("path", "length", "modificationTime")
+    return landed.list_files(spark, list(locations), pattern).drop("url")
 
 
 def slice_sizes(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(slice, size_bytes, files) of the slices that hold at least one file."""
-    names = list(by_name(paths))
-    file_name = F.element_at(F.split("path", "/"), -1)
-    folder = F.element_at(F.split("path", "/"), -2)
-    owner = F.when(file_name.isin(names), file_name).otherwise(folder)
-    return (
-        file_manifest(spark, *paths)
-        .groupBy(owner.alias("slice"))
-        .agg(F.sum("length").alias("size_bytes"), F.count(F.lit(1)).alias("files"))
-    )
-
+    there = existing(spark, paths)
+    if not there:
+        return spark.createDataFrame([], "slice string, size_bytes bigint, files bigint")
+    listed = landed.with_slice(landed.list_files(spark, there), F.col("url"), there)
+    sizes = listed.groupBy(SLICE).agg(F.sum("length").alias("size_bytes"), F.count(F.lit(1)).alias("files"))
+    return sizes.select(name_of(F.col(SLICE), there).alias("slice"), "size_bytes", "files")
 
-def readable_schemas(spark: SparkSession, paths: list[str]) -> dict[str, T.StructType]:
-    """Schemas of the slices whose footer can be read; the others are left out."""
 
-    def footer(path: str) -> T.StructType | None:
-        try:
-            return spark.read.parquet(path).schema
-        except (PySparkException, Py4JJavaError):
-            return None
+def file_readability(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(slice, path, rows_declared, rows_decoded) of every listed file, every value of every column decoded.
 
-    named = by_name(paths)
-    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
-        found = dict(zip(named, pool.map(footer, named.values())))
-    return {name: schema for name, schema in found.items() if schema is not None}
+    Rows are declared by the footer, NULL where it can't be read. The decoding scan skips the rest of a file it cannot
+    read, so a file is whole when both numbers agree.
+    """
+    told = landed.footers(spark, paths)
+    good = told.filter("error IS NULL")
+    decoded = []
+    found = landed.layouts(spark, paths, told)
+    schemas = {x.schema.json(): x.schema for x in found}
+    listed: dict[str, list[str]] = {}
+    for x in found:
+        if x.alone:
+            listed.setdefault(x.schema.json(), []).append(by_name(paths)[x.slice])
+    mixed = {x.slice for x in found if not x.alone}
+    if mixed:
+        rows = good.filter(name_of(F.col(SLICE), paths).isin(list(mixed))).select("path").collect()
+        for r in rows:
+            listed.setdefault(spark.read.parquet(r["path"]).schema.json(), []).append(r["path"])
+    for text, places in listed.items():
+        schema = schemas.get(text) or next(iter(schemas.values()))
+        reader = spark.read.schema(schema).option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true")
+        hashed = row_hash(schema.names)
+        # A plain count would be answered without decoding; the sign of the hash needs every column.
+        rows = reader.parquet(*places).groupBy(file_url(F.col("_metadata.file_path")).alias("file"))
+        decoded.append(rows.agg((F.count_if(hashed >= 0) + F.count_if(hashed < 0)).alias("rows_decoded")))
+    files = told.select(name_of(F.col(SLICE), paths).alias("slice"), "path", file_url(F.col("url")).alias("file"), F.col("rows").alias("rows_declared"))
+    if not decoded:
+        return files.select("slice", "path", "rows_declared", F.lit(0).cast("bigint").alias("rows_decoded"))
+    files = files.join(reduce(DataFrame.unionByName, decoded), "file", "left")
+    return files.select("slice", "path", "rows_declared", F.coalesce("rows_decoded", F.lit(0)).alias("rows_decoded"))
 
 
 def slice_readability(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """SRC-5: (slice, rows_declared, rows_decoded, is_readable), every value of every column decoded.
+    """SRC-5: (slice, files_listed, files_decoded, rows_declared, rows_decoded, is_readable).
 
-    Row counts declared in the footers come from a scan that reads no column. The decoding scan skips the
-    rest of a file it cannot read, so a slice is readable when both numbers agree.
+    A slice is readable if it exists, holds a file, and every one of its files was decoded in full.
     """
-    named = by_name(paths)
-    schemas = readable_schemas(spark, paths)
-    opened = [named[n] for n in schemas]
-    slices = spark.createDataFrame([(n, n in schemas) for n in named], "slice string, footer_readable boolean")
-    if not opened:
-        return slices.select(
-            "slice",
-            F.lit(0).cast("bigint").alias("rows_declared"),
-            F.lit(0).cast("bigint").alias("rows_decoded"),
-            F.lit(False).alias("is_readable"),
-        )
-    counts = []
-    for rows in scan_slices(spark, opened, schemas, skip_corrupt=True, apart=0):
-        hashed = row_hash([c for c in rows.columns if c != SOURCE_FILE])
-        counts.append(
-            rows.groupBy(F.col(SOURCE_FILE).alias("slice")).agg(
-                F.count(F.lit(1)).alias("rows_declared"), F.lit(0).cast("bigint").alias("rows_decoded")
-            )
-        )
-        counts.append(
-            rows.groupBy(F.col(SOURCE_FILE).alias("slice")).agg(
-                F.lit(0).cast("bigint").alias("rows_declared"),
-                # A plain count would be answered without decoding; the sign of the hash needs every column.
-                (F.count_if(hashed >= 0) + F.count_if(hashed < 0)).alias("rows_decoded"),
-            )
-        )
-    seen = (
-        reduce(DataFrame.unionByName, counts)
-        .groupBy("slice")
-        .agg(F.sum("rows_declared").alias("rows_declared"), F.sum("rows_decoded").alias("rows_decoded"))
-    )
-    return (
-        slices.join(seen, "slice", "left")
-        .fillna(0, subset=["rows_declared", "rows_decoded"])
-        .select(
-            "slice",
-            "rows_declared",
-            "rows_decoded",
-            (F.col("footer_readable") & (F.col("rows_declared") == F.col("rows_decoded"))).alias("is_readable"),
-        )
+    slices = spark.createDataFrame([(n,) for n in by_name(paths)], "slice string")
+    counts = ["files_listed", "files_decoded", "rows_declared", "rows_decoded"]
+    there = existing(spark, paths)
+    if not there:
+        return slices.select("slice", *[F.lit(0).cast("bigint").alias(c) for c in counts], F.lit(False).alias("is_readable"))
+    whole = F.coalesce(F.col("rows_declared") == F.col("rows_decoded"), F.lit(False))
+    seen = file_readability(spark, there).groupBy("slice").agg(
+        F.count(F.lit(1)).alias("files_listed"),
+        F.count_if(whole).alias("files_decoded"),
+        F.coalesce(F.sum("rows_declared"), F.lit(0)).alias("rows_declared"),
+        F.sum("rows_decoded").alias("rows_decoded"),
     )
+    known = slices.join(seen, "slice", "left")
+    readable = F.coalesce(F.col("files_listed") == F.col("files_decoded"), F.lit(False))
+    return known.select("slice", *[F.coalesce(c, F.lit(0)).alias(c) for c in counts], readable.alias("is_readable"))
 
 
 def manifest_status(
     spark: SparkSession, expected: list[str], paths: list[str], tolerance: float = TOLERANCE
 ) -> DataFrame:
-    """MAN-2: verification state of every expected slice; ``paths`` are the slices that landed.
+    """MAN-2: verification state of every expected slice; ``paths`` are where the slices should have landed.
 
     ``verified`` means landed, not empty on disk, of a size in line with the others, and readable; where the
-    size cannot be compared because no other slice landed, the state is ``undetermined``.
+    size cannot be compared because no other slice landed, the state is ``undetermined``. A path that does not exist
+    is size 0 and ``incomplete``.
     """
     sizes = leave_one_out(slice_sizes(spark, paths), "size_bytes", tolerance)
     slices = spark.createDataFrame([(n,) for n in expected], "slice string")
     joined = slices.join(sizes, "slice", "left").join(slice_readability(spark, paths), "slice", "left")
-    landed = F.coalesce(F.col("size_bytes"), F.lit(0)) > 0
+    landed_bytes = F.coalesce(F.col("size_bytes"), F.lit(0)) > 0
     status = (
-        F.when(~landed | ~F.coalesce("is_readable", F.lit(False)) | F.col("is_outlier"), INCOMPLETE)
+        F.when(~landed_bytes | ~F.coalesce("is_readable", F.lit(False)) | F.col("is_outlier"), INCOMPLETE)
         .when(F.col("is_outlier").isNull(), UNDETERMINED)
         .otherwise(VERIFIED)
     )
@@ -130,20 +116,9 @@ def manifest_status(
 
 
 def bytes_per_row(spark: SparkSession, paths: list[str], tolerance: float = TOLERANCE) -> DataFrame:
-    """MAN-3: slices whose bytes per row are out of line with the others.
-
-    Row counts and sizes come from footers and file metadata, so no column is read and nothing is joined.
-    """
-    files = reduce(
-        DataFrame.unionByName,
-        [
-            rows.groupBy(SOURCE_FILE, "_path").agg(F.count(F.lit(1)).alias("n"), F.max("_bytes").alias("b"))
-            for rows in scan_slices(spark, paths, file_columns=True, apart=0)
-        ],
-    )
-    slices = (
-        files.groupBy(F.col(SOURCE_FILE).alias("slice"))
-        .agg(F.sum("n").alias("row_count"), F.sum("b").alias("size_bytes"))
-        .withColumn("bytes_per_row", F.col("size_bytes") / F.col("row_count"))
-    )
+    """MAN-3: slices whose bytes per row are out of line with the others; only footers are read."""
+    sums = landed.footers(spark, paths).groupBy(SLICE)
+    sums = sums.agg(F.sum("rows").alias("row_count"), F.sum("length").alias("size_bytes"))
+    slices = sums.select(name_of(F.col(SLICE), paths).alias("slice"), "row_count", "size_bytes")
+    slices = slices.withColumn("bytes_per_row", F.try_divide(F.col("size_bytes"), F.col("row_count")))
     return leave_one_out(slices, "bytes_per_row", tolerance)

@@ -1,22 +1,28 @@
 """Reading slices: SRC-1, SRC-2 and SRC-4.
 
-A slice is a Parquet file, or a folder of them, that landed as one; its name is the last part of its path.
-Slices whose schemas differ cannot share a scan: Parquet's double and bigint do not merge. A few slices get
-a scan each, so that the name is a constant; many are read by one scan per distinct schema, so that the plan
-grows with the number of schemas and not with the number of slices, and the name comes from the file's path.
+A slice is a Parquet file, or a folder of them however nested, that landed as one; its name is the last part of its path.
+Slices of one schema share a scan, so plans grow with the number of schemas and not of slices. Which slice a row is from
+follows from its file: a dictionary of the slices' paths, spelled as Spark spells them, is joined to the leading part of
+the file's path. What the join attaches is the slice's number; names are put in its place at the end.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SOURCE_FILE = "_source_file"
-FOOTER_THREADS = 16
-SCANS_APART = 32  # up to this many slices are scanned one by one
+SLICE = "_slice"  # a slice's place among the sorted names
+DRIVER_THREADS = 16
+_LOCAL = "^file:/+"
 
 
 def slice_name(path: str) -> str:
@@ -31,26 +37,160 @@ def by_name(paths: list[str]) -> dict[str, str]:
     return named
 
 
-def read_schemas(spark: SparkSession, paths: list[str]) -> dict[str, T.StructType]:
-    """SRC-2: each slice's schema from its footer, read side by side; no row is touched."""
-    named = by_name(paths)
-    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
-        schemas = pool.map(lambda p: spark.read.parquet(p).schema, named.values())
-        return dict(zip(named, schemas))
+def _hadoop(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system, system.makeQualified(target)
+
+
+def existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The paths that exist."""
 
+    def there(path: str) -> bool:
+        system, target = _hadoop(spark, path)
+        return system.exists(target)
 
-def lineage(names: list[str]) -> Column:
-    """SRC-4: the slice a row was read from, also where the slice is a folder of files."""
-    if len(names) == 1:
-        return F.lit(names[0])
-    file_name = F.col("_metadata.file_name")
-    folder = F.substring_index(F.substring_index(F.col("_metadata.file_path"), "/", -2), "/", 1)
-    return F.when(file_name.isin(names), file_name).otherwise(folder)
+    with ThreadPoolExecutor(DRIVER_THREADS) as pool:
+        return [p for p, found in zip(paths, pool.map(there, paths)) if found]
 
 
 def file_url(path: Column) -> Column:
-    """One spelling of a file path: listings write ``file:/a``, scans ``file:///a``."""
-    return F.regexp_replace(path, "^file:/+", "/")
+    """One spelling of a file's path: some parts of Spark write ``file:/a``, others ``file:///a``."""
+    return F.regexp_replace(path, _LOCAL, "file:/")
+
+
+def with_slice(df: DataFrame, file_path: Column, paths: list[str]) -> DataFrame:
+    """SRC-4: adds the number of the slice each row's file belongs to; a file of none is an error.
+
+    ``file_path`` is a path as ``_metadata.file_path`` has it. A path is cut to as many parts as a slice's has and looked
+    up; slices of several depths are looked up one depth after another, the deepest that holds the file counting.
+    """
+    spark = df.sparkSession
+    numbers = {name: i for i, name in enumerate(sorted(by_name(paths)))}
+    depths: dict[int, list[tuple[str, int]]] = {}
+    for path in paths:
+        uri = re.sub(_LOCAL, "file:/", _hadoop(spark, path)[1].toUri().toString())
+        depths.setdefault(uri.count("/") + 1, []).append((uri, numbers[slice_name(path)]))
+    columns, found = df.columns, []
+    out = df.withColumn("__file", file_url(file_path))
+    for depth in sorted(depths, reverse=True):
+        uris, own = zip(*depths[depth])
+        # From an Arrow table, so that Spark knows its size: a row per slice, which it broadcasts or not by itself.
+        known = spark.createDataFrame(pa.table({f"__uri_{depth}": uris, f"__no_{depth}": pa.array(own, pa.int32())}))
+        out = out.join(known, F.substring_index("__file", "/", depth) == F.col(f"__uri_{depth}"), "left")
+        found.append(F.col(f"__no_{depth}"))
+    nobody = F.raise_error(F.concat(F.lit("a file of no slice: "), F.col("__file"))).cast("int")
+    return out.select(*[F.col(f"`{c}`") for c in columns], F.coalesce(*found, nobody).alias(SLICE))
+
+
+def name_of(number: Column, paths: list[str]) -> Column:
+    """The name a slice's number stands for."""
+    return F.get(F.lit(sorted(by_name(paths))), number)
+
+
+def list_files(spark: SparkSession, paths: list[str], pattern: str = "*.parquet") -> DataFrame:
+    """(path, url, length, modificationTime) of the files below the paths; their content is not read."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+    return reader.load(list(paths)).select("path", F.col("_metadata.file_path").alias("url"), "length", "modificationTime")
+
+
+def _footer(path: str, url: str) -> tuple[int | None, str | None, str | None]:
+    """Rows and schema (as Spark's JSON) that a file's footer declares, or what is wrong with it."""
+    from pyarrow import fs, parquet
+    from pyspark.sql.pandas.types import from_arrow_schema
+
+    try:
+        local = re.match(_LOCAL, url)
+        system, place = (fs.LocalFileSystem(), "/" + unquote(url[local.end() :])) if local else fs.FileSystem.from_uri(url)
+    except Exception:
+        return None, None, ""  # a store only Spark reads
+    try:
+        with system.open_input_file(place) as source:
+            found = parquet.read_metadata(source)
+        own = (found.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
+        return found.num_rows, own.decode() if own else from_arrow_schema(found.schema.to_arrow_schema(), True).json(), None
+    except Exception as error:
+        return None, None, str(error)[:500] or type(error).__name__
+
+
+FOOTERS = "path string, url string, length long, _slice int, rows long, schema string, error string"
+
+
+def footers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """SRC-2 for every file: (path, url, length, _slice, rows, schema, error), read by tasks; no row is touched.
+
+    Files in a store only Spark's readers reach are opened by Spark from the driver, side by side.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = [_footer(p, u) for p, u in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            extra = [pa.array([t[k] for t in told], kind) for k, kind in enumerate((pa.int64(), pa.string(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [c.split()[0] for c in FOOTERS.split(", ")])
+
+    listed = with_slice(list_files(spark, paths), F.col("url"), paths).select("path", "url", "length", SLICE)
+    read = listed.repartition(spark.sparkContext.defaultParallelism).mapInArrow(run, FOOTERS)
+    unreached = [r.path for r in read.filter("error = ''").select("path").collect()]
+    if not unreached:
+        return read
+
+    def by_spark(path: str) -> tuple[str, int | None, str | None, str | None]:
+        try:
+            rows = spark.read.parquet(path)
+            return path, rows.count(), rows.schema.json(), None
+        except Exception as error:
+            return path, None, None, str(error)[:500]
+
+    with ThreadPoolExecutor(DRIVER_THREADS) as pool:
+        told = spark.createDataFrame(list(pool.map(by_spark, unreached)), "path string, r long, s string, e string")
+    both = read.join(told, "path", "left")
+    error = F.when(F.col("error") == "", F.col("e")).otherwise(F.col("error"))
+    return both.select("path", "url", "length", SLICE, F.coalesce("rows", "r").alias("rows"), F.coalesce("schema", "s").alias("schema"), error.alias("error"))
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Files of a slice that share a schema: all of the slice's, or some."""
+
+    slice: str
+    schema: T.StructType
+    example: str
+    alone: bool  # whether the slice has no other schema
+
+    @property
+    def label(self) -> str:
+        return self.slice if self.alone else f"{self.slice}/{slice_name(self.example)}"
+
+
+def layouts(spark: SparkSession, paths: list[str], told: DataFrame | None = None) -> list[Layout]:
+    """The distinct schemas of each slice's readable files, each with the first file that has it."""
+    told = footers(spark, paths) if told is None else told
+    found = told.filter("schema IS NOT NULL").groupBy(SLICE, "schema").agg(F.min("path").alias("path")).collect()
+    names, schemas = sorted(by_name(paths)), {}
+    examples = {r["schema"]: r["path"] for r in found}
+    with ThreadPoolExecutor(DRIVER_THREADS) as pool:  # one file per distinct schema, as Spark understands it
+        schemas = dict(zip(examples, pool.map(lambda p: spark.read.parquet(p).schema, examples.values())))
+    own: dict[int, set[str]] = {}
+    for r in found:
+        own.setdefault(r[SLICE], set()).add(schemas[r["schema"]].json())
+    done = {}
+    for r in sorted(found, key=lambda r: (names[r[SLICE]], r["path"])):
+        key = (r[SLICE], schemas[r["schema"]].json())
+        done.setdefault(key, Layout(names[r[SLICE]], schemas[r["schema"]], r["path"], len(own[r[SLICE]]) == 1))
+    return list(done.values())
+
+
+def read_schemas(spark: SparkSession, paths: list[str]) -> dict[str, T.StructType]:
+    """SRC-2: slice to schema, of all its files; one whose files differ has an entry ``slice/file`` for each schema.
+
+    An unreadable file is an error here.
+    """
+    told = footers(spark, paths)
+    broken = told.filter("error IS NOT NULL").select("path", "error").head()
+    if broken is not None:
+        raise ValueError(f"the footer of {broken['path']} cannot be read: {broken['error']}")
+    order = {name: i for i, name in enumerate(by_name(paths))}
+    return {x.label: x.schema for x in sorted(layouts(spark, paths, told), key=lambda x: order[x.slice])}
 
 
 def scan_slices(
@@ -59,23 +199,33 @@ def scan_slices(
     schemas: dict[str, T.StructType] | None = None,
     skip_corrupt: bool = False,
     file_columns: bool = False,
-    apart: int | None = None,
+    numbered: bool = False,
 ) -> list[DataFrame]:
-    """SRC-1: one scan per slice, or per distinct schema, each with the lineage column ``_source_file``.
+    """SRC-1: one scan per distinct schema, with the lineage column ``_source_file``, or ``_slice`` if numbered.
 
-    ``file_columns`` also keeps path and size of the file behind each row, for the manifest checks; ``apart``
-    overrides up to how many slices get a scan of their own.
+    ``schemas`` is what ``read_schemas`` returned. ``file_columns`` also keeps path and size of the file behind each row.
+    Folder names below a slice are not columns.
     """
-    most_apart = SCANS_APART if apart is None else apart
     named = by_name(paths)
-    schemas = schemas or read_schemas(spark, paths)
+    schemas = schemas if schemas is not None else read_schemas(spark, paths)
     groups: dict[str, list[str]] = {}
+    mixed = [named[n] for n in named if n not in schemas]
     for name, schema in schemas.items():
-        groups.setdefault(name if len(schemas) <= most_apart else schema.json(), []).append(name)
+        if name in named:
+            groups.setdefault(schema.json(), []).append(named[name])
+    if mixed:
+        wanted = {s.json(): s for s in schemas.values()}
+        for r in footers(spark, mixed).filter("schema IS NOT NULL").select("path", "schema").collect():
+            own = spark.read.parquet(r["path"]).schema.json() if r["schema"] not in wanted else r["schema"]
+            groups.setdefault(own, []).append(r["path"])
     extra = [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_size").alias("_bytes")]
     scans = []
-    for names in groups.values():
-        reader = spark.read.schema(schemas[names[0]]).option("ignoreCorruptFiles", str(skip_corrupt).lower())
-        rows = reader.parquet(*[named[n] for n in names])
-        scans.append(rows.select("*", lineage(names).alias(SOURCE_FILE), *(extra if file_columns else [])))
+    for text, places in groups.items():
+        schema = next(s for s in schemas.values() if s.json() == text)
+        reader = spark.read.schema(schema).option("ignoreCorruptFiles", str(skip_corrupt).lower())
+        rows = reader.option("recursiveFileLookup", "true").parquet(*places)
+        columns = [F.col(f"`{c}`") for c in schema.names]
+        rows = with_slice(rows.select(*columns, F.col("_metadata.file_path").alias("__path"), *(extra if file_columns else [])), F.col("__path"), paths)
+        lineage = F.col(SLICE) if numbered else name_of(F.col(SLICE), paths).alias(SOURCE_FILE)
+        scans.append(rows.select(*columns, lineage, *(["_path", "_bytes"] if file_columns else [])))
     return scans

@@ -97,6 +97,38 @@ def weekly_extracts(spark: SparkSession, sf_dir: str) -> list[str]:
     return _extracts[key]
 
 
+def monthly_orders(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Orders landed as a folder a month; the last one nested by status, the first with customers as double."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir} orders")
+    if key not in _extracts:
+        root = fresh_path(spark, "months")
+        landed = table(spark, sf_dir, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+        months = sorted(r[0] for r in landed.select("month").distinct().collect())  # one a month of the calendar
+        old, nested = months[0], months[-1]
+        kinds = {"old": F.col("month") == old, "nested": F.col("month") == nested, "new": ~F.col("month").isin(old, nested)}
+        for kind, own in kinds.items():
+            rows = landed.filter(own).withColumn("slice", F.concat(F.lit("orders "), "month")).drop("month")
+            if kind == "old":
+                rows = rows.withColumn("o_custkey", F.col("o_custkey").cast("double"))
+            split = rows.withColumn("status", F.col("o_orderstatus")) if kind == "nested" else rows
+            by = ["slice", "status"] if kind == "nested" else ["slice"]
+            split.repartition(*by).write.partitionBy(*by).parquet(f"{root}/{kind}")
+        _extracts[key] = [_renamed(spark, f"{root}/{kind}", m) for m in months for kind in [_kind_of(m, old, nested)]]
+    return _extracts[key]
+
+
+def _kind_of(month: str, old: str, nested: str) -> str:
+    return "old" if month == old else "nested" if month == nested else "new"
+
+
+def _renamed(spark: SparkSession, folder: str, month: str) -> str:
+    """Give a partition folder the name a landed slice has, with its space."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.rename(path(f"{folder}/slice=orders {month}"), path(f"{folder}/orders {month}"))
+    return f"{folder}/orders {month}"
+
+
 def _write_extracts(spark: SparkSession, sf_dir: str) -> list[str]:
     root = fresh_path(spark, "extracts")
     own_week, week_before = week_of(F.to_date(PICKUP)), week_of(F.date_sub(F.to_date(PICKUP), 1))

@@ -249,7 +249,7 @@ ORACLE["threshold_count"] = f"{BASE} SELECT count(*) AS trip_count FROM kept WHE
 ORACLE["busiest_hour"] = f"""{BASE}
 SELECT CAST(hour(tpep_pickup_datetime) AS INTEGER) AS pickup_hour, count(*) AS trip_count
 FROM kept GROUP BY 1 ORDER BY trip_count DESC, pickup_hour LIMIT 1"""
-ORACLE["result_preview"] = f"{ORACLE['avg_by_month']} LIMIT 50"
+ORACLE["result_preview"] = f"SELECT *, count(*) OVER () AS total_rows FROM ({ORACLE['avg_by_month']}) ORDER BY month LIMIT 50"
 ORACLE["report_format"] = """
 SELECT o_orderpriority, translate(format('{:,.2f}', sum(o_totalprice)), ',.', '.,') AS total_text
 FROM orders GROUP BY 1"""
@@ -339,8 +339,8 @@ ORACLE["distinct_documents"] = """
 SELECT min(doc_id) AS doc_id, lang, source, n_chars, count(*) AS copies
 FROM documents GROUP BY text, lang, source, n_chars"""
 ORACLE["bronze_build"] = f"""{SLICES}
-SELECT event_id, passenger_count, CAST(rate AS INTEGER) AS "RatecodeID", min(_source_file) AS _source_file,
-       tpep_dropoff_datetime
+SELECT event_id, event_type, "VendorID", passenger_count, total_amount, tpep_pickup_datetime, tpep_dropoff_datetime,
+       CAST(rate AS INTEGER) AS "RatecodeID", fee AS airport_fee, min(_source_file) AS _source_file
 FROM landed GROUP BY ALL"""
 
 # --- profile --------------------------------------------------------------------------------------
@@ -472,7 +472,8 @@ UNION ALL SELECT 'silver', 'pass', count(*), count(*) FILTER (NOT {ANY}) FROM kn
 
 ORACLE["slice_readability"] = union(
     [
-        f"SELECT '{t}.parquet' AS slice, count(*) AS rows_declared, count(*) AS rows_decoded, TRUE AS is_readable FROM {t}"
+        f"SELECT '{t}.parquet' AS slice, CAST(1 AS BIGINT) AS files_listed, CAST(1 AS BIGINT) AS files_decoded, "
+        f"count(*) AS rows_declared, count(*) AS rows_decoded, TRUE AS is_readable FROM {t}"
         for t in COLUMNS
     ]
 )
@@ -486,6 +487,9 @@ FROM keyed JOIN others USING (slice)
 UNION ALL
 SELECT 'slice=' || strftime(CAST(substr(max(_source_file), 7) AS DATE) + INTERVAL 7 DAY, '%Y-%m-%d'), 0, FALSE, 'incomplete'
 FROM landed"""
+ORACLE["file_manifest"] = union([f"SELECT '{t}.parquet' AS file_name, TRUE AS filled, TRUE AS size_agrees" for t in COLUMNS])
+ORACLE["bytes_per_row_outliers"] = f"""{SLICES}
+SELECT _source_file AS slice, count(*) AS row_count, TRUE AS is_size_by_rows, TRUE AS verdict_follows FROM landed GROUP BY 1"""
 ORACLE["loo_outliers"] = leave_one_out(
     "SELECT source, CAST(sum(n_chars) AS BIGINT) AS total_chars FROM documents GROUP BY 1",
     "source",
@@ -542,3 +546,14 @@ centres AS (SELECT event_type, avg(effect) AS centre FROM effects GROUP BY 1)
 SELECT event_type, day, y, round(trend, 6) AS trend, round(effect - centre, 6) AS weekly,
        round(rest - (effect - centre), 6) AS remainder
 FROM detrended JOIN effects USING (event_type, wd) JOIN centres USING (event_type)"""
+
+ORACLE["month_extremes"] = """
+WITH m AS (
+    SELECT strftime(o_orderdate, '%Y-%m') AS month, round(avg(o_totalprice), 2) AS v FROM orders GROUP BY 1
+)
+SELECT (SELECT month FROM m ORDER BY v, month LIMIT 1) AS lowest_month, (SELECT min(v) FROM m) AS "lowest_avg_o_totalprice",
+       (SELECT month FROM m ORDER BY v DESC, month LIMIT 1) AS highest_month, (SELECT max(v) FROM m) AS "highest_avg_o_totalprice"
+"""
+ORACLE["many_slices"] = """
+SELECT * EXCLUDE (month), 'orders ' || month AS _source_file FROM (SELECT *, strftime(o_orderdate, '%Y-%m') AS month FROM orders)
+"""

@@ -15,7 +15,7 @@ from tablegate.functions import calendar
 from tablegate.functions.families import families_of
 from tablegate.functions.text import number_text
 from tablegate.operators import analytics, outliers, profile, quality, reconcile, schema, slices, timeseries
-from tablegate.plans import copies, gate, ingest, quantiles, runlog, sinks
+from tablegate.plans import gate, ingest, quantiles, runlog, sinks
 from tablegate.sources import manifest
 from tablegate.sources import slices as landed
 from tablegate.sources.workspace import fresh_path
@@ -154,7 +154,12 @@ def undetermined_rows(spark, sf_dir):
 
 @query
 def silver_violations(spark, sf_dir):
-    return quality.violations(_survivors(spark, sf_dir), fx.trips_contract())
+    """The rules counted on the published table, which the gate built from an ingested table by name."""
+    source, table, log = (_scratch_table() for _ in range(3))
+    sinks.overwrite_table(fx.trips(spark, sf_dir), source, fresh_path(spark, "trips"))
+    result = gate.build(spark, source, fx.trips_contract(), table, log, fresh_path(spark, "silver"), RUN_TS)
+    _drop_entry(spark, source, table, log)
+    return quality.violations(spark.read.parquet(result.published.location), fx.trips_contract())
 
 
 @query
@@ -225,6 +230,13 @@ def avg_of_period_totals(spark, sf_dir):
     return totals.select(*[F.round(c, 2).alias(c) for c in totals.columns])
 
 
+@query
+def month_extremes(spark, sf_dir):
+    """Months, a text key, with the lowest and highest average price."""
+    by_month = analytics.avg_by_month(fx.table(spark, sf_dir, "orders"), "o_orderdate", "o_totalprice")
+    return analytics.extremes(by_month, "month", "avg_o_totalprice")
+
+
 @query
 def hour_extremes(spark, sf_dir):
     by_hour = analytics.avg_by_hour(_survivors(spark, sf_dir), fx.PICKUP, "passenger_count", 2024, 1)
@@ -243,9 +255,9 @@ def busiest_hour(spark, sf_dir):
 
 @query
 def result_preview(spark, sf_dir):
-    """The first fifty months of a monthly report."""
+    """The first fifty months of a monthly report, and how many it has."""
     orders = fx.table(spark, sf_dir, "orders")
-    return analytics.preview(analytics.avg_by_month(orders, "o_orderdate", "o_totalprice"))
+    return analytics.preview(analytics.avg_by_month(orders, "o_orderdate", "o_totalprice"), 50)
 
 
 @query
@@ -273,6 +285,16 @@ def slice_scan(spark, sf_dir):
     return slices.union_slices(per_slice)
 
 
+@query
+def many_slices(spark, sf_dir):
+    """Orders landed as a slice a month, names with a space, one month nested, one in an older layout; ingested."""
+    table, log = _scratch_table(), _scratch_table()
+    paths = fx.monthly_orders(spark, sf_dir)
+    result = ingest.ingest(spark, paths, {"o_custkey": "bigint"}, table, log, fresh_path(spark, "months"), RUN_TS)
+    _drop_entry(spark, table, log)
+    return spark.read.parquet(result.published.location).drop("_ingested_at")
+
+
 @query
 def lineage_counts(spark, sf_dir):
     """Rows per source file of all given tables; no column is read."""
@@ -403,7 +425,7 @@ def ingest_accounting(spark, sf_dir):
 @query
 def distinct_documents(spark, sf_dir):
     """Documents that differ in more than their id, and how many copies each has."""
-    rows = copies.distinct_rows(fx.table(spark, sf_dir, "documents"), "doc_id")
+    rows = slices.collapse_copies(fx.table(spark, sf_dir, "documents"), ["doc_id"], "doc_id")
     return rows.select("doc_id", "lang", "source", "n_chars", F.col(slices.COPIES).alias("copies"))
 
 
@@ -415,7 +437,7 @@ def bronze_build(spark, sf_dir):
     result = ingest.ingest(spark, paths, fx.DRIFT, table, log, fresh_path(spark, "bronze"), RUN_TS)
     _drop_entry(spark, table, log)
     stamped = spark.read.parquet(result.published.location)
-    return stamped.select("event_id", "passenger_count", "RatecodeID", landed.SOURCE_FILE, fx.DROPOFF)
+    return stamped.drop("_ingested_at")
 
 
 # --- profile --------------------------------------------------------------------------------------
@@ -505,7 +527,7 @@ def profile_quantiles_exact(spark, sf_dir):
 @query
 def profile_duplicates(spark, sf_dir):
     """Repeated documents per source, ids aside."""
-    return copies.duplicate_counts(fx.table(spark, sf_dir, "documents").drop("doc_id"), "source")
+    return profile.duplicate_rows(fx.table(spark, sf_dir, "documents").drop("doc_id"), "source")
 
 
 # --- run log and sinks ----------------------------------------------------------------------------
@@ -594,7 +616,14 @@ def run_log_prune(spark, sf_dir):
 
 @query
 def file_manifest(spark, sf_dir):
-    return manifest.file_manifest(spark, sf_dir)
+    """File names and whether they hold anything; sizes on disk are the listing's, compared with what a scan says."""
+    listed = manifest.file_manifest(spark, sf_dir).filter(F.col("path").rlike("/(" + "|".join(fx.TABLES) + ")[.]parquet$"))
+    scans = landed.scan_slices(spark, [fx.table_path(sf_dir, t) for t in fx.TABLES], file_columns=True)
+    sizes = slices.union_slices([s.groupBy("_path").agg(F.max("_bytes").alias("size")) for s in scans])
+    sizes = sizes.select(landed.file_url("_path").alias("url"), "size")
+    joined = listed.withColumn("url", landed.file_url("path")).join(sizes, "url", "left")
+    name = F.element_at(F.split("path", "/"), -1).alias("file_name")
+    return joined.select(name, (F.col("length") > 0).alias("filled"), (F.col("length") == F.col("size")).alias("size_agrees"))
 
 
 @query
@@ -608,13 +637,18 @@ def manifest_status(spark, sf_dir):
     paths = fx.weekly_extracts(spark, sf_dir)
     names = [landed.slice_name(p) for p in paths]
     missing = date.fromisoformat(names[-1].split("=")[1]) + timedelta(days=7)
-    status = manifest.manifest_status(spark, [*names, f"slice={missing}"], paths)
+    absent = f"{paths[-1].rsplit('/', 1)[0]}/slice={missing}"
+    status = manifest.manifest_status(spark, [*names, f"slice={missing}"], [*paths, absent])
     return status.select("slice", "row_count", "is_readable", "verification_status")
 
 
 @query
 def bytes_per_row_outliers(spark, sf_dir):
-    return manifest.bytes_per_row(spark, fx.weekly_extracts(spark, sf_dir))
+    """Rows per slice, and that the figure is size by rows and the verdict follows from the others' median."""
+    found = manifest.bytes_per_row(spark, fx.weekly_extracts(spark, sf_dir))
+    exact = F.col("bytes_per_row") == F.col("size_bytes") / F.col("row_count")
+    off = F.abs(F.col("bytes_per_row") - F.col("median_of_others")) > outliers.TOLERANCE * F.col("median_of_others")
+    return found.select("slice", "row_count", exact.alias("is_size_by_rows"), (F.col("is_outlier") == off).alias("verdict_follows"))
 
 
 @query

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tablegate.operators import profile, schema, slices
 from tablegate.operators.schema import SchemaDriftError
-from tablegate.plans import copies, ingest, quantiles, runlog, sinks
+from tablegate.plans import ingest, quantiles, runlog, sinks
 from tablegate.sources import manifest
 from tablegate.sources import slices as landed
 from tablegate.suite import fixtures as fx
@@ -72,52 +72,64 @@ def test_result_does_not_depend_on_the_order_of_slices(spark, land):
         assert {(r.id, r.n, r._source_file, r._copies) for r in rows.collect()} == expected
 
 
-def test_many_slices_fall_back_to_names(spark, monkeypatch):
-    rows = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "id int, _source_file string")
-    indexed = slices.collapse_copies(rows, ["_source_file"], "_source_file", ["c", "a", "b"])
-    monkeypatch.setattr(slices, "INDEXED_SLICES", 1)
-    named = slices.collapse_copies(rows, ["_source_file"], "_source_file", ["c", "a", "b"])
-    assert sorted(map(tuple, indexed.collect())) == sorted(map(tuple, named.collect())) == [(1, "a", 2), (2, "c", 1)]
-
-
-@pytest.mark.parametrize("limit", [2_000_000, 0])
-def test_every_way_of_removing_copies_agrees(spark, monkeypatch, limit):
-    """With few repeats (broadcast), many (limit 0) and none, a third of all rows being one row."""
-    monkeypatch.setattr(copies, "BROADCAST_HASHES", limit)
-    rows = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 700).alias("a"),
-        F.when(F.col("id") % 3 == 0, float("nan")).when(F.col("id") % 2 == 0, -0.0).otherwise(0.0).alias("b"),
-        F.concat(F.lit("s"), F.col("id") % 5).alias("_source_file"),
-        F.lit(1).alias("_cast_loss"),
-    )
-    expected = slices.collapse_copies(rows, ["_source_file"], "_source_file", None, ["_cast_loss"])
-    got = copies.distinct_rows(rows, "_source_file", [f"s{i}" for i in range(5)], ["_cast_loss"])
-
-    def plain(df):
-        return sorted((r.a is None, r.a or 0, r._source_file, r._copies, r._cast_loss) for r in df.collect())
-
-    assert plain(got) == plain(expected)
-    assert got.agg(F.sum("_copies")).head()[0] == 3000 and got.count() == 701
-
-    once = spark.range(500).select("id", F.lit("s0").alias("_source_file"))
-    assert copies.distinct_rows(once, "_source_file").filter("_copies = 1").count() == 500
-
-    named = rows.drop("_cast_loss")
-    by_hash = {r.slice: tuple(r) for r in copies.duplicate_counts(named, "_source_file").collect()}
-    by_row = {r.slice: tuple(r) for r in profile.duplicate_rows(named, "_source_file").collect()}
-    assert by_hash == by_row
-
-
-def test_no_repeats_means_no_shuffle(spark):
-    once = spark.range(500).select("id", F.lit("s0").alias("_source_file"))
-    plan = copies.distinct_rows(once, "_source_file", ["s0"])._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
+@pytest.mark.parametrize("many", [3, 80])
+def test_names_do_not_depend_on_the_number_of_slices(spark, tmp_path, names, many):
+    """Names with a space, one slice nested, one a file below another's folder name."""
+    table, log = names
+    rows = spark.range(many * 3).selectExpr("id", "id AS n", "0.5 AS fee", f"concat('trips ', lpad(id % {many}, 2, '0')) AS slice")
+    for r in range(many):
+        name = f"trips {r:02d}"
+        own = rows.filter(F.col("slice") == name).drop("slice").coalesce(1)
+        own.write.parquet(str(tmp_path / name / ("day=1/part" if r == 1 else "")))
+    paths = [str(tmp_path / f"trips {r:02d}") for r in range(many)]
+    result = ingest.ingest(spark, paths, {}, table, log)
+    assert result.rows_read == result.rows_written == many * 3
+    got = sorted((r.id, r._source_file) for r in spark.table(table).collect())
+    assert got == [(i, f"trips {i % many:02d}") for i in range(many * 3)]
+
+
+def test_a_file_of_no_slice_is_an_error(spark, land):
+    paths = land(a=spark.range(3).toDF("id"), b=spark.range(3).toDF("id"))
+    rows = spark.read.parquet(*paths).select(F.col("_metadata.file_path").alias("p"))
+    with pytest.raises(Exception, match="a file of no slice"):
+        landed.with_slice(rows, F.col("p"), paths[:1]).collect()
+
+
+def test_every_file_of_a_slice_counts(spark, tmp_path):
+    """Whichever file a reader would open first, a slice whose files differ fails the same way."""
+    spark.createDataFrame([(1, 0.5)], "id bigint, amount double").coalesce(1).write.parquet(str(tmp_path / "a"))
+    spark.createDataFrame([(2,)], "id bigint").coalesce(1).write.mode("append").parquet(str(tmp_path / "a"))
+    spark.createDataFrame([(3, 0.5)], "id bigint, amount double").write.parquet(str(tmp_path / "b"))
+    paths = [str(tmp_path / "b"), str(tmp_path / "a")]
+    schemas = landed.read_schemas(spark, paths)
+    assert len(schemas) == 3 and list(schemas)[0] == "b"
+    with pytest.raises(SchemaDriftError, match=r"slice 'a/part-.*parquet': column 'amount' is 'missing', but 'floating' in slice 'b'"):
+        schema.assert_uniform(schemas, [])
+    assert sum(s.count() for s in landed.scan_slices(spark, paths, schemas)) == 3
+
+
+def test_one_damaged_file_among_four(spark, tmp_path):
+    frame = spark.range(0, 400, 1, 4).selectExpr("id", "hash(id) AS n")
+    for name in ("whole one", "footer", "page"):
+        frame.write.parquet(str(tmp_path / name))
+    for name, cut in (("footer", slice(-8, None)), ("page", slice(4, 60))):
+        victim = sorted((tmp_path / name).glob("*.parquet"))[0]
+        content = bytearray(victim.read_bytes())
+        content[cut] = b"\x00" * len(content[cut])
+        victim.write_bytes(bytes(content))
+        for crc in (tmp_path / name).glob(".*.crc"):
+            crc.unlink()
+    paths = [str(tmp_path / n) for n in ("whole one", "footer", "page", "absent")]
+    got = {r.slice: (r.files_listed, r.files_decoded, r.rows_decoded, r.is_readable) for r in manifest.slice_readability(spark, paths).collect()}
+    assert got == {"whole one": (4, 4, 400, True), "footer": (4, 3, 300, False), "page": (4, 3, 300, False), "absent": (0, 0, 0, False)}
+    status = {r.slice: r.verification_status for r in manifest.manifest_status(spark, list(got), paths).collect()}
+    assert status == {"whole one": "verified", "footer": "incomplete", "page": "incomplete", "absent": "incomplete"}
 
 
 def test_collapse_shuffles_once_and_hashes(spark, sf_dir):
     plan = ingest.collapsed_slices(spark, fx.weekly_extracts(spark, sf_dir), fx.DRIFT)
     text = plan._jdf.queryExecution().executedPlan().toString()
-    assert text.count("Exchange") == 1 and "SortAggregate" not in text
+    assert text.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in text
 
 
 def test_lossy_casts_are_counted(spark, land, names):
@@ -169,22 +181,11 @@ def test_drift_report_lists_critical_columns_first(spark, land):
     assert report[0].type_family_by_slice == {"a": "floating", "b": "integer"}
 
 
-def test_one_scan_per_schema_gives_the_same_rows(spark, sf_dir, monkeypatch):
+def test_one_scan_per_schema(spark, sf_dir):
     paths = fx.weekly_extracts(spark, sf_dir)
-
-    def counts(scans):
-        return sorted(tuple(r) for s in scans for r in slices.rows_per_slice(s, "_source_file").collect())
-
-    def rows(scans):
-        stacked = slices.union_slices([s.select("event_id", "_source_file") for s in scans])
-        return sorted(tuple(r) for r in stacked.collect())
-
-    apart = landed.scan_slices(spark, paths)
-    monkeypatch.setattr(landed, "SCANS_APART", 1)
     together = landed.scan_slices(spark, paths)
-    assert (len(apart), len(together)) == (6, 2)
-    assert counts(apart) == counts(together)
-    assert rows(apart) == rows(together)
+    got = {r[0]: r[1] for s in together for r in slices.rows_per_slice(s, "_source_file").collect()}
+    assert len(together) == 2 and got == {landed.slice_name(p): spark.read.parquet(p).count() for p in paths}
 
 
 def test_slices_of_one_name_are_refused(spark):
