@@ -1,28 +1,35 @@
-"""Exact quantiles per slice (AGG-5, exact form) by one distributed sort.
+"""Exact values at ranks (AGG-5, exact form; MAN-1) by one distributed sort.
 
 Counting distinct values first makes a value's copies one row, so range partitioning by (measure, slice, value)
-splits even a slice that holds most rows into parts of like size. The number of rows per part then tells which
-part holds a rank, and only inside such parts are values numbered. No task sees more than one part.
+splits even a slice that holds most rows into parts of like size; there are as many as the rows need. The number of rows
+per part then tells which part holds a rank, and only inside such parts are values numbered. No task sees more than one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from math import ceil
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablegate.operators.profile import QUANTILES, quantile_name
-from tablegate.plans.sinks import SHUFFLE_PARTITIONS
 from tablegate.sources.workspace import fresh_path
 
-LOWER, UPPER = 0, 1
+PART_ROWS = 1_000_000  # distinct values sorted by one task
+
+
+def _kept(df: DataFrame, label: str) -> DataFrame:
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _ordered_values(df: DataFrame, slice_column: str, measures: list[str]) -> DataFrame:
     """(slice, measure, v, c, part): distinct values with their counts, parts numbered in value order.
 
-    Written to the shared folder, because the part numbers must stay the same for everything read from them.
+    Written to the shared folder: the counts, so that their number is known before they are dealt into parts, and the
+    parts, because their numbers must stay the same for everything read from them.
     """
-    spark = df.sparkSession
     cells = F.array(
         *[F.struct(F.lit(m).alias("measure"), F.col(f"`{m}`").cast("double").alias("v")) for m in measures]
     )
@@ -32,54 +39,49 @@ def _ordered_values(df: DataFrame, slice_column: str, measures: list[str]) -> Da
         .groupBy("measure", "slice", "v")
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    parts = counts.repartitionByRange(int(spark.conf.get(SHUFFLE_PARTITIONS)), "measure", "slice", "v")
-    numbered = parts.select("*", F.spark_partition_id().alias("part"))
-    path = fresh_path(spark, "ordered-values")
-    numbered.write.parquet(path)
-    return spark.read.schema(numbered.schema).parquet(path)
+    counts = _kept(counts, "value-counts")
+    parts = max(1, ceil(counts.count() / PART_ROWS))
+    numbered = counts.repartitionByRange(parts, "measure", "slice", "v").select("*", F.spark_partition_id().alias("part"))
+    return _kept(numbered, "ordered-values")
 
 
-def exact_quantiles(
-    df: DataFrame, slice_column: str, measures: list[str], quantiles: tuple[float, ...] = QUANTILES
-) -> DataFrame:
-    """(slice, measure, p25, p50, ...), linearly interpolated between neighbouring values; NULLs do not count."""
+def at_ranks(df: DataFrame, slice_column: str, measures: list[str], ranks: dict[str, Column]) -> DataFrame:
+    """(slice, measure, n, a column per rank): the values at the given ranks, 1 the smallest; NULLs do not count.
+
+    Ranks are expressions over ``n``, the number of values; one outside 1..n gives NULL.
+    """
     values = _ordered_values(df, slice_column, measures)
     keys = ["measure", "slice"]
 
-    # One row per part and key; a key has at most as many parts as the shuffle has partitions.
+    # One row per part and key; a key has at most as many parts as there are.
     in_order = Window.partitionBy(*keys).orderBy("part")
     parts = values.groupBy(*keys, "part").agg(F.sum("c").alias("rows"))
     upto = F.sum("rows").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     total = F.sum("rows").over(Window.partitionBy(*keys))
     located = parts.select(*keys, "part", (upto - F.col("rows")).alias("before"), upto.alias("upto"), total.alias("n"))
 
-    # A quantile lies between two neighbouring ranks, or on one of them.
-    place = {q: F.lit(q) * (F.col("n") - 1) for q in quantiles}
-    ranks = [
-        F.struct(
-            F.lit(i).alias("quantile"),
-            F.lit(side).alias("side"),
-            (rounded(place[q]) + 1).alias("rank"),
-            (place[q] - F.floor(place[q])).alias("fraction"),
-        )
-        for i, q in enumerate(quantiles)
-        for side, rounded in ((LOWER, F.floor), (UPPER, F.ceil))
-    ]
-    inside = F.filter(
-        F.array(*ranks), lambda r: (r["rank"] > F.col("before")) & (r["rank"] <= F.col("upto"))
-    )
-    holding = located.select(*keys, "part", "before", inside.alias("ranks")).filter(F.size("ranks") > 0)
+    wanted = F.array(*[F.struct(F.lit(name).alias("name"), rank.cast("bigint").alias("rank")) for name, rank in ranks.items()])
+    inside = F.filter(wanted, lambda r: (r["rank"] > F.col("before")) & (r["rank"] <= F.col("upto")))
+    holding = located.select(*keys, "part", "before", "n", inside.alias("ranks")).filter(F.size("ranks") > 0)
 
     numbering = Window.partitionBy(*keys, "part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     numbered = values.join(holding, [*keys, "part"]).withColumn("upto", F.col("before") + F.sum("c").over(numbering))
     hit = F.filter("ranks", lambda r: (r["rank"] <= F.col("upto")) & (r["rank"] > F.col("upto") - F.col("c")))
-    found = numbered.select(*keys, "v", F.inline(hit))
+    found = numbered.select(*keys, "n", "v", F.inline(hit))
+    results = [F.max(F.when(F.col("name") == name, F.col("v"))).alias(name) for name in ranks]
+    return found.groupBy("slice", "measure").agg(F.max("n").alias("n"), *results)
 
-    def at(i: int, side: int, what: str):
-        return F.max(F.when((F.col("quantile") == i) & (F.col("side") == side), F.col(what)))
 
-    results = []
-    for i, q in enumerate(quantiles):
-        low, high = at(i, LOWER, "v"), at(i, UPPER, "v")
-        results.append((low + (high - low) * at(i, LOWER, "fraction")).alias(quantile_name(q)))
-    return found.groupBy(*keys).agg(*results).select("slice", "measure", *[quantile_name(q) for q in quantiles])
+def exact_quantiles(
+    df: DataFrame, slice_column: str, measures: list[str], quantiles: tuple[float, ...] = QUANTILES
+) -> DataFrame:
+    """(slice, measure, p25, p50, ...), linearly interpolated between neighbouring values; NULLs do not count."""
+    # A quantile lies between two neighbouring ranks, or on one of them.
+    place = {quantile_name(q): F.lit(q) * (F.col("n") - 1) for q in quantiles}
+    ranks = {f"{name}_low": F.floor(p) + 1 for name, p in place.items()} | {f"{name}_high": F.ceil(p) + 1 for name, p in place.items()}
+    found = at_ranks(df, slice_column, measures, ranks)
+    between = [
+        (F.col(f"{name}_low") + (F.col(f"{name}_high") - F.col(f"{name}_low")) * (p - F.floor(p))).alias(name)
+        for name, p in place.items()
+    ]
+    return found.select("slice", "measure", *between)

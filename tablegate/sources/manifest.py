@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablegate.functions.fingerprint import row_hash
-from tablegate.operators.outliers import TOLERANCE, leave_one_out
+from tablegate.plans.outliers import TOLERANCE, leave_one_out
 from tablegate.sources import slices as landed
 from tablegate.sources.slices import SLICE, by_name, existing, file_url, name_of
 

@@ -500,6 +500,17 @@ ORACLE["loo_outliers"] = leave_one_out(
 ORACLE["loo_outliers_even_odd"] = leave_one_out(
     "SELECT event_type, count(*) AS n FROM events GROUP BY 1", "event_type", "n", 0.01, "event_type, n"
 )
+for name, kept in (("loo_outliers_orders", "TRUE"), ("loo_outliers_orders_odd", "o_orderkey <> 1")):
+    ORACLE[name] = f"""
+WITH v AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS r, count(*) OVER () AS n
+           FROM orders WHERE {kept}),
+m AS (SELECT o_orderkey, o_totalprice, CASE WHEN n % 2 = 1
+          THEN ((SELECT o_totalprice FROM v b WHERE b.r = CASE WHEN v.r <= (n - 1) // 2 THEN (n - 1) // 2 + 1 ELSE (n - 1) // 2 END)
+              + (SELECT o_totalprice FROM v b WHERE b.r = CASE WHEN v.r <= (n - 1) // 2 + 1 THEN (n - 1) // 2 + 2 ELSE (n - 1) // 2 + 1 END)) / 2
+          ELSE (SELECT o_totalprice FROM v b WHERE b.r = CASE WHEN v.r <= n // 2 THEN n // 2 + 1 ELSE n // 2 END) END AS median_of_others
+      FROM v)
+SELECT o_orderkey, o_totalprice, median_of_others,
+       median_of_others = 0 OR abs(o_totalprice - median_of_others) > 0.5 * median_of_others AS is_outlier FROM m"""
 ORACLE["verified_copy"] = f"""{SLICES}
 SELECT _source_file AS slice, count(*) AS left_rows, count(*) AS right_rows, TRUE AS matches, TRUE AS safe_to_drop
 FROM landed GROUP BY 1"""

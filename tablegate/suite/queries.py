@@ -14,8 +14,8 @@ from tablegate.contract import DROP, FLAG, KEEP, Rule
 from tablegate.functions import calendar
 from tablegate.functions.families import families_of
 from tablegate.functions.text import number_text
-from tablegate.operators import analytics, outliers, profile, quality, reconcile, schema, slices, timeseries
-from tablegate.plans import gate, ingest, quantiles, runlog, sinks
+from tablegate.operators import analytics, profile, quality, reconcile, schema, slices, timeseries
+from tablegate.plans import gate, ingest, outliers, quantiles, runlog, sinks
 from tablegate.sources import manifest
 from tablegate.sources import slices as landed
 from tablegate.sources.workspace import fresh_path
@@ -115,12 +115,11 @@ def policy_counts(spark, sf_dir):
 
 @query
 def silver_build(spark, sf_dir):
-    """Gate the trips into a published table and read it back."""
-    table, log = _scratch_table(), _scratch_table()
-    result = gate.build(
-        spark, fx.trips(spark, sf_dir), fx.trips_contract(), table, log, fresh_path(spark, "silver"), RUN_TS
-    )
-    _drop_entry(spark, table, log)
+    """Gate the trips of a table, named to the gate, into a published table and read it back."""
+    source, table, log = (_scratch_table() for _ in range(3))
+    sinks.overwrite_table(fx.trips(spark, sf_dir), source, fresh_path(spark, "trips"))
+    result = gate.build(spark, source, fx.trips_contract(), table, log, fresh_path(spark, "silver"), RUN_TS)
+    _drop_entry(spark, source, table, log)
     return spark.read.parquet(result.published.location).drop("_silver_processed_at")
 
 
@@ -665,6 +664,20 @@ def loo_outliers_even_odd(spark, sf_dir):
     return outliers.leave_one_out(sums, "n", tolerance=0.01)
 
 
+@query
+def loo_outliers_orders(spark, sf_dir):
+    """Every order's price against the median of all others."""
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return outliers.leave_one_out(orders, "o_totalprice", tolerance=0.5)
+
+
+@query
+def loo_outliers_orders_odd(spark, sf_dir):
+    """The same with one order more or less, so that both an odd and an even number of rows is seen."""
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return outliers.leave_one_out(orders.filter("o_orderkey <> 1"), "o_totalprice", tolerance=0.5)
+
+
 @query
 def verified_copy(spark, sf_dir):
     return sinks.verified_copy(spark, fx.weekly_extracts(spark, sf_dir), fresh_path(spark, "copy"))

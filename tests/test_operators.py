@@ -16,7 +16,8 @@ from tablegate.functions import calendar
 from tablegate.functions.families import family_of
 from tablegate.functions.fingerprint import row_hash
 from tablegate.functions.text import number_text
-from tablegate.operators import analytics, outliers, quality, reconcile, timeseries
+from tablegate.operators import analytics, quality, reconcile, timeseries
+from tablegate.plans import outliers
 from tablegate.plans import runlog
 from tablegate.suite import fixtures as fx
 
@@ -59,15 +60,6 @@ def test_leave_one_out_equals_brute_force(spark, count):
     assert [got[i] for i in range(count)] == list(brute_force(values, 0.5))
 
 
-def test_leave_one_out_through_the_sketch(spark, monkeypatch):
-    """Many values, a third of them equal: the bracketed path gives the exact middle."""
-    monkeypatch.setattr(outliers, "ORDER_DIRECTLY_UP_TO", 100)
-    rows = spark.range(30_001).select(F.when(F.col("id") % 3 == 0, 7000).otherwise(F.hash("id") % 9000).alias("v"))
-    values = sorted(r.v for r in rows.collect())
-    middle = outliers._middle_values(rows, "v").head()
-    assert (middle.n, middle.below, middle.mid, middle.above) == (30_001, *map(float, values[14_999:15_002]))
-
-
 def test_leave_one_out_ignores_missing_values(spark):
     rows = spark.createDataFrame([(1, None), (2, 4), (3, 6)], "k int, v int")
     got = {r.k: (r.median_of_others, r.is_outlier) for r in outliers.leave_one_out(rows, "v").collect()}
