@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 # The quantiles of a profile.
 QUANTILES = (0.25, 0.5, 0.75, 0.95, 0.99)
-# Rank error 1/1000: fine enough to keep the 99th percentile off the maximum, which 1/100 is not, while the
-# sketches that every task sends to the one that merges its slice stay at some twenty kilobytes each.
-ACCURACY = 1000
+SKETCH_SIZE = 4000  # of a quantile sketch, some sixty kilobytes when full
+RANK_ERROR = 0.002  # what the true rank of a sketched quantile may be off by, as a share of the values
+SALTS = 64  # groups a slice's sketches are merged in before they meet
 
 
 def percentage(count: Column, rows: Column) -> Column:
@@ -32,27 +32,41 @@ def profile(
     required: list[str],
     conditions: dict[str, Column],
     measures: list[str],
-    accuracy: int = ACCURACY,
+    sketch_size: int = SKETCH_SIZE,
 ) -> DataFrame:
-    """One row per slice. A required column the input lacks gets a NULL count instead of an error."""
+    """One row per slice. A required column the input lacks gets a NULL count instead of an error.
+
+    Aggregation goes through groups of a slice's tasks, so that no task merges the sketches of a whole slice from every
+    task that read some of it. NaN has no place among the quantiles.
+    """
     present = set(df.columns)
-    nulls = [
-        (F.count_if(F.col(f"`{c}`").isNull()) if c in present else F.lit(None).cast("bigint")).alias(f"nulls_{c}")
-        for c in required
-    ]
-    matched = [F.count_if(condition).alias(f"count_{name}") for name, condition in conditions.items()]
-    stats = []
+    counts = {f"nulls_{c}": F.count_if(F.col(f"`{c}`").isNull()) for c in required if c in present}
+    counts |= {f"count_{name}": F.count_if(condition) for name, condition in conditions.items()}
+    value = {m: F.col(f"`{m}`").cast("double") for m in measures}
+    parts = [c.alias(name) for name, c in {"row_count": F.count(F.lit(1)), **counts}.items()]
+    whole = [F.sum(f"`{name}`").alias(name) for name in ("row_count", *counts)]
+    whole += [F.lit(None).cast("bigint").alias(f"nulls_{c}") for c in required if c not in present]
     for m in measures:
-        value = F.col(f"`{m}`").cast("double")
-        stats += [
-            F.min(value).alias(f"min_{m}"),
-            F.max(value).alias(f"max_{m}"),
-            F.avg(value).alias(f"mean_{m}"),
-            F.percentile_approx(value, list(QUANTILES), accuracy).alias(f"quantiles_{m}"),
+        ordered = F.when(~F.isnan(value[m]), value[m])
+        parts += [
+            F.min(value[m]).alias(f"min_{m}"),
+            F.max(value[m]).alias(f"max_{m}"),
+            F.sum(value[m]).alias(f"sum_{m}"),
+            F.count(value[m]).alias(f"n_{m}"),
+            F.count(ordered).alias(f"ordered_{m}"),
+            F.kll_sketch_agg_double(ordered, sketch_size).alias(f"sketch_{m}"),
         ]
-    return df.groupBy(F.col(slice_column).alias("slice")).agg(
-        F.count(F.lit(1)).alias("row_count"), *nulls, *matched, *stats
-    )
+        sketch = F.kll_merge_agg_double(f"`sketch_{m}`", sketch_size)
+        found = [F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in QUANTILES]
+        whole += [
+            F.min(f"`min_{m}`").alias(f"min_{m}"),
+            F.max(f"`max_{m}`").alias(f"max_{m}"),
+            F.try_divide(F.sum(f"`sum_{m}`"), F.sum(f"`n_{m}`")).alias(f"mean_{m}"),
+            F.when(F.sum(f"`ordered_{m}`") > 0, F.array(*found)).alias(f"quantiles_{m}"),
+        ]
+    salt = F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("_salt")
+    grouped = df.groupBy(F.col(slice_column).alias("slice"), salt).agg(*parts)
+    return grouped.groupBy("slice").agg(*whole)
 
 
 def with_empty_slices(spark: SparkSession, profiled: DataFrame, slices: list[str]) -> DataFrame:

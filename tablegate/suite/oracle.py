@@ -380,17 +380,13 @@ ORACLE["profile_stats"] = union(
         for m in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
     ]
 )
+QUANTILE_NAMES = "unnest(['p25', 'p50', 'p75', 'p95', 'p99'])"
 ORACLE["profile_quantiles_approx"] = f"WITH {TRIPS} " + union(
     [
-        f"SELECT {key} AS slice, '{m}' AS measure, "
-        + ", ".join(
-            f"CAST(quantile_disc({m}, {q}) AS DOUBLE) AS p{int(100 * q)}" for q in (0.25, 0.5, 0.75, 0.95, 0.99)
-        )
-        + f" FROM {source} GROUP BY 1"
-        for key, m, source in (
-            ("week", "passenger_count", "trips"),
-            ("CAST(year(l_shipdate) AS VARCHAR)", "l_tax", "lineitem"),
-        )
+        f"SELECT slice, measure, {QUANTILE_NAMES} AS quantile, TRUE AS rank_holds "
+        f"FROM (SELECT DISTINCT {key} AS slice, '{m}' AS measure FROM {source})"
+        for key, m, source in [("week", m, "trips") for m in ("total_amount", "passenger_count")]
+        + [("CAST(year(l_shipdate) AS VARCHAR)", m, "lineitem") for m in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
     ]
 )
 FINDINGS = [("rows", "count", "count(*)")]
@@ -399,15 +395,16 @@ for subject, kind, condition in [(c, "null", f'"{c}" IS NULL') for c in REQUIRED
     FINDINGS.append((subject, f"{kind}_pct", f"100.0 * count(*) FILTER ({condition}) / count(*)"))
 for m in ("total_amount", "passenger_count"):
     FINDINGS += [(m, "min", f"min({m})"), (m, "max", f"max({m})"), (m, "mean", f"avg({m})")]
-FINDINGS += [
-    ("passenger_count", f"p{int(100 * q)}", f"quantile_disc(passenger_count, {q})") for q in (0.25, 0.5, 0.75, 0.95, 0.99)
-]
 ORACLE["profile_findings"] = f"WITH {TRIPS} " + union(
     [
-        f"SELECT week AS slice, '{subject}' AS subject, '{metric}' AS metric, round(CAST({value} AS DOUBLE), 4) AS value "
-        "FROM trips GROUP BY 1"
+        f"SELECT week AS slice, '{subject}' AS subject, '{metric}' AS metric, round(CAST({value} AS DOUBLE), 4) AS value, "
+        "CAST(NULL AS BOOLEAN) AS rank_holds FROM trips GROUP BY 1"
         for subject, metric, value in FINDINGS
     ]
+    + [
+        f"SELECT slice, '{m}', {QUANTILE_NAMES}, CAST(NULL AS DOUBLE), TRUE FROM (SELECT DISTINCT week AS slice FROM trips)"
+        for m in ("total_amount", "passenger_count")
+    ]
 )
 ORACLE["profile_quantiles_exact"] = union(
     [

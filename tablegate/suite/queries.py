@@ -441,10 +441,8 @@ def bronze_build(spark, sf_dir):
 
 # --- profile --------------------------------------------------------------------------------------
 
-CONDITIONS = {
-    "passenger_count_null_or_zero": "passenger_count IS NULL OR passenger_count = 0",
-    "total_amount_negative_or_zero": "total_amount <= 0",
-}
+#: The contract's rules that are also profiled.
+CONDITIONS = {r.id: r.condition for r in fx.trips_contract().counted_rules if r.id in ("passenger_count_null_or_zero", "total_amount_negative_or_zero")}
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -484,14 +482,37 @@ def profile_conditions(spark, sf_dir):
 def profile_findings(spark, sf_dir):
     """Everything the profile says about the trips of each week, from one pass.
 
-    The quantiles of the amounts are left out of the result: they are sketches no SQL can reproduce.
+    Quantiles are sketched; instead of their values, which no SQL can reproduce, their true ranks are judged.
     """
     trips = fx.trips_by_week(spark, sf_dir)
     measures = ["total_amount", "passenger_count"]
     profiled = profile.profile(trips, "week", fx.REQUIRED, _trip_conditions(), measures)
     findings = profile.finding_rows(profiled, fx.REQUIRED, [*CONDITIONS, "out_of_window"], measures)
-    sketched = (F.col("subject") == "total_amount") & F.col("metric").startswith("p")
-    return findings.filter(~sketched).withColumn("value", F.round("value", 4))
+    judged = _ranks_judged(trips, "week", profile.quantile_rows(profiled, measures), measures)
+    judged = judged.select("slice", F.col("measure").alias("subject"), F.col("quantile").alias("metric"), "rank_holds")
+    value = F.when(F.col("rank_holds").isNull(), F.round("value", 4)).alias("value")
+    return findings.join(judged, ["slice", "subject", "metric"], "left").select("slice", "subject", "metric", value, "rank_holds")
+
+
+def _ranks_judged(df: DataFrame, slice_column: str, sketched: DataFrame, measures: list[str]) -> DataFrame:
+    """(slice, measure, quantile, rank_holds): whether a quantile's true rank is as near as the profile says."""
+    names = {profile.quantile_name(q): q for q in profile.QUANTILES}
+    cells = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("v")) for m in measures])
+    values = df.select(F.col(slice_column).alias("slice"), F.inline(cells)).filter("v IS NOT NULL")
+    counted = values.join(sketched, ["slice", "measure"]).groupBy("slice", "measure").agg(
+        F.count("v").alias("n"),
+        *[F.count_if(F.col("v") < F.col(q)).alias(f"below_{q}") for q in names],
+        *[F.count_if(F.col("v") <= F.col(q)).alias(f"upto_{q}") for q in names],
+    )
+    slack = F.lit(profile.RANK_ERROR) * F.col("n") + 1
+    held = [
+        F.struct(
+            F.lit(name).alias("quantile"),
+            ((F.col(f"below_{name}") - slack <= q * F.col("n")) & (q * F.col("n") <= F.col(f"upto_{name}") + slack)).alias("rank_holds"),
+        )
+        for name, q in names.items()
+    ]
+    return counted.select("slice", "measure", F.inline(F.array(*held)))
 
 
 @query
@@ -508,12 +529,13 @@ def profile_stats(spark, sf_dir):
 
 @query
 def profile_quantiles_approx(spark, sf_dir):
-    """Quantiles that fall well inside a step of a stepped measure, where a rank error changes nothing."""
-    trips = profile.profile(fx.trips_by_week(spark, sf_dir), "week", [], {}, ["passenger_count"])
-    taxes = profile.quantile_rows(_line_profile(spark, sf_dir), ["l_tax"])
-    return profile.quantile_rows(trips, ["passenger_count"]).unionByName(
-        taxes.withColumn("slice", F.col("slice").cast("string"))
-    )
+    """Every sketched quantile of the amounts, passengers and lines: is its true rank as near as the profile says?"""
+    trips, measures = fx.trips_by_week(spark, sf_dir), ["total_amount", "passenger_count"]
+    lines = fx.table(spark, sf_dir, "lineitem").withColumn("ship_year", F.year("l_shipdate").cast("string"))
+    of_trips = profile.quantile_rows(profile.profile(trips, "week", [], {}, measures), measures)
+    of_lines = profile.quantile_rows(profile.profile(lines, "ship_year", [], {}, MEASURES), MEASURES)
+    judged = _ranks_judged(trips, "week", of_trips, measures)
+    return judged.unionByName(_ranks_judged(lines, "ship_year", of_lines, MEASURES))
 
 
 @query
