@@ -99,9 +99,10 @@ def logged_run(spark: SparkSession, stage: str, log_table: str, root: str | None
 
     def append() -> None:
         run.duration = time.monotonic() - start
-        row = log_rows(spark, [run])
-        append_table(row, log_table, root)
-        for alert in row.head()["alerts"]:
+        rows = log_rows(spark, [run])
+        row = rows.head()
+        append_table(spark.createDataFrame([row], rows.schema), log_table, root)
+        for alert in row["alerts"]:
             LOGGER.warning("ALERT [%s]: %s", stage, alert)
 
     try:

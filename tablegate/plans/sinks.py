@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tablegate.operators.reconcile import reconcile_fingerprints, table_fingerprint
 from tablegate.operators.slices import union_slices
 from tablegate.sources.slices import SOURCE_FILE, by_name, scan_slices
+from tablegate.sources.workspace import release
 
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
@@ -91,6 +92,14 @@ def overwrite_table(
     return Published(table, location, previous)
 
 
+def remove_retired(spark: SparkSession, published: Published) -> bool:
+    """Delete the version a publication replaced, unless the table has gone back to it; whether something went."""
+    retired = published.previous_location
+    if retired is None or (spark.catalog.tableExists(published.table) and table_location(spark, published.table) == retired):
+        return False
+    return release(spark, retired)
+
+
 def append_table(df: DataFrame, table: str, root: str | None = None, table_format: str = "parquet") -> None:
     """SNK-2: append rows of a fixed schema, creating schema and table on first use."""
     spark = df.sparkSession
