@@ -21,12 +21,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablegate.llm.components import components
-from tablegate.llm.store import kept
+from tablegate.llm.store import bounded_batches, kept
 from tablegate.llm.text import buffers, chunks, mix, random_words, shingles, words
 
 TREES, DEPTH, DEEPER = 24, 4, 4  # orders; columns that candidates share; further columns of the sort key
 COLUMNS = TREES * DEPTH
-NEAR = 8  # places looked ahead in an order
+NEAR = 4  # places looked ahead in an order
 BLOCK = 2048  # classes of a crowded region compared at a time
 ALIKE, RANDOM = 2, 2  # candidates of a class confirmed in the first pass
 PERCENT = 80
@@ -58,7 +58,7 @@ SIGNED = "doc_id long, n_shingles long, low long, high long, signature binary"
 
 def signed(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, set size, 128 bits of the set and its signature (null for empty sets), for every row and whole text."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in chunks(batches, "text"):
@@ -122,7 +122,9 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = both[:, both[0] < both[1]]
         none = pa.nulls(len(a))
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), none.cast(pa.int32()), none.cast(pa.int64())], ["a", "b", "tree", "top"])
-    crowd = np.repeat(sizes > NEAR, sizes)
+    large = sizes > NEAR
+    large[[0, -1]] = True  # these may go on in the partitions before and after
+    crowd = np.repeat(large, sizes)
     if crowd.any():
         none = pa.nulls(int(crowd.sum())).cast(pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(node[crowd]), none, pa.array(tree[crowd]), pa.array(top[crowd])], ["a", "b", "tree", "top"])
@@ -162,13 +164,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             good = []
             for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                x, y = (np.frombuffer(v.as_buffer(), "<u8") for v in (x, y))
-                x, y = (x, y) if len(x) <= len(y) else (y, x)
-                if 100 * len(x) < percent * len(y):
-                    continue
-                at = np.searchsorted(y, x)
-                shared = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-                if 100 * shared >= percent * (len(x) + len(y) - shared):
+                if _alike_enough(np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8"), percent):
                     good.append(i)
             found = batch.take(pa.array(good, pa.int64()))
             yield pa.RecordBatch.from_arrays([found.column(0), found.column(1)], ["a", "b"])
@@ -178,7 +174,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _sets(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
     """(node, shingles): the full sets of the needed classes, from the texts of their first documents."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
+    rows = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in chunks(batches, "text"):
@@ -188,12 +184,42 @@ def _sets(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
     return kept(rows.join(needed, "node", "left_semi").mapInArrow(run, "node long, shingles binary"), "sets")
 
 
-def _across(crowds: DataFrame, found: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of crowded regions that stand in different components and whose signatures agree enough.
+def _agreeing(key, table: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows of a block pair and, for each, the others of another component whose signatures agree enough.
 
-    A region is cut into blocks, and every two blocks meet in a group of their own, which bounds what a task holds.
+    Each pair has an end outside the largest component, so only such rows are gone through. Two classes that share the
+    beginnings of several orders meet in the first of these.
+    """
+    component, own = table.column("component").to_numpy(), table.column("own").to_numpy()
+    signatures = np.frombuffer(b"".join(table.column("signature").to_pylist()), "<u2").reshape(-1, COLUMNS)
+    tree, i, j = key[0].as_py(), key[2].as_py(), key[3].as_py()
+    values, counts = np.unique(component, return_counts=True)
+    for row in np.flatnonzero(component != values[counts.argmax()]):
+        good = (component != component[row]) & ((signatures == signatures[row]).sum(1) >= least_equal(percent))
+        if i != j:
+            good &= own != own[row]
+        others = np.flatnonzero(good)
+        shared = (signatures[others, : tree * DEPTH] == signatures[row, : tree * DEPTH]).reshape(len(others), tree, DEPTH)
+        others = others[~shared.all(2).any(1)]
+        if len(others):
+            yield int(row), others
+
+
+def _alike_enough(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    x, y = (x, y) if len(x) <= len(y) else (y, x)
+    if 100 * len(x) < percent * len(y):
+        return False
+    shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
+def _across(crowds: DataFrame, found: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b) in crowded regions between different components.
+
+    A region is cut into blocks, and every two blocks meet in a group of their own, which bounds what a task holds. They
+    meet twice: with their signatures, to tell who has a partner that agrees, and, those who have, with their full sets.
+    No pair leaves a group unless confirmed, and no two components are linked twice in it.
     """
-    least = least_equal(percent)
     members = crowds.join(found.withColumnRenamed("node", "a"), "a", "left")
     members = members.select("tree", "top", F.col("a").alias("node"), F.coalesce("component", "a").alias("component"))
     key = ["tree", "top"]
@@ -203,25 +229,38 @@ def _across(crowds: DataFrame, found: DataFrame, nodes: DataFrame, percent: int)
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-
-    def run(key, table):
-        node, component, own = (table.column(c).to_numpy() for c in ("node", "component", "own"))
-        signatures = np.frombuffer(b"".join(table.column("signature").to_pylist()), "<u2").reshape(-1, COLUMNS)
-        values, counts = np.unique(component, return_counts=True)
-        outside = np.flatnonzero(component != values[counts.argmax()])  # each pair has an end outside the largest
-        left, right = [], []
-        for i in outside:
-            good = (component != component[i]) & ((signatures == signatures[i]).sum(1) >= least)
-            if key[2].as_py() != key[3].as_py():
-                good &= own != own[i]
-            others = np.flatnonzero(good)
-            left.append(np.full(len(others), node[i]))
-            right.append(node[others])
-        a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (left, right))
-        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else np.empty((2, 0), np.int64)
-        return pa.table({"a": both[0], "b": both[1]})
-
-    return dealt.groupBy("tree", "top", "i", "j").applyInArrow(run, "a long, b long").distinct()
+    columns = ["tree", "top", "i", "j", "node", "component", "own", "signature"]
+
+    def agreeing(key, table):
+        marked = np.zeros(len(table), bool)
+        for row, others in _agreeing(key, table, percent):
+            marked[row] = True
+            marked[others] = True
+        return table.select(columns).filter(pa.array(marked))
+
+    def confirmed(key, table):
+        node, component = table.column("node").to_pylist(), table.column("component").to_pylist()
+        bodies = [np.frombuffer(x.as_buffer(), "<u8") for x in table.column("shingles")]
+        up: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while up.get(x, x) != x:
+                x = up[x]
+            return x
+
+        links = []
+        for row, others in _agreeing(key, table, percent):
+            for other in others:
+                x, y = root(component[row]), root(component[other])
+                if x != y and _alike_enough(bodies[row], bodies[other], percent):
+                    up[x] = y
+                    links.append((node[row], node[other]))
+        return pa.table({"a": pa.array([min(x) for x in links], pa.int64()), "b": pa.array([max(x) for x in links], pa.int64())})
+
+    block = ["tree", "top", "i", "j"]
+    kinds = "tree int, top long, i int, j int, node long, component long, own int, signature binary"
+    met = dealt.select(columns).groupBy(*block).applyInArrow(agreeing, kinds)
+    return met.join(sets, "node").groupBy(*block).applyInArrow(confirmed, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataFrame:
@@ -244,7 +283,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> D
     found = kept(ordered.mapInArrow(_neighbours, FOUND), "neighbours")
     crowds = found.filter("b IS NULL").select("a", "tree", "top")
     pairs = kept(_alike(found.filter("b IS NOT NULL").select("a", "b").distinct(), nodes, percent), "candidates")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(crowds.select("a")).distinct()
+    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowds.select("a")).distinct()
     sets = _sets(docs, needed, size)
 
     ends = pairs.union(pairs.select("b", "a", "equal"))
@@ -259,10 +298,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> D
     side = lambda c: group.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
     rest = pairs.select("a", "b").join(side("a"), "a", "left").join(side("b"), "b", "left")
     rest = rest.filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
-    rest = rest.union(_across(crowds, group, nodes, percent)).distinct().join(chosen, ["a", "b"], "left_anti")
-    more = _confirmed(rest, sets, percent)
-    if not more.isEmpty():
-        group = components(links.union(more))
+    more = _confirmed(rest.join(chosen, ["a", "b"], "left_anti"), sets, percent)
+    across = kept(_across(crowds, group, nodes, sets, percent), "links")
+    if not (more.isEmpty() and across.isEmpty()):
+        group = components(links.union(more).union(across))
     named = classes.join(group, "node", "left").select(*key, F.coalesce("component", "node").alias("component"))
     done = rows.join(named, key, "left")
     component = F.coalesce("component", "doc_id")

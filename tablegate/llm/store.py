@@ -19,6 +19,21 @@ def kept(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
+SPARK_S_OWN = "67108864b"  # fixed value: the setting's default
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """df itself; from now on its session hands Python workers some MB at a time, unless it was told how many.
+
+    By default a batch of long texts has 64 MB, several times over in the JVM and in the worker.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING, SPARK_S_OWN) == SPARK_S_OWN:
+        conf.set(BATCH_SETTING, BATCH_BYTES)
+    return df
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A folder in the shared one for files that tasks write themselves."""
     path = fresh_path(spark, label)
