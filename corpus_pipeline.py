@@ -28,9 +28,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     network = langid.learn(docs)
     if network is None:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    found = langid.predict(docs.select("*", F.struct("*").alias("__row")), network)
-    good = found.filter((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
-    return good.select("__row.*")
+    found = langid.predict(docs, network, ("__language", "__score"))
+    good = (F.col("__language") != langid.UNDETERMINED) & (F.col("__score") >= LEAST_SCORE)
+    return found.filter(good).drop("__language", "__score")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,12 +8,14 @@ text. The network is trained by backpropagation through time on windows from a b
 from __future__ import annotations
 
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablegate.llm.store import bounded_batches
 from tablegate.llm.text import buffers, chunks
 
 HIDDEN = 8
@@ -181,7 +183,7 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Network | None
     At most ``sample_docs`` documents are used, and of each at most ``DOC_WINDOWS`` windows, so what reaches the driver
     is bounded; the windows are drawn from the whole text.
     """
-    rows = labelled.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    rows = bounded_batches(labelled).select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
     sample = rows.filter(smallest_hashes(rows, "doc_id", sample_docs))
 
@@ -206,18 +208,20 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Network | None
     return train(windows, np.array([place[lang] for lang, _ in drawn]), languages)
 
 
-def predict(docs: DataFrame, network: Network | None) -> DataFrame:
-    """docs with lang_pred and score (of the language predicted, 0 to 1), which replace columns of these names.
+def predict(docs: DataFrame, network: Network | None, columns: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """docs with the language and its score (0 to 1) in the two named columns, which replace columns of these names.
 
     Only ``text`` is read, all of it. Null texts, texts without a letter, and everything if there is no network, are
     ``und`` with score 0. Equal probabilities go to the language that sorts first.
     """
-    from uuid import uuid4
-
-    key = f"row_{uuid4().hex}"  # no column of the caller's has this name
-    languages, weights = (network.languages, network.weights) if network else ([], {})
-
-    @F.pandas_udf("lang_pred string, score double")
+    language, score = columns
+    rest = bounded_batches(docs).drop(language, score)
+    if network is None:
+        return rest.withColumn(language, F.lit(UNDETERMINED)).withColumn(score, F.lit(0.0))
+    key = f"found_{uuid4().hex}"  # no column of the caller's has this name
+    languages, weights = network.languages, network.weights
+
+    @F.pandas_udf("language string, score double")
     def label(texts):
         import pandas as pd
 
@@ -228,16 +232,14 @@ def predict(docs: DataFrame, network: Network | None) -> DataFrame:
             chances = probabilities(reader, *buffers(piece.column(0)))
             known += [languages[k] for k in chances.argmax(1)]
             scores += chances.max(1).tolist()
-        return pd.DataFrame({"lang_pred": pd.Series(known, dtype=object), "score": pd.Series(scores, dtype=float)})
+        return pd.DataFrame({"language": pd.Series(known, dtype=object), "score": pd.Series(scores, dtype=float)})
 
     text = F.col("text").cast("string")
-    told = F.coalesce(text.rlike(r"\p{L}"), F.lit(False)) & F.lit(bool(languages))
-    rest = docs.drop("lang_pred", "score")
-    if not languages:
-        return rest.withColumn("lang_pred", F.lit(UNDETERMINED)).withColumn("score", F.lit(0.0))
-    found = rest.withColumn(key, label(text))
+    told = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+    # Called nondeterministic, lest a filter on the result has Spark compute it once more.
+    found = rest.withColumn(key, label.asNondeterministic()(text))
     return found.select(
-        *rest.columns,
-        F.when(told, F.col(key)["lang_pred"]).otherwise(UNDETERMINED).alias("lang_pred"),
-        F.when(told, F.col(key)["score"]).otherwise(0.0).alias("score"),
+        *[F.col(f"`{c}`") for c in rest.columns],
+        F.when(told, F.col(key)["language"]).otherwise(UNDETERMINED).alias(language),
+        F.when(told, F.col(key)["score"]).otherwise(0.0).alias(score),
     )

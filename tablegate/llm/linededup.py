@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablegate.llm.store import kept
+from tablegate.llm.store import bounded_batches, kept
 from tablegate.llm.text import buffers, chunks, mix, random_words, words
 
 MIN_WORDS = 6
@@ -90,7 +90,7 @@ def named(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -236,10 +236,11 @@ def duplicates(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """docs with the given (doc_id, line_no) lines taken out of ``text``; everything else as it was, null texts too.
 
-    A document all of whose lines went has an empty text. n_chars, if there is such a column, is set to the new length.
+    A document all of whose lines went has an empty text. Rows that share a doc_id (or have none) are taken as one document:
+    a line number that goes, goes in each. n_chars, if there is such a column, is set to the new length.
     """
     lists = gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("__gone"))  # of one document's lines
-    d, g = docs.alias("d"), lists.alias("g")
+    d, g = bounded_batches(docs).alias("d"), lists.alias("g")
     joined = d.join(g, F.expr("d.doc_id <=> g.doc_id"), "left")
 
     @F.pandas_udf("string")
@@ -255,13 +256,16 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
             out.append("\n".join(x for i, x in enumerate(text.split("\n")) if i not in away))
         return pd.Series(out, dtype=object)
 
-    changed = F.when(F.col("g.__gone").isNull(), F.col("d.text")).otherwise(cut(F.col("d.text"), F.col("g.__gone")))
+    # Called nondeterministic, lest a filter on the result has Spark compute it once more.
+    gone_any = F.col("__gone").isNotNull()
+    made = joined.select(*[F.col(f"d.`{c}`") for c in docs.columns], "g.__gone")
+    made = made.withColumn("__cut", cut.asNondeterministic()(F.when(gone_any, F.col("text")), F.col("__gone")))
     columns = []
     for c in docs.columns:
+        own = F.col(f"`{c}`")
         if c == "text":
-            columns.append(changed.alias("text"))
+            own = F.when(gone_any, F.col("__cut")).otherwise(own)
         elif c == "n_chars":
-            columns.append(F.when(F.col("g.__gone").isNull(), F.col("d.n_chars")).otherwise(F.length(changed)).cast(docs.schema[c].dataType).alias(c))
-        else:
-            columns.append(F.col(f"d.`{c}`"))
-    return joined.select(*columns)
+            own = F.when(gone_any, F.length("__cut")).otherwise(own).cast(docs.schema[c].dataType)
+        columns.append(own.alias(c))
+    return made.select(*columns)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablegate.llm.langid import smallest_hashes
+from tablegate.llm.store import bounded_batches
 from tablegate.llm.text import buffers, chunks, mix, runs, shingles, span_hashes
 
 BITS = 18  # of a feature's number
@@ -110,7 +111,7 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> np.ndarray:
     At most ``sample_docs`` documents are used, whole; what reaches the driver is bounded by their sizes. Without rows of
     both labels all weights are 0.
     """
-    rows = labelled.select("doc_id", F.col("text").cast("string").alias("text"), F.col("label").cast("int").alias("label"))
+    rows = bounded_batches(labelled).select("doc_id", F.col("text").cast("string").alias("text"), F.col("label").cast("int").alias("label"))
     rows = rows.filter("label IN (0, 1) AND text IS NOT NULL")
     sample = rows.filter(smallest_hashes(rows, "doc_id", sample_docs))
 
@@ -149,5 +150,6 @@ def predict(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD)
         pieces = chunks(iter([pa.RecordBatch.from_arrays([column], ["text"])]), "text")
         return pd.Series(np.concatenate([scores(weights, *buffers(p.column(0))) for p in pieces] or [np.empty(0)]))
 
-    scored = docs.withColumn("score", score(F.col("text").cast("string")))
+    # Called nondeterministic, lest a filter on the result has Spark compute it once more.
+    scored = bounded_batches(docs).withColumn("score", score.asNondeterministic()(F.col("text").cast("string")))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
