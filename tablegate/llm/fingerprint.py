@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablegate.llm.store import bounded_batches
 from tablegate.llm.text import mix, random_words
 
 SAMPLES = 512
@@ -153,7 +154,7 @@ def in_order(docs: DataFrame) -> DataFrame:
     Repeated doc_ids go by the text's hash. A guest row stands for the first document of the next partition (of the
     first one after the last). Rows without doc_id have no place in the order and stand alone.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     parts = max(1, rows.rdd.getNumPartitions())
     cuts = rows.agg(F.percentile_approx("doc_id", [k / parts for k in range(parts)], max(10_000, 20 * parts)).alias("c"))
     bounds = np.unique(np.array(cuts.first()["c"] or [], np.int64))  # one a partition

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tablegate.llm.decontam import WORD_BYTES, tokens
 from tablegate.llm.langid import smallest_hashes
+from tablegate.llm.store import bounded_batches
 from tablegate.llm.text import buffers, chunks, mix, runs
 
 # The notices by which licences are commonly stated, by family.
@@ -164,7 +165,7 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
 
     Works without any document too. A line is taken up to a window's length, so what reaches the driver is bounded.
     """
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
+    rows = bounded_batches(docs).select("doc_id", F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
     sample = rows.filter(smallest_hashes(rows, "doc_id", sample_docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +192,7 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     Whole texts are read; lines count from 0. Of a paragraph's windows the likeliest counts for a family. Null and empty
     texts have no paragraphs; repeated rows are reported each; a null doc_id stays null. Other columns are not used.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     weights, temperature = model.weights, model.temperature
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

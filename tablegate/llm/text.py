@@ -9,7 +9,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20  # texts are looked at in chunks of about this size; one longer text is a chunk of its own
+from tablegate.llm.tokenizing import forget
+
+CHUNK_BYTES = 1 << 20  # texts are looked at in chunks of about this size; one longer text is a chunk of its own
 _PRIME = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_PRIME, -1, 1 << 64)
 
@@ -75,6 +77,7 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of each piece have at most ``limit`` bytes, or are one text."""
+    forget()
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(lengths.astype(np.int64))

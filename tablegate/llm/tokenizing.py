@@ -13,7 +13,7 @@ from array import array
 from collections.abc import Iterator, Sequence
 
 FIRST = " "  # marks the first part of a text; no part holds a space itself
-KEPT_WORDS = 400_000  # pieces remembered by a worker in each of two generations
+KEPT_WORDS = 300_000  # pieces remembered by a worker in each of two generations
 ENDINGS = "!\"#$%&()*+,-./:;=?@[]^_`{|}~"  # ASCII signs but the apostrophe and angle brackets
 
 
@@ -121,7 +121,12 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def encoded(path: str, texts: Sequence[str], limit: int = 1 << 21) -> Iterator[bytes]:
+def forget() -> None:
+    """Let go of the words remembered; called when a worker turns to other work."""
+    _encoders.clear()
+
+
+def encoded(path: str, texts: Sequence[str], limit: int = 1 << 20) -> Iterator[bytes]:
     """Ids of texts in order, encoded a few MB at a time."""
     start, held = 0, 0
     for i, text in enumerate(texts):

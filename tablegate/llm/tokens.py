@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablegate.llm.store import attempt_name, kept, new_folder, opened
+from tablegate.llm.store import attempt_name, bounded_batches, kept, new_folder, opened
 from tablegate.llm.tokenizing import encoded
 
 FRAME_IDS = 4_000_000  # a frame is closed when it has as many ids; one longer document is a frame of its own
@@ -114,7 +114,7 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, folder: str) -> DataFra
     Null texts are empty and yield the end id alone. Only doc_id and text are looked at. An index row is the only
     thing that makes a file count, so files of lost or repeated attempts are never read.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     end = struct.pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegate.llm.store import attempt_name, kept, new_folder, opened
+from tablegate.llm.store import attempt_name, bounded_batches, kept, new_folder, opened
 
 REVISIT_FROM = 1000  # payloads of fewer bytes are always written in full
 FILE_BYTES = 1 << 30  # an archive is closed beyond this size
@@ -90,7 +90,7 @@ def parse(body: bytes) -> dict:
 def with_referents(pages: DataFrame) -> DataFrame:
     """(page_id, url, payload, digest, refers_to): pages and the page with the same payload they repeat, if any."""
     payload = F.coalesce(F.encode(F.col("html").cast("string"), "UTF-8"), F.lit(b""))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
+    rows = bounded_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
     large = rows.filter(F.octet_length("payload") >= REVISIT_FROM)
     repeated = large.groupBy("digest").agg(F.count("*").alias("n"), F.max("page_id").alias("last"))
