@@ -56,7 +56,7 @@ _STEPS = _Steps()
 
 
 def walk_lengths(sizes: np.ndarray) -> np.ndarray:
-    """Steps allowed to texts of n characters: twice as many and a margin, which nearly all walks need to end."""
+    """Steps kept of texts of n characters at least: twice as many and a margin. A walk not at its end then goes on."""
     return np.where(sizes > 0, (2 * sizes + 3 * np.sqrt(2.0 * sizes) + 8).astype(np.int64), 0)
 
 
@@ -66,7 +66,10 @@ def levels(steps: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(texts: Sequence[str]) -> list[tuple[int, np.ndarray]]:
-    """(level, sampled values of 0 to 15) of each text; an empty text has none."""
+    """(level, sampled values of 0 to 15) of each text; an empty text has none.
+
+    Every text is walked to its end, which any walk comes to: no character stands still for a whole period of the table.
+    """
     sizes = np.array([len(t) for t in texts], np.int64)
     order = np.argsort(-sizes, kind="stable")
     sizes = sizes[order]
@@ -86,22 +89,37 @@ def fingerprints(texts: Sequence[str]) -> list[tuple[int, np.ndarray]]:
     last = {k: int(np.searchsorted(-level, -k, "right")) for k in used}
     slot = dict.fromkeys(used.tolist(), 0)
     rising = sorted(slot)
-    at = starts[:-1].copy()
-    falling = -steps
-    for block in range(0, int(steps[0]) if len(steps) else 0, 64):
-        active = int(np.searchsorted(falling, -block, "left"))
+    at, ends = starts[:-1].copy(), starts[1:] - 1
+    falling, taken = -steps, steps.copy()
+    block, active = 0, int(np.searchsorted(falling, 0, "left"))
+    while active:
+        if block + 64 > len(depth):
+            depth = _STEPS.upto(block + 64).depth
+        due = int(np.searchsorted(falling, -(block + 64), "left"))  # from here on, walks that should end in this block
+        read_on = np.zeros(max(0, active - due), np.int64)
         here = at[:active]
-        for j in range(block, min(block + 64, int(steps[0]))):
+        for j in range(block, block + 64):
             seen = read[here]
             for k in rising:
                 if k > depth[j]:
                     break
-                if first[k] < active and slot[k] < len(out):
+                if first[k] < active:
+                    if slot[k] >= len(out):
+                        out = np.concatenate([out, np.zeros((max(64, len(out)), len(texts)), np.uint8)])
                     stop = min(last[k], active)
                     out[slot[k], first[k] : stop] = seen[first[k] : stop]
                 slot[k] += 1
+            if due < active:
+                read_on += seen[due:] != _END
             here += _WALK[j % _PERIOD][seen]
         at[:active] = here
+        late = due + np.flatnonzero(read_on)
+        taken[late] = np.maximum(taken[late], block + read_on[late - due])
+        block += 64
+        unfinished = np.flatnonzero(at[:active] < ends[:active])
+        active = max(int(np.searchsorted(falling, -block, "left")), int(unfinished[-1]) + 1 if len(unfinished) else 0)
+    _STEPS.upto(int(taken.max(initial=0)))
+    counts = np.array([np.searchsorted(_STEPS.kept[k], s) for k, s in zip(level, taken)], np.int64)
     found: list[tuple[int, np.ndarray]] = [(0, np.empty(0, np.uint8))] * len(texts)
     for column, i in enumerate(order):
         values = out[: counts[column], column]

@@ -186,6 +186,24 @@ def test_fingerprints_are_the_walk_s():
     assert 0 < len(coarse) < len(got[5][1])
 
 
+def test_walks_read_the_last_character(monkeypatch):
+    monkeypatch.setattr(fingerprint, "SAMPLES", 1 << 40)  # every step is kept
+    slow = chr(min(range(33, 1000), key=lambda c: fingerprint._WALK[:, (c * 0x9E3779B1 % 2**32 >> 24) % 255 + 1].mean()))
+    bases = ["a", "_" * 5, slow * 40, prose(6, 300), "_" * 100_000, slow * 300_000, prose(5, 20_000)]
+    texts = [t + end for t in bases for end in ("é", "語")]
+    together = fingerprint.fingerprints(texts)
+    code = lambda c: ((ord(c) * 0x9E3779B1 % 2**32 >> 24) % 255 + 1) * 7 % 256 % 16
+    for text, (level, values) in zip(texts, together):
+        rest = values[np.flatnonzero(values != 0)[-1]]
+        assert level == 0 and rest == code(text[-1]) != code("_"), len(text)
+        assert len(values) >= fingerprint.walk_lengths(np.array([len(text)]))[0]
+    assert len(together[10][1]) > fingerprint.walk_lengths(np.array([300_001]))[0]
+    monkeypatch.undo()
+    alone = [fingerprint.fingerprints([t])[0] for t in texts]
+    for (k, x), (m, y) in zip(alone, fingerprint.fingerprints(texts)):
+        assert k == m and x.tolist() == y.tolist()
+
+
 def test_likeness_follows_edits():
     base = prose(3, 400)
     prints = fingerprint.fingerprints([base, edited(base, 1, 0.02), edited(base, 2, 0.3), prose(4, 400), "inserted " + base])
