@@ -236,3 +236,26 @@ def test_bands_find_near_texts(spark):
     found = {(r.doc_id, r.earlier_id): r.likeness for r in fingerprint.near_earlier(prints, 0.6).collect()}
     assert found[(200, 3)] == found[(201, 3)] == found[(301, 300)] == 1
     assert all((100 + k, k) in found for k in range(10)) and all(b % 100 == a % 100 or a in (200, 201, 301) for a, b in found)
+
+
+@pytest.mark.parametrize("block", [1024, 5])
+def test_pairs_under_one_header_are_those_of_all_pairs(spark, monkeypatch, block):
+    """Bands of many, whose smallest member most are unlike, on texts that begin alike and differ below."""
+    monkeypatch.setattr(fingerprint, "BLOCK", block, raising=False)
+    header = prose(70, 150)
+    rows = [(k, header + " " + prose(k, 160)) for k in range(12)]
+    rows += [(100 + 20 * v + k, header + " " + edited(prose(k, 160), 40 * v + k, 0.01 * v)) for k in range(12) for v in (1, 2)]
+    rows += [(300 + k, edited(header, k, 0.05) + " " + prose(4, 300)) for k in range(4)]  # differ above only
+    made = dict(zip((i for i, _ in rows), fingerprint.fingerprints([t for _, t in rows])))
+    want = {(a, b): fingerprint.likeness(made[a], made[b]) for a in made for b in made if b < a}
+    texts = {i: fingerprint.as_text(p) for i, p in made.items()}
+    first = {i: min(j for j in texts if texts[j] == t) for i, t in texts.items()}  # stands for those with its fingerprint
+    want = {(a, b): share for (a, b), share in want.items() if share >= 0.8 and first[b] == b and first[a] in (a, b)}
+    prints = spark.createDataFrame([(i, fingerprint.as_text(p)) for i, p in made.items()], "doc_id long, fingerprint string")
+    rows = fingerprint.near_earlier(prints, 0.8).collect()
+    assert {(r.doc_id, r.earlier_id): r.likeness for r in rows} == pytest.approx(want) and len(rows) == len(want) >= 20
+    assert {a for a, _ in want} & {300 + k for k in range(4)}
+    firsts = {}
+    for a, b in sorted(want):
+        firsts.setdefault(a, b)
+    assert len(want) > len(firsts)  # more than one partner a document
