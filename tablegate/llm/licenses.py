@@ -1,16 +1,20 @@
-"""Licence notices in texts: a trained paragraph classifier, with a calibrated unknown class, confirmed by templates.
-
-A paragraph is a line; one of more than ``WINDOW`` words is looked at in overlapping windows. A window's features are its
-hashed words and word pairs. Multinomial logistic regression, trained here on variations of the templates and on
-paragraphs of a bounded sample of the documents as the unknown class, gives each family a probability, sharpened or
-softened by a temperature fitted on variations not trained on. A family is reported if its probability reaches
-``LEAST_CHANCE`` and enough of the word pairs of one of its templates stand in the window. A window without any template's
-word pair can't be confirmed, so it isn't classified.
+"""Licence notices in texts: word pairs of templates find them, a trained classifier with an unknown class confirms them.
+
+A paragraph is a run of lines that have words, so a notice may be wrapped; it is looked at in overlapping windows of
+``WINDOW`` words. Wherever enough of the word pairs of a template stand close together in a window, its family is a
+candidate, any number of families in a window. A candidate goes if the text, where it departs from the template, is as
+another candidate has it ("CC BY-NC 4.0" is not "CC BY 4.0"); if each does so to the other, the likelier stays. The rest
+go to the classifier:
+multinomial logistic regression on hashed words and word pairs, trained here on variations of the templates and on
+paragraphs of a bounded sample of the documents as the unknown class, its probabilities sharpened or softened by a
+temperature fitted on variations not trained on. It looks at the words that matched, and the family is reported if its
+probability reaches ``LEAST_CHANCE``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -92,6 +96,15 @@ def features(words: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate([words, _pairs(words)]) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
+class Match(NamedTuple):
+    """A template found: the share of its word pairs, and the places of these in the paragraph."""
+
+    template: int
+    family: str
+    share: float
+    places: tuple[int, ...]
+
+
 class Templates:
     """The word pairs of every template, and which of all 64-bit pairs any template has."""
 
@@ -99,10 +112,51 @@ class Templates:
         self.words = {f: [_hashed(t) for t in texts] for f, texts in TEMPLATES.items()}
         self.pairs = {f: [np.unique(_pairs(w)) for w in texts] for f, texts in self.words.items()}
         self.any = np.unique(np.concatenate([p for texts in self.pairs.values() for p in texts]))
-
-    def share(self, family: str, pairs: np.ndarray) -> float:
-        """The largest share of a template's word pairs among the given ones."""
-        return max(float(np.isin(own, pairs).mean()) for own in self.pairs[family] if len(own))
+        self.each = [(f, words) for f, texts in self.words.items() for words in texts]
+        self.has = np.stack([np.isin(self.any, _pairs(words)) for _, words in self.each])
+        self.sizes = self.has.sum(1)
+
+    def matches(self, places: np.ndarray, codes: np.ndarray) -> list[Match]:
+        """Where enough of a template's word pairs stand together, of the pairs ``any[codes]`` at ascending places."""
+        present = np.unique(codes)
+        enough = np.flatnonzero(self.has[:, present].sum(1) >= LEAST_SHARE * self.sizes)
+        return [m for t in enough for m in self._closest(int(t), places, codes)]
+
+    def _closest(self, template: int, places: np.ndarray, codes: np.ndarray) -> Iterator[Match]:
+        """The shortest stretch with most of the template's pairs, and what there is on both sides of it."""
+        own = self.has[template][codes]
+        pending = [(places[own], codes[own])]
+        while pending:
+            at, code = pending.pop()
+            most = len(np.unique(code))
+            if not most or most < LEAST_SHARE * self.sizes[template]:
+                continue
+            seen: dict[int, int] = {}
+            best, start = (1 << 60, 0, 0), 0
+            for end, c in enumerate(code.tolist()):
+                seen[c] = seen.get(c, 0) + 1
+                while seen[int(code[start])] > 1:
+                    seen[int(code[start])] -= 1
+                    start += 1
+                if len(seen) == most:
+                    best = min(best, (int(at[end] - at[start]), start, end))
+            _, start, end = best
+            yield Match(template, self.each[template][0], most / int(self.sizes[template]), tuple(at[start : end + 1].tolist()))
+            pending += [(at[:start], code[:start]), (at[end + 1 :], code[end + 1 :])]
+
+    def contradicted(self, match: Match, other: Match, words: np.ndarray) -> bool:
+        """Whether the text, where it departs from the template between two of its words, is as the other one has it."""
+        own, covered = self.each[match.template][1], set(other.places)
+        low, high = match.places[0], match.places[-1] + 2
+        there = {(words[p], words[p + 1]) for p in match.places}
+        missing = np.array([False, *((u, v) not in there for u, v in zip(own, own[1:])), False])
+        edges = np.flatnonzero(missing[1:] != missing[:-1])
+        for i, j in zip(edges[::2], edges[1::2]):  # own[i] and own[j] are around the words in question
+            ends = low + np.flatnonzero(words[low:high] == own[j])
+            for p in (low + np.flatnonzero(words[low:high] == own[i])).tolist():
+                if any(all(x in covered for x in range(p, q)) for q in ends[ends > p].tolist()):
+                    return True
+        return False
 
 
 class Model:
@@ -183,14 +237,50 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     return train([np.frombuffer(b, np.uint64) for b in drawn])
 
 
+def notices(words: np.ndarray, places: np.ndarray, codes: np.ndarray, known: Templates, model: Model) -> Iterator[tuple[Match, float]]:
+    """The notices of a paragraph and their probabilities; ``known.any[codes]`` are the template pairs at the places."""
+    found: set[Match] = set()
+    last = max(1, len(words) - WINDOW + STEP)
+    starts = {s for p in (places // STEP * STEP).tolist() for s in (p - STEP, p) if 0 <= s < last}
+    for start in sorted(starts):
+        a, b = np.searchsorted(places, [start, min(start + WINDOW, len(words)) - 1])
+        if b - a > 1:
+            found.update(known.matches(places[a:b], codes[a:b]))
+    taken: dict[str, list[Match]] = {}
+    for match in sorted(found, key=lambda m: (-m.share, -len(m.places), m.places[0])):
+        near = taken.setdefault(match.family, [])
+        if all(m.places[-1] < match.places[0] or match.places[-1] < m.places[0] for m in near):
+            near.append(match)
+    every = [m for near in taken.values() for m in near]
+
+    def chances(places: list[tuple[int, ...]]) -> np.ndarray:
+        return model.chances(features(words[np.unique(np.concatenate([x for at in places for x in (at, np.add(at, 1))]))]))
+
+    def goes(match: Match, other: Match) -> bool:
+        if not known.contradicted(match, other, words):
+            return False
+        if not known.contradicted(other, match, words):
+            return True
+        both = chances([match.places, other.places])
+        return bool(both[CLASSES.index(match.family)] < both[CLASSES.index(other.family)])
+
+    for match in every:
+        beside = [m for m in every if m.family != match.family and m.places[0] <= match.places[-1] and match.places[0] <= m.places[-1]]
+        if not any(goes(match, m) for m in beside):
+            chance = float(chances([match.places])[CLASSES.index(match.family)])
+            if chance >= LEAST_CHANCE:
+                yield match, chance
+
+
 FOUND = "doc_id long, line_no int, family string, probability double, template_share double"
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, line_no, family, probability, template_share) of every paragraph and family found in it.
+    """(doc_id, line_no, family, probability, template_share) of every notice found, once a line and family.
 
-    Whole texts are read; lines count from 0. Of a paragraph's windows the likeliest counts for a family. Null and empty
-    texts have no paragraphs; repeated rows are reported each; a null doc_id stays null. Other columns are not used.
+    Whole texts are read; line_no is the line where the notice begins, from 0. A notice may go on over lines that have words;
+    of overlapping matches of a family the fullest counts. Null and empty texts have no paragraphs; repeated rows are
+    reported each; a null doc_id stays null. Other columns are not used.
     """
     rows = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     weights, temperature = model.weights, model.temperature
@@ -203,25 +293,27 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
             if len(words) < 2:
                 continue
             lines = _line_numbers(data, offsets)
-            hits = np.flatnonzero(_member(_pairs(words), known.any))
-            paragraphs = {(int(lines[0][h]), int(lines[1][h])) for h in hits}
+            pairs = _pairs(words)
+            codes = np.searchsorted(known.any, pairs) % len(known.any)
+            hits = np.flatnonzero(known.any[codes] == pairs)
+            text_of, line_of = lines
+            new = np.ones(len(words), bool)
+            new[1:] = (text_of[1:] != text_of[:-1]) | (line_of[1:] > line_of[:-1] + 1)
+            run_starts = np.append(np.flatnonzero(new), len(words))
+            run_of = np.cumsum(new) - 1
+            hits = hits[run_of[hits] == run_of[hits + 1]]
+            cuts = np.flatnonzero(np.diff(run_of[hits])) + 1
             found: list[tuple] = []
-            for text, line in sorted(paragraphs):
-                a, b = np.searchsorted(lines[0], [text, text + 1])
-                own_words = words[a:b][lines[1][a:b] == line]
-                best: dict[str, tuple[float, float]] = {}
-                for start in range(0, max(1, len(own_words) - WINDOW + STEP), STEP):
-                    part = own_words[start : start + WINDOW]
-                    pairs = _pairs(part)
-                    if not np.isin(pairs, known.any).any():
-                        continue
-                    chances = own.chances(features(part))
-                    family = CLASSES[int(chances.argmax())]
-                    if family != UNKNOWN and chances.max() >= LEAST_CHANCE:
-                        share = known.share(family, pairs)
-                        if share >= LEAST_SHARE:
-                            best[family] = max(best.get(family, (0.0, 0.0)), (float(chances.max()), share))
-                found += [(text, line, f, p, s) for f, (p, s) in best.items()]
+            for own_hits in np.split(hits, cuts):
+                if len(own_hits) < 2:
+                    continue
+                first = int(run_starts[run_of[own_hits[0]]])
+                own_words = words[first : int(run_starts[run_of[own_hits[0]] + 1])]
+                best: dict[tuple[int, str], tuple[float, float]] = {}
+                for match, chance in notices(own_words, own_hits - first, codes[own_hits], known, own):
+                    key = (int(line_of[first + match.places[0]]), match.family)
+                    best[key] = max(best.get(key, (0.0, 0.0)), (chance, match.share))
+                found += [(int(text_of[first]), line, f, p, s) for (line, f), (p, s) in sorted(best.items())]
             if found:
                 text, line, family, chance, share = zip(*found)
                 columns = [piece.column(0).take(pa.array(text)), pa.array(line, pa.int32()), pa.array(family), pa.array(chance), pa.array(share)]
@@ -230,11 +322,6 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(run, FOUND)
 
 
-def _member(values: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Which values are among the sorted known ones."""
-    return known[np.searchsorted(known, values) % len(known)] == values
-
-
 def _line_numbers(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The text of every word and its line in the text."""
     starts, _ = runs(WORD_BYTES[data], offsets)

@@ -148,6 +148,34 @@ def test_notices_of_the_documents(spark, licence_model):
     assert {(r.doc_id, r.line_no, r.family) for r in licenses.scan(docs, licence_model).collect()} == want
 
 
+def test_wrapped_and_dual_notices(spark, licence_model):
+    wrapped = {
+        "MIT": "# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated documentation files",
+        "BSD": " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following\n * conditions are met:",
+        "GPL": "// This program is free software: you can redistribute it and/or modify\n// it under the terms of the GNU General Public License as published by\n// the Free Software Foundation",
+        "LGPL": "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General\nPublic License as published by the Free Software Foundation",
+        "proprietary": "All rights\nreserved.",
+    }
+    dual = {
+        "Licensed under the MIT License or the Apache License, Version 2.0": {"MIT", "Apache-2.0"},
+        "Licensed under CC BY-NC 4.0. All rights reserved.": {"CC-BY-NC", "proprietary"},
+        "This work is licensed under the GNU Lesser General Public License, version 3": {"LGPL"},
+    }
+    rows = [(k, f"some words before\n\nand beside\n{t}\nand after") for k, t in enumerate([*wrapped.values(), *dual])]
+    rows += [(50, "Released under the MIT License.\n" * 40 + "\nall rights\n\nreserved")]
+    want = {(k, 3, f) for k, f in enumerate(wrapped)} | {(len(wrapped) + k, 3, f) for k, own in enumerate(dual.values()) for f in own}
+    want |= {(50, k, "MIT") for k in range(40)}
+    got = [(r.doc_id, r.line_no, r.family) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), licence_model).collect()]
+    assert set(got) == want and len(got) == len(want)
+
+
+def test_every_template_is_found(spark, licence_model):
+    rows = [(k, f"x\n{t}.") for k, t in enumerate(t for f in sorted(licenses.TEMPLATES) for t in licenses.TEMPLATES[f])]
+    want = {(k, 1, f) for k, f in enumerate(f for f in sorted(licenses.TEMPLATES) for _ in licenses.TEMPLATES[f])}
+    got = {(r.doc_id, r.line_no, r.family) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), licence_model).collect()}
+    assert got == want
+
+
 def test_awkward_rows_hold_no_notice(spark, licence_model):
     assert licenses.scan(awkward(spark), licence_model).count() == 0
     assert licenses.scan(empty(spark), licenses.learn(empty(spark))).count() == 0
