@@ -15,6 +15,7 @@ not that one stays. Lines of fewer than ``MIN_WORDS`` words always stay and make
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,7 @@ from tablegate.llm.store import bounded_batches, kept
 from tablegate.llm.text import buffers, chunks, mix, random_words, words
 
 MIN_WORDS = 6
+_WORD = re.compile("[^\x20\x09-\x0d]+")  # as the keys have it: no other white space ends a word
 _BASE = int(random_words(31, 1)[0]) | 1
 _BACK = pow(_BASE, -1, 1 << 64)
 
@@ -166,7 +168,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def near(a: str, b: str) -> bool:
     """Whether two lines are equal or one word apart, compared word by word."""
-    x, y = a.split(), b.split()
+    x, y = _WORD.findall(a), _WORD.findall(b)
     if len(x) > len(y):
         x, y = y, x
     if len(y) - len(x) > 1:

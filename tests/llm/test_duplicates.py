@@ -134,6 +134,18 @@ def test_lines_that_go_are_those_of_all_pairs(spark, least):
     assert {(r.doc_id, r.line_no): (r.copy_of_doc, r.copy_of_line) for r in got} == lines_gone(rows, least)
 
 
+@pytest.mark.parametrize("space", ["\u00a0", "\u2003", "\u3000", "\u0085", "\x1c", "\x1f"])
+def test_only_ascii_white_space_ends_a_word(space):
+    assert linededup.near(f"le prix est de 10{space}000 euros", f"le prix est de 12{space}500 euros")
+    assert not linededup.near(f"le prix est de 10{space}000 euros", "le prix est de 10 000 euros")
+
+
+def test_lines_with_other_white_space(spark):
+    rows = [(k, f"le prix du livre est de {10 + k}{space}{k}00 euros ici") for k, space in enumerate("\u00a0\u2003\u3000\u0085\x1c\x1f\u00a0", 1)]
+    got = linededup.duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.line_no): (r.copy_of_doc, r.copy_of_line) for r in got} == lines_gone(rows, linededup.MIN_WORDS) == {(k, 0): (1, 0) for k in range(2, 8)}
+
+
 def test_awkward_lines(spark):
     rows = awkward_rows()
     got = linededup.duplicates(awkward(spark)).collect()
