@@ -17,6 +17,12 @@ from tablegate.llm.store import kept
 
 LEAST_SCORE = 0.3  # of the language predicted; four equal ones have 0.25
 CAPACITY = 2048
+ROW = "__row"  # a number of its own for every row, kept in the written tables
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs with a number for every row, written down unless they have it, since it must not change."""
+    return docs if ROW in docs.columns else kept(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,19 +40,31 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines an earlier line is near to; those that are null, or blank now, go."""
-    rest = linededup.without(docs, linededup.duplicates(docs))
-    return rest.filter(F.col("text").rlike(r"\S"))
+    """Documents without the lines an earlier line is near to; those that are null, or blank now, go.
+
+    Every row is a document, whether it has no doc_id or shares one. Rows go by doc_id, those without one first.
+    """
+    rows, kind = numbered(docs), docs.schema["doc_id"].dataType
+    own = rows.withColumn("doc_id", F.struct(F.col("doc_id").cast("long").alias("id"), F.col(ROW).alias("row")))
+    rest = linededup.without(own, linededup.duplicates(own))
+    return rest.withColumn("doc_id", F.col("doc_id.id").cast(kind)).select(docs.columns).filter(F.col("text").rlike(r"\S"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of every group of near-duplicates: five-word shingles, a similarity of 0.8 or more.
 
-    Rows without doc_id belong to no group that could be told by ids, so they stay.
+    Every row is a document, whether it has no doc_id or shares one. The first is that of the smallest doc_id; rows
+    without one come last.
     """
-    groups = neardup.near_duplicates(docs, size=5, percent=80)
-    gone = groups.filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    rows = numbered(docs)
+    groups = neardup.near_duplicates(rows.withColumn("doc_id", F.col(ROW)), size=5, percent=80)
+    groups = kept(groups.select(F.col("doc_id").alias(ROW), "component_id", "kept"), "groups")
+    several = groups.filter("NOT kept").select("component_id").distinct()
+    members = groups.join(several, "component_id", "left_semi").join(rows.select(ROW, F.col("doc_id").cast("long").alias("doc_id")), ROW)
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id"), F.col(ROW).alias("row"))
+    firsts = members.groupBy("component_id").agg(F.min(place).alias("first")).select(F.col("first.row").alias(ROW))
+    gone = members.select(ROW).join(firsts, ROW, "left_anti")
+    return rows.join(gone, ROW, "left_anti").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,5 +93,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = kept(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+        result = stage(spark, docs, sf_dir)
+        if ROW not in result.columns:
+            result = result.withColumn(ROW, F.monotonically_increasing_id())
+        docs = kept(result, name)
+    return STAGES[-1][1](spark, docs.drop(ROW), sf_dir)

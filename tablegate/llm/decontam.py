@@ -172,7 +172,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that leak no item, with all their columns; rows without doc_id are looked at one by one as others."""
-    found = leaks(docs, benchmark).select("doc_id").distinct()
-    d, g = docs.alias("d"), found.withColumnRenamed("doc_id", "leaking").alias("g")
-    return d.join(g, F.expr("d.doc_id <=> g.leaking"), "left_anti")
+    """The documents that leak no item, with all their columns; every row is looked at for itself, whatever its doc_id."""
+    session = docs.sparkSession
+    rest = bounded_batches(docs)
+    for ids, bodies in _blocks(benchmark):
+        shared = session.sparkContext.broadcast((ids, bodies))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            known, packed = shared.value
+            items = Items(known, [np.frombuffer(b, np.uint64) for b in packed])
+            for piece in chunks(batches, "text"):
+                stay = np.ones(piece.num_rows, bool)
+                stay[[text for text, _ in items.leaks(*tokens(piece.column("text")))]] = False
+                yield piece.filter(pa.array(stay))
+
+        rest = rest.mapInArrow(run, docs.schema)
+    return rest

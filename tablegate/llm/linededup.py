@@ -91,8 +91,14 @@ def named(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return mix(hashes + sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+def _kind(docs: DataFrame) -> str:
+    """The type of doc_id: a struct stays one, which lets rows without an id of their own have a key; all else is long."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return kind if kind.startswith("struct<") else "bigint"
+
+
 def _rows(docs: DataFrame) -> DataFrame:
-    return bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return bounded_batches(docs).select(F.col("doc_id").cast(_kind(docs)).alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -106,10 +112,7 @@ def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             columns += [pa.array(np.ascontiguousarray(halves[:, k])) for k in range(4)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line_no", "line", "k0", "k1", "k2", "k3"])
 
-    return _rows(docs).mapInArrow(run, "doc_id long, line_no int, line long, k0 long, k1 long, k2 long, k3 long")
-
-
-VARIANTS = "key long, place int, line long, doc_id long, line_no int"
+    return _rows(docs).mapInArrow(run, f"doc_id {_kind(docs)}, line_no int, line long, k0 long, k1 long, k2 long, k3 long")
 
 
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,11 +210,11 @@ def duplicates(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, ["line", "doc_id", "line_no", "body"])
 
-    whole = _rows(docs).mapInArrow(bodies, "line long, doc_id long, line_no int, body string")
+    whole = _rows(docs).mapInArrow(bodies, f"line long, doc_id {_kind(docs)}, line_no int, body string")
     w, p = whole.alias("w"), plausible.alias("p")
     same = F.expr("w.line = p.line AND w.line_no = p.line_no AND w.doc_id <=> p.doc_id")
     texts = kept(w.join(p, same, "left_semi").dropDuplicates(["line"]), "plausible-lines")
-    emitted = texts.mapInArrow(_emit, VARIANTS)
+    emitted = texts.mapInArrow(_emit, f"key long, place int, line long, doc_id {_kind(docs)}, line_no int")
     sorted_keys = ["key", "place", F.col("doc_id").asc_nulls_first(), "line_no", "line"]
     meetings = emitted.repartition("key").sortWithinPartitions(*sorted_keys).mapInArrow(_meet, "line long, other long").distinct()
 
@@ -239,7 +242,8 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """docs with the given (doc_id, line_no) lines taken out of ``text``; everything else as it was, null texts too.
 
     A document all of whose lines went has an empty text. Rows that share a doc_id (or have none) are taken as one document:
-    a line number that goes, goes in each. n_chars, if there is such a column, is set to the new length.
+    a line number that goes, goes in each; who wants them apart gives every row a doc_id of its own, a struct if need be,
+    here and to ``duplicates``. n_chars, if there is such a column, is set to the new length.
     """
     lists = gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("__gone"))  # of one document's lines
     d, g = bounded_batches(docs).alias("d"), lists.alias("g")

@@ -126,6 +126,18 @@ def test_stages_do_their_whole_job(spark, corpus):
     assert result.agg(F.max(F.col("offset") + F.col("length"))).first()[0] <= packing.CAPACITY
 
 
+def test_rows_without_or_with_shared_ids_are_documents_of_their_own(spark, corpus):
+    line = "the same boilerplate line stands in many documents"
+    texts = [prose(900, 25), prose(501, 40), prose(502, 40), prose(502, 40), f"{line}\n{prose(503, 30)}", f"{line}\n{prose(504, 30)}"]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i in (None, 7) for t in texts], empty(spark).schema).coalesce(1)
+    cut = {f"{line}\n{prose(k, 30)}": prose(k, 30) for k in (503, 504)}
+    run = lambda name: sorted((str(r.doc_id), r.text) for r in dict(corpus_pipeline.STAGES)[name](spark, docs, corpus).collect())
+    assert run("decontamination") == sorted((str(i), t) for i in (None, 7) for t in texts[1:])
+    assert run("near_dedup") == sorted(("7", t) for t in dict.fromkeys(texts))
+    got = run("line_dedup")
+    assert sorted(t for _, t in got) == sorted([texts[0], texts[1], texts[2], texts[4], cut[texts[5]]]) and {i for i, _ in got} == {"None"}
+
+
 def test_stages_take_empty_tables(spark, corpus):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty(spark), corpus).count() == 0, name
