@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegate.llm import decontam, fingerprint, langid, licenses, linededup, neardup, packing, quality, tokens, warc
+from tablegate.llm import decontam, fingerprint, importance, knn, langid, lexical, licenses, linededup, neardup, packing, quality, tokens, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -173,3 +173,60 @@ FROM good GROUP BY doc_id, item_id
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return licenses.scan(docs, licenses.learn(docs))
+
+
+@_registered
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_registered
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.top_k(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0, k=5)
+
+
+ORACLE["op12_exact_top_k"] = """
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@_registered
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=50)
+
+
+ORACLE["op13_lexical_search"] = r"""
+WITH words AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term FROM documents
+), asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term FROM benchmark
+), lengths AS (
+    SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id
+), whole AS (
+    SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS length FROM lengths
+), postings AS (
+    SELECT doc_id, term, count(*) AS tf FROM words SEMI JOIN asked USING (term) GROUP BY doc_id, term
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM postings, whole GROUP BY term, documents
+), valued AS (
+    SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * documents) // length))) AS value
+    FROM postings JOIN lengths USING (doc_id) JOIN weights USING (term), whole
+), scored AS (
+    SELECT item_id, doc_id, CAST(sum(value) AS BIGINT) AS score FROM asked JOIN valued USING (term) GROUP BY item_id, doc_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""

@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from tablegate.sources.workspace import fresh_path
 
 
-def kept(df: DataFrame, label: str) -> DataFrame:
+def kept(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it again, which cuts its lineage and survives lost executors."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

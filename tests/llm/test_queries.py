@@ -28,7 +28,7 @@ def small():
 
 
 def test_every_operator_is_registered_once():
-    assert sorted(int(q[2:].split("_")[0]) for q in REGISTRY) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in REGISTRY) == list(range(1, 14))
     import __spark_entry__
 
     assert {*REGISTRY, "pipeline"} <= __spark_entry__.queries().keys() and ORACLE.items() <= __spark_entry__.oracle_sql().items()
@@ -37,7 +37,7 @@ def test_every_operator_is_registered_once():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "embeddings"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     got = REGISTRY[name](spark, SMALL)
     found = duck.execute(ORACLE[name])
