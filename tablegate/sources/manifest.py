@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from tablegate.functions.fingerprint import row_hash
 from tablegate.plans.outliers import TOLERANCE, leave_one_out
 from tablegate.sources import slices as landed
-from tablegate.sources.slices import SLICE, by_name, existing, file_url, name_of
+from tablegate.sources.slices import SLICE, by_name, file_url, name_of
+from tablegate.sources.stores import existing
 
 # Verification states of a slice.
 VERIFIED, INCOMPLETE, UNDETERMINED = "verified", "incomplete", "undetermined"
@@ -38,25 +40,23 @@ def file_readability(spark: SparkSession, paths: list[str]) -> DataFrame:
     read, so a file is whole when both numbers agree.
     """
     told = landed.footers(spark, paths)
-    good = told.filter("error IS NULL")
+    schemas, files = landed.numbered_schemas(spark, told)
+    found = files.groupBy(SLICE, "schema_no").agg(F.count("path").alias("files")).collect()
+    schemas_of = Counter(r[SLICE] for r in found)
+    names, places = sorted(by_name(paths)), by_name(paths)
+    listed: dict[int, list[str]] = {}
+    for r in found:
+        if schemas_of[r[SLICE]] == 1:
+            listed.setdefault(r["schema_no"], []).append(places[names[r[SLICE]]])
+    mixed = [n for n, count in schemas_of.items() if count > 1]
+    for r in files.filter(F.col(SLICE).isin(mixed)).select("path", "schema_no").collect() if mixed else []:
+        listed.setdefault(r["schema_no"], []).append(r["path"])
     decoded = []
-    found = landed.layouts(spark, paths, told)
-    schemas = {x.schema.json(): x.schema for x in found}
-    listed: dict[str, list[str]] = {}
-    for x in found:
-        if x.alone:
-            listed.setdefault(x.schema.json(), []).append(by_name(paths)[x.slice])
-    mixed = {x.slice for x in found if not x.alone}
-    if mixed:
-        rows = good.filter(name_of(F.col(SLICE), paths).isin(list(mixed))).select("path").collect()
-        for r in rows:
-            listed.setdefault(spark.read.parquet(r["path"]).schema.json(), []).append(r["path"])
-    for text, places in listed.items():
-        schema = schemas.get(text) or next(iter(schemas.values()))
-        reader = spark.read.schema(schema).option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true")
-        hashed = row_hash(schema.names)
+    for number, where in listed.items():
+        reader = spark.read.schema(schemas[number]).option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true")
+        hashed = row_hash(schemas[number].names)
         # A plain count would be answered without decoding; the sign of the hash needs every column.
-        rows = reader.parquet(*places).groupBy(file_url(F.col("_metadata.file_path")).alias("file"))
+        rows = reader.parquet(*where).groupBy(file_url(F.col("_metadata.file_path")).alias("file"))
         decoded.append(rows.agg((F.count_if(hashed >= 0) + F.count_if(hashed < 0)).alias("rows_decoded")))
     files = told.select(name_of(F.col(SLICE), paths).alias("slice"), "path", file_url(F.col("url")).alias("file"), F.col("rows").alias("rows_declared"))
     if not decoded:

@@ -9,20 +9,24 @@ the file's path. What the join attaches is the slice's number; names are put in
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from urllib.parse import unquote
+from functools import reduce
 
 import pyarrow as pa
+from pyarrow import parquet
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablegate.sources.stores import DRIVER_THREADS, LOCAL, TAIL_BYTES, Store, Tail, qualified, split_by_reach, tail_by_hadoop, tail_by_task
+from tablegate.sources.workspace import kept
+
 SOURCE_FILE = "_source_file"
 SLICE = "_slice"  # a slice's place among the sorted names
-DRIVER_THREADS = 16
-_LOCAL = "^file:/+"
+MAGIC = b"PAR1"  # fixed value: how a Parquet file begins and ends
 
 
 def slice_name(path: str) -> str:
@@ -37,26 +41,9 @@ def by_name(paths: list[str]) -> dict[str, str]:
     return named
 
 
-def _hadoop(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    return system, system.makeQualified(target)
-
-
-def existing(spark: SparkSession, paths: list[str]) -> list[str]:
-    """The paths that exist."""
-
-    def there(path: str) -> bool:
-        system, target = _hadoop(spark, path)
-        return system.exists(target)
-
-    with ThreadPoolExecutor(DRIVER_THREADS) as pool:
-        return [p for p, found in zip(paths, pool.map(there, paths)) if found]
-
-
 def file_url(path: Column) -> Column:
     """One spelling of a file's path: some parts of Spark write ``file:/a``, others ``file:///a``."""
-    return F.regexp_replace(path, _LOCAL, "file:/")
+    return F.regexp_replace(path, LOCAL, "file:/")
 
 
 def with_slice(df: DataFrame, file_path: Column, paths: list[str]) -> DataFrame:
@@ -69,7 +56,7 @@ def with_slice(df: DataFrame, file_path: Column, paths: list[str]) -> DataFrame:
     numbers = {name: i for i, name in enumerate(sorted(by_name(paths)))}
     depths: dict[int, list[tuple[str, int]]] = {}
     for path in paths:
-        uri = re.sub(_LOCAL, "file:/", _hadoop(spark, path)[1].toUri().toString())
+        uri = re.sub(LOCAL, "file:/", qualified(spark, path))
         depths.setdefault(uri.count("/") + 1, []).append((uri, numbers[slice_name(path)]))
     columns, found = df.columns, []
     out = df.withColumn("__file", file_url(file_path))
@@ -94,19 +81,21 @@ def list_files(spark: SparkSession, paths: list[str], pattern: str = "*.parquet"
     return reader.load(list(paths)).select("path", F.col("_metadata.file_path").alias("url"), "length", "modificationTime")
 
 
-def _footer(path: str, url: str) -> tuple[int | None, str | None, str | None]:
-    """Rows and schema (as Spark's JSON) that a file's footer declares, or what is wrong with it."""
-    from pyarrow import fs, parquet
+def footer_of(tail: Tail) -> tuple[int | None, str | None, str | None]:
+    """Rows and schema (as Spark's JSON) that a file's footer declares, or what is wrong with it.
+
+    Failing to read the bytes is raised: a store that is down or refuses is not a damaged file.
+    """
     from pyspark.sql.pandas.types import from_arrow_schema
 
+    body = tail(TAIL_BYTES)
+    if len(body) < 12 or body[-4:] != MAGIC:
+        return None, None, "not a Parquet file: it doesn't end as one"
+    wanted = int.from_bytes(body[-8:-4], "little") + 8
+    if wanted > len(body):
+        body = tail(wanted)
     try:
-        local = re.match(_LOCAL, url)
-        system, place = (fs.LocalFileSystem(), "/" + unquote(url[local.end() :])) if local else fs.FileSystem.from_uri(url)
-    except Exception:
-        return None, None, ""  # a store only Spark reads
-    try:
-        with system.open_input_file(place) as source:
-            found = parquet.read_metadata(source)
+        found = parquet.read_metadata(pa.BufferReader(MAGIC + body[-wanted:]))
         own = (found.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
         return found.num_rows, own.decode() if own else from_arrow_schema(found.schema.to_arrow_schema(), True).json(), None
     except Exception as error:
@@ -117,35 +106,32 @@ FOOTERS = "path string, url string, length long, _slice int, rows long, schema s
 
 
 def footers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """SRC-2 for every file: (path, url, length, _slice, rows, schema, error), read by tasks; no row is touched.
+    """SRC-2 for every file: (path, url, length, _slice, rows, schema, error); no row is touched, each footer is read once.
 
-    Files in a store only Spark's readers reach are opened by Spark from the driver, side by side.
+    ``error`` says how a file is damaged. Files that can't be reached are no damage: that is an error of the whole read.
     """
+    names = [c.split()[0] for c in FOOTERS.split(", ")]
+    store = Store.of(spark, *paths)
+    near, far = split_by_reach(spark, paths, store)
+
+    def listed(some: list[str]) -> DataFrame:
+        return with_slice(list_files(spark, some), F.col("url"), paths).select("path", "url", "length", SLICE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            told = [_footer(p, u) for p, u in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            told = [footer_of(tail_by_task(store, url)) for url in batch.column(1).to_pylist()]
             extra = [pa.array([t[k] for t in told], kind) for k, kind in enumerate((pa.int64(), pa.string(), pa.string()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [c.split()[0] for c in FOOTERS.split(", ")])
-
-    listed = with_slice(list_files(spark, paths), F.col("url"), paths).select("path", "url", "length", SLICE)
-    read = listed.repartition(spark.sparkContext.defaultParallelism).mapInArrow(run, FOOTERS)
-    unreached = [r.path for r in read.filter("error = ''").select("path").collect()]
-    if not unreached:
-        return read
+            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names)
 
-    def by_spark(path: str) -> tuple[str, int | None, str | None, str | None]:
-        try:
-            rows = spark.read.parquet(path)
-            return path, rows.count(), rows.schema.json(), None
-        except Exception as error:
-            return path, None, None, str(error)[:500]
-
-    with ThreadPoolExecutor(DRIVER_THREADS) as pool:
-        told = spark.createDataFrame(list(pool.map(by_spark, unreached)), "path string, r long, s string, e string")
-    both = read.join(told, "path", "left")
-    error = F.when(F.col("error") == "", F.col("e")).otherwise(F.col("error"))
-    return both.select("path", "url", "length", SLICE, F.coalesce("rows", "r").alias("rows"), F.coalesce("schema", "s").alias("schema"), error.alias("error"))
+    parts = []
+    if near:
+        parts.append(listed(near).repartition(spark.sparkContext.defaultParallelism).mapInArrow(run, FOOTERS))
+    if far:
+        files = listed(far).collect()  # as many as Spark's own listing holds on the driver
+        with ThreadPoolExecutor(DRIVER_THREADS) as pool:
+            told = pool.map(lambda f: footer_of(tail_by_hadoop(spark, f["path"])), files)
+            parts.append(spark.createDataFrame([(*f, *t) for f, t in zip(files, told)], FOOTERS))
+    return kept(reduce(DataFrame.unionAll, parts), "footers")
 
 
 @dataclass(frozen=True)
@@ -162,22 +148,29 @@ class Layout:
         return self.slice if self.alone else f"{self.slice}/{slice_name(self.example)}"
 
 
+def spark_schemas(spark: SparkSession, told: DataFrame) -> dict[str, T.StructType]:
+    """What Spark makes of each distinct schema that footers declare; it reads one file of each."""
+    examples = {r["schema"]: r["path"] for r in told.filter("schema IS NOT NULL").groupBy("schema").agg(F.min("path").alias("path")).collect()}
+    with ThreadPoolExecutor(DRIVER_THREADS) as pool:
+        return dict(zip(examples, pool.map(lambda p: spark.read.parquet(p).schema, examples.values())))
+
+
+def numbered_schemas(spark: SparkSession, told: DataFrame) -> tuple[list[T.StructType], DataFrame]:
+    """The distinct schemas as Spark understands them, and (path, _slice, rows, schema_no) of the readable files."""
+    known = spark_schemas(spark, told)
+    distinct = {s.json(): s for s in known.values()}
+    order = {text: i for i, text in enumerate(sorted(distinct))}
+    numbers = spark.createDataFrame(pa.table({"schema": list(known), "schema_no": pa.array([order[s.json()] for s in known.values()], pa.int32())}))
+    return [distinct[t] for t in order], told.join(numbers, "schema").select("path", SLICE, "rows", "schema_no")
+
+
 def layouts(spark: SparkSession, paths: list[str], told: DataFrame | None = None) -> list[Layout]:
     """The distinct schemas of each slice's readable files, each with the first file that has it."""
-    told = footers(spark, paths) if told is None else told
-    found = told.filter("schema IS NOT NULL").groupBy(SLICE, "schema").agg(F.min("path").alias("path")).collect()
-    names, schemas = sorted(by_name(paths)), {}
-    examples = {r["schema"]: r["path"] for r in found}
-    with ThreadPoolExecutor(DRIVER_THREADS) as pool:  # one file per distinct schema, as Spark understands it
-        schemas = dict(zip(examples, pool.map(lambda p: spark.read.parquet(p).schema, examples.values())))
-    own: dict[int, set[str]] = {}
-    for r in found:
-        own.setdefault(r[SLICE], set()).add(schemas[r["schema"]].json())
-    done = {}
-    for r in sorted(found, key=lambda r: (names[r[SLICE]], r["path"])):
-        key = (r[SLICE], schemas[r["schema"]].json())
-        done.setdefault(key, Layout(names[r[SLICE]], schemas[r["schema"]], r["path"], len(own[r[SLICE]]) == 1))
-    return list(done.values())
+    schemas, files = numbered_schemas(spark, footers(spark, paths) if told is None else told)
+    found = files.groupBy(SLICE, "schema_no").agg(F.min("path").alias("path")).collect()
+    names, own = sorted(by_name(paths)), Counter(r[SLICE] for r in found)
+    ordered = sorted(found, key=lambda r: (names[r[SLICE]], r["path"]))
+    return [Layout(names[r[SLICE]], schemas[r["schema_no"]], r["path"], own[r[SLICE]] == 1) for r in ordered]
 
 
 def read_schemas(spark: SparkSession, paths: list[str]) -> dict[str, T.StructType]:
@@ -214,10 +207,9 @@ def scan_slices(
         if name in named:
             groups.setdefault(schema.json(), []).append(named[name])
     if mixed:
-        wanted = {s.json(): s for s in schemas.values()}
-        for r in footers(spark, mixed).filter("schema IS NOT NULL").select("path", "schema").collect():
-            own = spark.read.parquet(r["path"]).schema.json() if r["schema"] not in wanted else r["schema"]
-            groups.setdefault(own, []).append(r["path"])
+        own, files = numbered_schemas(spark, footers(spark, mixed))
+        for r in files.select("path", "schema_no").collect():
+            groups.setdefault(own[r["schema_no"]].json(), []).append(r["path"])
     extra = [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_size").alias("_bytes")]
     scans = []
     for text, places in groups.items():

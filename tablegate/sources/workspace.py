@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 WAREHOUSE_DIR = "spark.sql.warehouse.dir"
@@ -23,6 +24,34 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid4().hex}"
 
 
+_held: ContextVar[list[str] | None] = ContextVar("work tables to delete", default=None)
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """Write a work table and read it again: it is evaluated once, and its lineage ends there.
+
+    Within ``released`` the table goes when that ends; else it stays until the shared folder is cleared.
+    """
+    path = fresh_path(df.sparkSession, label)
+    if (held := _held.get()) is not None:
+        held.append(path)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end the work tables made inside; what is made from them must be written or fetched by then."""
+    held: list[str] = []
+    before = _held.set(held)
+    try:
+        yield
+    finally:
+        _held.reset(before)
+        for path in held:
+            release(spark, path)
+
+
 def release(spark: SparkSession, path: str) -> bool:
     """Delete a work folder on whatever file system it is on; whether there was one."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
