@@ -12,8 +12,13 @@ import os
 from array import array
 from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 FIRST = " "  # marks the first part of a text; no part holds a space itself
 KEPT_WORDS = 300_000  # pieces remembered by a worker in each of two generations
+TOGETHER = 2000  # words that the library gets as one text
 ENDINGS = "!\"#$%&()*+,-./:;=?@[]^_`{|}~"  # ASCII signs but the apostrophe and angle brackets
 
 
@@ -35,6 +40,10 @@ class Encoder:
         drops = steps[0].get("type") == "Split" and steps[0].get("behavior") == "Removed" and "\\s" in json.dumps(steps[0])
         plain = not settings.get("normalizer") if self.keeps_spaces else True
         self.cuts = bool((self.keeps_spaces and plain or drops) and not spaced and not stripped)
+        ending = (settings.get("model") or {}).get("end_of_word_suffix") or ""
+        self.edges = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids that begin a word, or end one
+        for token, number in self.tokenizer.get_vocab().items():
+            self.edges[number] = token.startswith("\u0120") if self.keeps_spaces else bool(ending) and token.endswith(ending)
         self.young: dict[str, bytes | None] = {}
         self.old: dict[str, bytes | None] = {}
 
@@ -42,13 +51,9 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _parts(self, text: str) -> list[str]:
-        """What stands between spaces. A line break starts a part; the first part, which no space precedes, is marked."""
-        if not self.keeps_spaces:
-            return text.replace("\n", " ").split(" ")
-        parts = text.replace("\n", " \n").split(" ")
-        parts[0] = FIRST + parts[0]
-        return parts
+    def _parts(self, texts: Sequence[str]) -> pa.ListArray:
+        """What stands between spaces, for each text. A line break starts a part, or is a space where these are dropped."""
+        return pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), "\n", " \n" if self.keeps_spaces else " "), " ")
 
     def _piece(self, part: str) -> str:
         """The characters of the text that a part stands for."""
@@ -56,30 +61,57 @@ class Encoder:
             return part
         return part[1:] if part[:1] == FIRST else " " + part
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of runs of letters. Many go to the library as one text, whose ids are cut where a token begins or ends a
+        word; should it cut otherwise than they were put together, each goes alone."""
+        out: list[bytes] = []
+        for start in range(0, len(words), TOGETHER):
+            own = words[start : start + TOGETHER]
+            text = " " + " ".join(own) if self.keeps_spaces else " ".join(own)
+            body = self._library([text])[0]
+            edges = np.flatnonzero(self.edges[np.frombuffer(body, "<u4")]) * 4
+            bounds = [*edges.tolist(), len(body)] if self.keeps_spaces else [0, *(edges + 4).tolist()]
+            if len(edges) == len(own) and bounds[0] == 0 and bounds[-1] == len(body):
+                out += [body[a:b] for a, b in zip(bounds, bounds[1:])]
+            else:
+                out += self._library([self._piece(w) for w in own])
+        return out
+
+    def _known(self, parts: list[str]) -> list[bytes | None]:
+        """The ids of parts, learned where they are new."""
+        missing = [p for p in parts if p not in self.young]
+        if missing:
+            self._learn(missing)
+        return [self.young[p] for p in parts]
+
     def _learn(self, parts: list[str]) -> None:
         """Remember the ids of new parts; letters and the signs after them are tokens apart, so each is looked up once.
 
         A part that isn't safe to cut after, as it ends in white space or holds some, is remembered as None.
         """
-        young, whole, split = self.young, set(), []
-        for part in parts:
-            if part in self.old:
-                young[part] = self.old[part]
-                continue
+        young, old = self.young, self.old
+        young.update((p, old[p]) for p in parts if p in old)
+        parts = [p for p in parts if p not in young]
+        column = pa.array(parts, pa.string())
+        stems = pc.utf8_rtrim(column, ENDINGS)
+        lettered = pc.and_(pc.utf8_is_alpha(stems), pc.invert(pc.match_substring_regex(stems, r"[\x{2000}-\x{10FFFF}]")))
+        whole = pc.equal(pc.binary_length(stems), pc.binary_length(column))
+        words = set(pc.filter(column, pc.and_(lettered, whole)).to_pylist())
+        ended = pc.and_(lettered, pc.invert(whole))
+        split = list(zip(pc.filter(column, ended).to_pylist(), pc.filter(stems, ended).to_pylist()))
+        words.update(stem for _, stem in split if stem not in young)
+        words = list(words)
+        young.update(zip(words, self._words(words)))
+        others = {(FIRST if self.keeps_spaces else "") + part[len(stem) :] for part, stem in split}
+        for part in pc.filter(column, pc.invert(lettered)).to_pylist():
             if self.keeps_spaces and not ((part[1:] or part).isprintable() and part):
                 young[part] = None
-                continue
-            stem = part.rstrip(ENDINGS)
-            if len(stem) < len(part) and stem.isalpha() and max(stem) < "\u2000":
-                split.append((part, stem, part[len(stem) :]))
-                whole.add(stem)
-                whole.add(FIRST + part[len(stem) :] if self.keeps_spaces else part[len(stem) :])
             else:
-                whole.add(part)
-        ordered = [x for x in whole if x not in young]
+                others.add(part)
+        ordered = [x for x in others if x not in young]
         young.update(zip(ordered, self._library([self._piece(x) for x in ordered])))
-        for part, stem, ending in split:
-            young[part] = young[stem] + young[FIRST + ending if self.keeps_spaces else ending]
+        first = FIRST if self.keeps_spaces else ""
+        young.update((part, young[stem] + young[first + part[len(stem) :]]) for part, stem in split)
 
     def _merged(self, parts: list[str]) -> bytes:
         """Ids of a text of which some parts aren't safe to cut after: those go together with what follows."""
@@ -95,20 +127,31 @@ class Encoder:
         """The ids of each text."""
         if not self.cuts:
             return self._library(texts)
-        parts = [self._parts(t) if t else [] for t in texts]
-        young = self.young
-        missing = set().union(*(set(p).difference(young) for p in parts))
-        if missing:
-            self._learn(list(missing))
-        out = []
-        for own in parts:
-            try:
-                out.append(b"".join(map(young.__getitem__, own)))
-            except TypeError:
-                out.append(self._merged(own))
-        if len(young) > KEPT_WORDS:
-            self.young, self.old = {}, young
-        return out
+        lists = self._parts(texts)
+        bounds, coded = lists.offsets.to_numpy(), lists.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        place = coded.indices.to_numpy().astype(np.int64)
+        values = self._known(distinct)
+        if self.keeps_spaces:  # no space precedes the first part of a text, which is another thing to encode
+            first = [FIRST + distinct[k] for k in place[bounds[:-1]].tolist()]
+            place[bounds[:-1]] = np.arange(len(first)) + len(distinct)
+            values += self._known(first)
+        unsafe = np.array([v is None for v in values])[place]
+        merged = np.flatnonzero(np.add.reduceat(unsafe, bounds[:-1], dtype=np.int64)) if len(place) else []
+        ids = np.frombuffer(b"".join(v or b"" for v in values), "<u4")
+        sizes = np.array([len(v or b"") // 4 for v in values])
+        starts = np.cumsum(sizes) - sizes
+        each = sizes[place]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        body = ids[np.arange(ends[-1]) + np.repeat(starts[place] - ends[:-1], each)].tobytes()
+        cuts = (ends[bounds] * 4).tolist()
+        out = [body[a:b] for a, b in zip(cuts, cuts[1:])]
+        for k in merged:
+            own = lists[int(k)].as_py()
+            out[k] = self._merged([FIRST + own[0], *own[1:]] if self.keeps_spaces else own)
+        if len(self.young) > KEPT_WORDS:
+            self.young, self.old = {}, self.young
+        return [b"" if not t else o for t, o in zip(texts, out)]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -126,7 +169,7 @@ def forget() -> None:
     _encoders.clear()
 
 
-def encoded(path: str, texts: Sequence[str], limit: int = 1 << 20) -> Iterator[bytes]:
+def encoded(path: str, texts: Sequence[str], limit: int = 4 << 20) -> Iterator[bytes]:
     """Ids of texts in order, encoded a few MB at a time."""
     start, held = 0, 0
     for i, text in enumerate(texts):
