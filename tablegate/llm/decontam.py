@@ -8,6 +8,10 @@ are intact, 3, 6 or 9 words apart. So the masks, with a 1 for each word that cou
 
 Every place of a text is hashed under each mask and looked up among the hashes of the items. A hit gives a diagonal (the
 item laid along the text), on which all spans are verified word by word, so the seeds decide the speed and not the result.
+Items shorter than the span must be found whole and unchanged.
+
+Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased; spaces and punctuation end a word, also those
+beyond ASCII, such as curly quotes, and in scripts without spaces each character is a word.
 """
 
 from __future__ import annotations
@@ -20,23 +24,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablegate.llm.store import bounded_batches
-from tablegate.llm.text import buffers, chunks, mix, random_words, runs, span_hashes
+from tablegate.llm.text import buffers, chunks, mix, random_words, script_runs, span_hashes
 
 SPAN, SUBSTITUTED = 12, 2
 BLOCK = 3
 APART = (3, 6, 9)
-LEAST = 5  # shorter items are not looked for; items shorter than the span must be found whole and unchanged
 TOGETHER = 1_000_000  # words of items that are looked for in one pass over the documents
 _FILTER_BITS = 22
 
-WORD_BYTES = np.zeros(256, bool)
-WORD_BYTES[48:58] = WORD_BYTES[65:91] = WORD_BYTES[97:123] = WORD_BYTES[128:] = True
+_WORD_BYTES = np.zeros(256, bool)
+_WORD_BYTES[48:58] = _WORD_BYTES[65:91] = _WORD_BYTES[97:123] = _WORD_BYTES[128:] = True
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words (runs of letters, digits and non-ASCII characters; A-Z lower-cased) and their bounds by text."""
+    """Hashes of the words of texts, and the bounds of each text's."""
     data, offsets = buffers(column)
-    starts, ends = runs(WORD_BYTES[data], offsets)
+    starts, ends = script_runs(data, offsets, _WORD_BYTES[data], True)
     return span_hashes(data, starts, ends, lower=True), np.searchsorted(starts, offsets)
 
 
@@ -127,7 +130,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[tuple[list, list[bytes]]]:
             bodies = [words[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(bodies, pa.binary()), pa.array(np.diff(bounds))], ["item_id", "words", "n"])
 
-    hashed = rows.mapInArrow(run, "item_id long, words binary, n long").filter(F.col("n") >= LEAST).distinct()
+    hashed = rows.mapInArrow(run, "item_id long, words binary, n long").filter("n > 0").distinct()
     total = hashed.agg(F.sum("n")).first()[0] or 0
     blocks = -(-total // TOGETHER)
     for k in range(blocks):

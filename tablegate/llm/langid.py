@@ -7,6 +7,7 @@ text. The network is trained by backpropagation through time on windows from a b
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from uuid import uuid4
 
@@ -170,11 +171,17 @@ def probabilities(network: Network, data: np.ndarray, offsets: np.ndarray) -> np
     return chances / chances.sum(1, keepdims=True)
 
 
-def smallest_hashes(rows: DataFrame, key: str, n: int) -> Column:
-    """A condition that holds for the n rows of smallest hash of a key (and rows that share the last one's)."""
-    hashed = F.xxhash64(F.col(key), F.lit(SEED))
-    last = rows.select(hashed.alias("h")).orderBy("h").limit(n).agg(F.max("h").alias("last")).first()["last"]
-    return hashed <= F.lit(last) if last is not None else F.lit(False)
+def bounded_sample(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """The n rows of the smallest hashes of a key, and of the whole row where keys are equal or missing.
+
+    Only rows that are equal in everything share the last hash, so which of these are taken makes no difference.
+    """
+    h = F.struct(F.xxhash64(F.col(key), F.lit(SEED)).alias("of_key"), F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]).alias("of_row"))
+    smallest = [r["h"] for r in rows.select(h.alias("h")).orderBy("h").limit(n).collect()]
+    if not smallest:
+        return rows.limit(0)
+    last = F.struct(*[F.lit(smallest[-1][c]).alias(c) for c in ("of_key", "of_row")])
+    return rows.filter(h < last).unionAll(rows.filter(h == last).limit(smallest.count(smallest[-1])))
 
 
 def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Network | None:
@@ -185,7 +192,7 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Network | None
     """
     rows = bounded_batches(labelled).select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
-    sample = rows.filter(smallest_hashes(rows, "doc_id", sample_docs))
+    sample = bounded_sample(rows, "doc_id", sample_docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in chunks(batches, "text"):
@@ -194,7 +201,7 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Network | None
             names = piece.column(2).to_pylist()
             chosen = []
             for doc, (a, b) in enumerate(zip(np.searchsorted(owner, np.arange(len(names))), np.searchsorted(owner, np.arange(len(names)), "right"))):
-                places = np.random.default_rng([SEED, doc, b - a]).permutation(np.arange(a, b))[:DOC_WINDOWS]
+                places = np.random.default_rng([SEED, zlib.crc32(data[offsets[doc] : offsets[doc + 1]])]).permutation(np.arange(a, b))[:DOC_WINDOWS]
                 chosen += [(names[doc], windows[p].tobytes()) for p in places if _LETTER[windows[p]].any()]
             if chosen:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*chosen), (pa.string(), pa.binary()))], ["lang", "bytes"])

@@ -21,10 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablegate.llm.decontam import WORD_BYTES, tokens
-from tablegate.llm.langid import smallest_hashes
+from tablegate.llm.langid import bounded_sample
 from tablegate.llm.store import bounded_batches
-from tablegate.llm.text import buffers, chunks, mix, runs
+from tablegate.llm.text import buffers, chunks, mix, runs, span_hashes
+
+WORD_BYTES = np.zeros(256, bool)
+WORD_BYTES[48:58] = WORD_BYTES[65:91] = WORD_BYTES[97:123] = WORD_BYTES[128:] = True
 
 # The notices by which licences are commonly stated, by family.
 TEMPLATES = {
@@ -83,6 +85,13 @@ SAMPLE_DOCS, SAMPLE_LINES = 500, 4  # documents that paragraphs of the unknown c
 VARIATIONS, EPOCHS = 60, 12
 
 
+def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words (runs of letters, digits and non-ASCII characters; A-Z lower-cased) and their bounds by text."""
+    data, offsets = buffers(column)
+    starts, ends = runs(WORD_BYTES[data], offsets)
+    return span_hashes(data, starts, ends, lower=True), np.searchsorted(starts, offsets)
+
+
 def _hashed(text: str) -> np.ndarray:
     return tokens(pa.array([text], pa.string()))[0]
 
@@ -220,7 +229,7 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     Works without any document too. A line is taken up to a window's length, so what reaches the driver is bounded.
     """
     rows = bounded_batches(docs).select("doc_id", F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
-    sample = rows.filter(smallest_hashes(rows, "doc_id", sample_docs))
+    sample = bounded_sample(rows, "doc_id", sample_docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Templates()

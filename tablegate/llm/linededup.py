@@ -10,7 +10,9 @@ Before that, lines that can't have a near one are set aside without loss: of two
 last half of words is unchanged in both, so a line whose halves nobody shares emits no variants.
 
 Lines are ordered by (doc_id, line number), null doc_ids first. A line goes if an earlier line is near it, whether or
-not that one stays. Lines of fewer than ``MIN_WORDS`` words always stay and make no other line go.
+not that one stays. Between lines of fewer than ``MIN_WORDS`` words, or such a line and a longer one, only equal words
+count as near, as one word is too much of them; blank lines always stay. Words stand between ASCII white space; in scripts
+that put no spaces between words each character is a word.
 """
 
 from __future__ import annotations
@@ -24,10 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablegate.llm.store import bounded_batches, kept
-from tablegate.llm.text import buffers, chunks, mix, random_words, words
+from tablegate.llm.text import UNSPACED, buffers, character_class, chunks, mix, random_words, words
 
 MIN_WORDS = 6
-_WORD = re.compile("[^\x20\x09-\x0d]+")  # as the keys have it: no other white space ends a word
+_SOLO = character_class(UNSPACED)
+_WORD = re.compile(f"[{_SOLO}]|[^\x20\x09-\x0d{_SOLO}]+")  # as the keys have it: no other white space ends a word
 _BASE = int(random_words(31, 1)[0]) | 1
 _BACK = pow(_BASE, -1, 1 << 64)
 
@@ -43,7 +46,7 @@ class Lines:
 
     def __init__(self, column: pa.Array, min_words: int) -> None:
         data, offsets = buffers(column)
-        found = words(data, offsets, lower=False)
+        found = words(data, offsets, lower=False, by_script=True)
         breaks = np.flatnonzero(data == 10)
         line = np.searchsorted(breaks, found.starts)
         texts = np.repeat(np.arange(len(offsets) - 1), np.diff(found.bounds))
@@ -102,14 +105,15 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, line_no, line, k0..k3) of every line with enough words; line is a hash of its words, k its halves'."""
+    """(doc_id, line_no, line, k0..k3) of every line with a word; line is a hash of its words, k its halves' if it has
+    enough words to be near another."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in chunks(batches, "text"):
-            lines = Lines(piece.column(1), min_words)
-            halves = lines.halves().view(np.int64)
+            lines = Lines(piece.column(1), 1)
+            halves, short = lines.halves().view(np.int64), lines.ends - lines.starts < min_words
             columns = [piece.column(0).take(pa.array(lines.text)), pa.array(lines.number), pa.array(lines.whole().view(np.int64))]
-            columns += [pa.array(np.ascontiguousarray(halves[:, k])) for k in range(4)]
+            columns += [pa.array(np.ascontiguousarray(halves[:, k]), mask=short) for k in range(4)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "line_no", "line", "k0", "k1", "k2", "k3"])
 
     return _rows(docs).mapInArrow(run, f"doc_id {_kind(docs)}, line_no int, line long, k0 long, k1 long, k2 long, k3 long")
@@ -192,6 +196,7 @@ def duplicates(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     classes = found.groupBy("line").agg(first, *[F.first(k).alias(k) for k in ("k0", "k1", "k2", "k3")])
     classes = kept(classes.select("line", "first.doc_id", "first.line_no", "k0", "k1", "k2", "k3"), "line-classes")
     halves = classes.select("line", F.explode(F.array_distinct(F.array("k0", "k1", "k2", "k3"))).alias("key"))
+    halves = halves.filter("key IS NOT NULL")
     shared = halves.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     plausible = halves.join(shared, "key", "left_semi").select("line").distinct()
     plausible = classes.join(plausible, "line", "left_semi").select("line", "doc_id", "line_no")

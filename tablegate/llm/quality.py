@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablegate.llm.langid import smallest_hashes
+from tablegate.llm.langid import bounded_sample
 from tablegate.llm.store import bounded_batches
 from tablegate.llm.text import buffers, chunks, mix, runs, shingles, span_hashes
 
@@ -113,7 +113,7 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> np.ndarray:
     """
     rows = bounded_batches(labelled).select("doc_id", F.col("text").cast("string").alias("text"), F.col("label").cast("int").alias("label"))
     rows = rows.filter("label IN (0, 1) AND text IS NOT NULL")
-    sample = rows.filter(smallest_hashes(rows, "doc_id", sample_docs))
+    sample = bounded_sample(rows, "doc_id", sample_docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in chunks(batches, "text"):

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablegate.llm import decontam, fingerprint, importance, knn, langid, lexical, licenses, linededup, neardup, packing, quality, tokens, warc
+from tablegate.llm.text import SEPARATORS, UNSPACED
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -90,12 +91,27 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     known = labels.filter((fold("doc_id", 5) != 0) & F.col("label").isin(0, 1))
-    known = known.filter(langid.smallest_hashes(known, "doc_id", quality.SAMPLE_DOCS))
+    known = langid.bounded_sample(known, "doc_id", quality.SAMPLE_DOCS)
     weights = quality.learn(docs.join(known, "doc_id"))
     held_out = (fold("doc_id", 5) == 0).alias("held_out")
     return quality.predict(docs, weights).select("doc_id", held_out, "score", "predicted")
 
 
+def _in_sql(ranges: tuple[tuple[int, int], ...]) -> str:
+    """Ranges of code points as they stand in the brackets of a regular expression of DuckDB."""
+    return "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in ranges)
+
+
+def _between(ranges: list[tuple[int, int]]) -> tuple[tuple[int, int], ...]:
+    """The code points beyond ASCII that no range has."""
+    found, at = [], 0x80
+    for a, b in [*ranges, (0x110000, 0x110000)]:
+        if a > at:
+            found.append((at, a - 1))
+        at = max(at, b + 1)
+    return tuple(found)
+
+
 @_registered
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.duplicates(_table(spark, sf_dir, "documents"))
@@ -108,17 +124,17 @@ WITH split AS (
     FROM documents
 ), lines AS (
     SELECT doc_id, line_no, w FROM (
-        SELECT doc_id, line_no, regexp_extract_all(body, '[^\x20\x09-\x0D]+') AS w FROM split)
-    WHERE len(w) >= 6
+        SELECT doc_id, line_no, regexp_extract_all(body, '[SOLO]|[^\x20\x09-\x0DSOLO]+') AS w FROM split)
+    WHERE len(w) >= 1
 ), classes AS (
     SELECT w, min({'d': doc_id, 'l': line_no}) AS first_at FROM lines GROUP BY w
 ), variants AS (
     SELECT w, first_at, i, list_concat(w[:i - 1], w[i + 1:]) AS v
-    FROM (SELECT w, first_at, unnest(range(1, len(w) + 1)) AS i FROM classes)
+    FROM (SELECT w, first_at, unnest(range(1, len(w) + 1)) AS i FROM classes WHERE len(w) >= 6)
 ), near AS (
     SELECT b.w, a.first_at AS other FROM variants b JOIN variants a ON a.v = b.v AND a.i = b.i AND a.first_at < b.first_at
-    UNION ALL SELECT b.w, a.first_at FROM variants b JOIN classes a ON a.w = b.v WHERE a.first_at < b.first_at
-    UNION ALL SELECT b.w, a.first_at FROM classes b JOIN variants a ON a.v = b.w WHERE a.first_at < b.first_at
+    UNION ALL SELECT b.w, a.first_at FROM variants b JOIN classes a ON a.w = b.v AND len(a.w) >= 6 WHERE a.first_at < b.first_at
+    UNION ALL SELECT b.w, a.first_at FROM classes b JOIN variants a ON a.v = b.w AND len(b.w) >= 6 WHERE a.first_at < b.first_at
 ), earlier AS (
     SELECT w, min(other) AS earlier FROM near GROUP BY w
 )
@@ -126,7 +142,7 @@ SELECT DISTINCT l.doc_id, CAST(l.line_no AS INT) AS line_no,
        least(coalesce(e.earlier, c.first_at), c.first_at).d AS copy_of_doc, CAST(least(coalesce(e.earlier, c.first_at), c.first_at).l AS INT) AS copy_of_line
 FROM lines l JOIN classes c USING (w) LEFT JOIN earlier e USING (w)
 WHERE e.earlier IS NOT NULL OR c.first_at < {'d': l.doc_id, 'l': l.line_no}
-"""
+""".replace("SOLO", _in_sql(UNSPACED))
 
 
 @_registered
@@ -137,10 +153,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op9_decontamination"] = r"""
 WITH d AS (
     SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents
+           '[SOLO]|[0-9a-zWORDS]+') AS w FROM documents
 ), b AS (
     SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark
+           '[SOLO]|[0-9a-zWORDS]+') AS w FROM benchmark
 ), places AS (
     SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d
 ), item_places AS (
@@ -161,12 +177,12 @@ WITH d AS (
     SELECT doc_id, item_id, i - 1 AS first, i + 11 AS last FROM spans
     WHERE list_sum(list_transform(range(0, 12), lambda k: CAST(dw[i + k] = bw[i + k - shift] AS INT))) >= 10
     UNION ALL
-    SELECT doc_id, item_id, i - 1, i - 1 + len(b.w) FROM places JOIN b ON len(b.w) BETWEEN 5 AND 11 AND places.w[i] = b.w[1]
+    SELECT doc_id, item_id, i - 1, i - 1 + len(b.w) FROM places JOIN b ON len(b.w) BETWEEN 1 AND 11 AND places.w[i] = b.w[1]
     WHERE places.w[i:i + len(b.w) - 1] = b.w
 )
 SELECT doc_id, item_id, CAST(min(first) AS INT) AS first_word, CAST(max(last) AS INT) AS end_word, count(*) AS spans
 FROM good GROUP BY doc_id, item_id
-"""
+""".replace("SOLO", _in_sql(UNSPACED)).replace("WORDS", _in_sql(_between(sorted([*UNSPACED, *SEPARATORS]))))
 
 
 @_registered

@@ -122,9 +122,55 @@ def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Words:
-    """What stands between ASCII white space, with A-Z lower-cased if asked."""
-    starts, ends = runs(~SPACES[data], offsets)
+# Code points of scripts that put no spaces between words; each of their characters is a word of its own.
+UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3041, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+# Code points beyond ASCII that are white space, controls or punctuation.
+SEPARATORS = ((0x80, 0xA9), (0xAB, 0xB4), (0xB6, 0xB9), (0xBB, 0xBF), (0xD7, 0xD7), (0xF7, 0xF7), (0x1680, 0x1680), (0x2000, 0x206F), (0x2E00, 0x2E7F), (0x3000, 0x3040), (0xFE10, 0xFE1F), (0xFE30, 0xFE6F), (0xFEFF, 0xFEFF), (0xFF00, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65))
+
+
+def character_class(ranges: tuple[tuple[int, int], ...]) -> str:
+    """Ranges of code points as they stand in the brackets of a regular expression of Python."""
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
+
+
+def _within(points: np.ndarray, ranges: tuple[tuple[int, int], ...]) -> np.ndarray:
+    place = np.searchsorted([a for a, _ in ranges], points, "right") - 1
+    return (place >= 0) & (points <= np.array([b for _, b in ranges])[place])
+
+
+def _scripts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the characters of unspaced scripts, and those of the separators beyond ASCII."""
+    lead = np.flatnonzero(data >= 0xC2)
+    first = data[lead].astype(np.int64)
+    size = 2 + (first >= 0xE0) + (first >= 0xF0)
+    points = np.where(size == 2, first & 0x1F, np.where(size == 3, first & 0x0F, first & 0x07))
+    for k in (1, 2, 3):
+        longer = size > k
+        points[longer] = points[longer] << 6 | data[lead[longer] + k] & 0x3F
+    solo, apart = _within(points, UNSPACED), _within(points, SEPARATORS)
+    return lead[solo], lead[solo] + size[solo], lead[apart], lead[apart] + size[apart]
+
+
+def script_runs(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, punctuation: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``inside``, with each character of an unspaced script a run of its own.
+
+    With ``punctuation`` separators beyond ASCII end a run as well.
+    """
+    if not (data >= 0xC2).any():
+        return runs(inside, offsets)
+    starts, ends, from_, upto = _scripts(data)
+    if punctuation and len(from_):
+        inside = inside.copy()
+        for k in range(4):
+            at = from_ + k
+            inside[at[at < upto]] = False
+    return runs(inside, np.concatenate([offsets, starts, ends]))
+
+
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True, by_script: bool = False) -> Words:
+    """What stands between ASCII white space, with A-Z lower-cased if asked; by script, see ``script_runs``."""
+    inside = ~SPACES[data]
+    starts, ends = script_runs(data, offsets, inside, False) if by_script else runs(inside, offsets)
     return Words(span_hashes(data, starts, ends, lower), starts, ends, np.searchsorted(starts, offsets))
 
 

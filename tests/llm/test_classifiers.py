@@ -11,7 +11,7 @@ from tablegate.llm import langid, licenses, quality
 from tablegate.llm.queries import REGISTRY, fold
 from tablegate.llm.text import buffers
 from tests.conftest import SF_DIR
-from tests.llm.tables import EXTRA, awkward, awkward_rows, empty
+from tests.llm.tables import EXTRA, awkward, awkward_rows, empty, prose
 
 
 def test_gradients_are_the_slopes_of_the_loss():
@@ -182,3 +182,19 @@ def test_awkward_rows_hold_no_notice(spark, licence_model):
     rows = [(None, "Released under the MIT License."), (1, "x\n\nReleased under the MIT License."), (1, "x\n\nReleased under the MIT License.")]
     got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), licence_model).collect()
     assert sorted((str(r.doc_id), r.line_no, r.family) for r in got) == [("1", 2, "MIT"), ("1", 2, "MIT"), ("None", 0, "MIT")]
+
+
+def test_samples_are_bounded_whatever_ids_say(spark):
+    rows = [(k, f"{prose(k, 8)}", "en") for k in range(200)] + [(500, prose(1, 5), "en")] * 100
+    for ids in (lambda k: k, lambda k: None, lambda k: 7):
+        df = spark.createDataFrame([(ids(k), t, lang) for k, t, lang in rows], "doc_id long, text string, lang string")
+        taken = [sorted(map(str, langid.bounded_sample(df.repartition(n), "doc_id", 20).collect())) for n in (1, 7)]
+        assert len(taken[0]) == 20 and taken[0] == taken[1]
+    assert langid.bounded_sample(df.limit(0), "doc_id", 20).count() == 0
+
+
+def test_networks_don_t_depend_on_partitions(spark):
+    rows = [(k % 5, prose(k, 40) if k % 2 else prose(k, 40).translate(str.maketrans("aeou", "äöüß")), "en" if k % 2 else "de") for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one, seven = (langid.learn(df.repartition(n), 30) for n in (1, 7))
+    assert all(np.array_equal(a, b) for a, b in zip(one.weights.values(), seven.weights.values()))

@@ -6,12 +6,14 @@ import re
 import pytest
 
 from tablegate.llm import decontam
+from tablegate.llm.text import SEPARATORS, UNSPACED, character_class
 from tests.llm.tables import EXTRA, awkward, awkward_rows, empty, prose, with_extras
 
 
 def split(text):
     lower = (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
-    return re.findall("[0-9a-z\x80-\U0010ffff]+", lower)
+    solo, apart = character_class(UNSPACED), character_class(SEPARATORS)
+    return re.findall(f"[{solo}]|[^\x00-\x2f\x3a-\x60\x7b-\x7f{solo}{apart}]+", lower)
 
 
 def brute(docs, items):
@@ -22,7 +24,7 @@ def brute(docs, items):
         for b, item in items:
             y = split(item)
             spans = []
-            if decontam.LEAST <= len(y) < decontam.SPAN:
+            if 0 < len(y) < decontam.SPAN:
                 spans = [(i, i + len(y)) for i in range(len(x) - len(y) + 1) if x[i : i + len(y)] == y]
             for shift in range(-len(y), len(x)) if len(y) >= decontam.SPAN else ():
                 for i in range(max(0, shift), min(len(x), len(y) + shift) - decontam.SPAN + 1):
@@ -58,6 +60,16 @@ def test_leaks_are_those_of_all_spans(spark, monkeypatch, together):
     assert {(r.doc_id, r.item_id): (r.first_word, r.end_word, r.spans) for r in got} == want and len(got) == len(want)
 
 
+def test_short_quoted_and_unspaced_items_are_found(spark):
+    items = [(1, "what is the capital"), (2, "日本の首都はどこですか"), (3, "Name the river that flows through the old town"), (4, "yes"), (5, "¿Qué es?"), (6, "...")]
+    docs = [(1, "So: What is the CAPITAL of it?"), (2, "次の問題は日本の首都はどこですか。答えは東京です"), (3, "He asked “Name the river that flows through the old town”—and left"), (4, "yes"), (5, "“qué es”"), (6, "Qué, es... … nothing")]
+    docs += [(7, "what is the only capital"), (8, "yesterday"), (9, "...")]
+    got = decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    want = brute(docs, items)
+    assert {(r.doc_id, r.item_id): (r.first_word, r.end_word, r.spans) for r in got.collect()} == want
+    assert want.keys() == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (6, 5)}
+
+
 def test_leaking_documents_go_with_all_columns_kept(spark):
     docs, items = awkward(spark), [(1, prose(8, 25))]
     got = decontam.without_leaks(docs, spark.createDataFrame(items, "item_id long, text string"))

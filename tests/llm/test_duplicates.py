@@ -11,6 +11,7 @@ import pytest
 
 from tablegate.llm import fingerprint, linededup, neardup
 from tablegate.llm.components import components
+from tablegate.llm.text import UNSPACED, character_class
 from tests.llm.tables import awkward, awkward_rows, edited, empty, prose, with_extras
 
 
@@ -105,15 +106,15 @@ def test_nothing_has_no_duplicates(spark):
 
 
 def lines_gone(rows, least):
-    lines = sorted(
-        {(i is not None, i or 0, k, tuple(re.findall("[^\x20\x09-\x0d]+", x))) for i, t in rows for k, x in enumerate((t or "").split("\n"))}
-    )
-    lines = [x for x in lines if len(x[3]) >= least]
+    solo = character_class(UNSPACED)
+    word = re.compile(f"[{solo}]|[^\x20\x09-\x0d{solo}]+")
+    lines = sorted({(i is not None, i or 0, k, tuple(word.findall(x))) for i, t in rows for k, x in enumerate((t or "").split("\n"))})
+    lines = [x for x in lines if x[3]]
     out = {}
     for at, (known, i, k, own) in enumerate(lines):
         for known_b, j, m, other in lines[:at]:
             x, y = sorted((own, other), key=len)
-            if x == y or len(x) == len(y) and sum(a != b for a, b in zip(x, y)) == 1 or len(y) - len(x) == 1 and any(y[:p] + y[p + 1 :] == x for p in range(len(y))):
+            if x == y or len(x) >= least and (len(x) == len(y) and sum(a != b for a, b in zip(x, y)) == 1 or len(y) - len(x) == 1 and any(y[:p] + y[p + 1 :] == x for p in range(len(y)))):
                 out[(i if known else None, k)] = (j if known_b else None, m)
                 break
     return out
@@ -146,6 +147,12 @@ def test_lines_with_other_white_space(spark):
     assert {(r.doc_id, r.line_no): (r.copy_of_doc, r.copy_of_line) for r in got} == lines_gone(rows, linededup.MIN_WORDS) == {(k, 0): (1, 0) for k in range(2, 8)}
 
 
+def test_short_and_unspaced_lines(spark):
+    rows = [(1, "All rights reserved.\n一二三四五六七八九十は漢字の数です"), (2, "x\nAll  rights reserved. "), (3, "一二三四五六七八九十は漢字の数です\nAll rights reserved!"), (4, "一二三四五六七八九十が漢字の数です"), (5, "日本語\n\n"), (6, "日本話\n \n日本語")]
+    got = {(r.doc_id, r.line_no): (r.copy_of_doc, r.copy_of_line) for r in linededup.duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == lines_gone(rows, linededup.MIN_WORDS) == {(2, 1): (1, 0), (3, 0): (1, 1), (4, 0): (1, 1), (6, 2): (5, 0)}
+
+
 def test_awkward_lines(spark):
     rows = awkward_rows()
     got = linededup.duplicates(awkward(spark)).collect()
