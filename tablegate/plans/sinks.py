@@ -11,16 +11,20 @@ from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass
 from math import ceil
+from urllib.parse import unquote
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablegate.operators.reconcile import reconcile_fingerprints, table_fingerprint
 from tablegate.operators.slices import union_slices
 from tablegate.sources.slices import SOURCE_FILE, by_name, scan_slices
+from tablegate.sources.stores import hadoop_path
 from tablegate.sources.workspace import release
 
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's name for the folder of NULL
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 INFLATION = 3  # shuffled rows per byte of compressed Parquet, roughly
@@ -50,6 +54,18 @@ def table_location(spark: SparkSession, table: str) -> str:
     return described.head()["data_type"]
 
 
+def _layout(schema: T.StructType) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in schema]
+
+
+def _described(schema: T.StructType) -> dict[str, str]:
+    return {f.name: f.metadata["comment"] for f in schema if f.metadata.get("comment")}
+
+
+def _text(words: str) -> str:
+    return "'" + words.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def overwrite_table(
     df: DataFrame,
     table: str,
@@ -60,14 +76,35 @@ def overwrite_table(
 ) -> Published:
     """SNK-1: replace a table by a new version, which ``check`` may refuse before it is published.
 
-    Because the new version has a location of its own, ``df`` may read the table it replaces (SNK-5). The name
-    is unbound only between two catalog renames.
+    Because the new version has a location of its own, ``df`` may read the table it replaces (SNK-5). Publishing is one
+    catalog call that sets the table's location, so that readers find the old version or the new one and never none. Columns
+    that the new version adds at the end are declared first, which is true of the old one too (there they are NULL). Where
+    columns go, move or change type, or the table is partitioned, the catalog has no such call: the new version is a table
+    of its own that takes the name, which is unbound between two renames. ``replace_slices`` needs no rename.
     """
     spark = df.sparkSession
     ensure_schema(spark, table)
     version = uuid4().hex
     short = table.rsplit(".", 1)[-1]
     location = f"{root or table_root(spark, table)}/{short}/version-{version}"
+    there = spark.catalog.tableExists(table)
+    old = spark.table(table).schema if there else None
+    own = _layout(df.schema)
+    if there and not partition_by and not partition_columns(spark, table) and own[: len(old)] == _layout(old):
+        df.write.format(table_format).save(location)
+        if check is not None:
+            check(spark.read.format(table_format).schema(df.schema).load(location))
+        previous = table_location(spark, table)
+        if len(own) > len(old):
+            added = ", ".join(f"`{name}` {kind}" for name, kind in own[len(old) :])
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {_text(location)}")
+        told = _described(old)
+        for name, words in _described(df.schema).items():
+            if told.get(name) != words:
+                spark.sql(f"ALTER TABLE {table} ALTER COLUMN `{name}` COMMENT {_text(words)}")
+        return Published(table, location, previous)
+
     staged, retired = f"{table}__staged_{version}", f"{table}__retired_{version}"
     try:
         writer = df.write.format(table_format).option("path", location)
@@ -75,7 +112,7 @@ def overwrite_table(
         if check is not None:
             check(spark.table(staged))
         previous = None
-        if spark.catalog.tableExists(table):
+        if there:
             previous = table_location(spark, table)
             spark.sql(f"ALTER TABLE {table} RENAME TO {retired}")
         try:
@@ -92,6 +129,71 @@ def overwrite_table(
     return Published(table, location, previous)
 
 
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def slice_locations(spark: SparkSession, table: str) -> dict[str, str]:
+    """Where each slice of a table partitioned by one column is."""
+    column = partition_columns(spark, table)[0]
+    found = {}
+    for r in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        name = unquote(r["partition"].split("=", 1)[1])
+        told = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION (`{column}` = {_text(name)})")
+        found[name] = told.filter("col_name = 'Location'").head()["data_type"]
+    return found
+
+
+def replace_slices(df: DataFrame, table: str, slice_column: str, root: str | None = None, table_format: str = "parquet") -> dict[str, Published]:
+    """SNK-1 for single slices: those that ``df`` has rows of are replaced or added, all others are left alone.
+
+    The table is partitioned by ``slice_column``, a string, and created if need be. The new rows are written beside the old
+    ones, and each slice is switched by one catalog call that sets its partition's location; no file of any slice is moved
+    or deleted, so ``df`` may read the table. A run that dies leaves each slice old or new. Returns the slices switched.
+    """
+    spark = df.sparkSession
+    ensure_schema(spark, table)
+    short = table.rsplit(".", 1)[-1]
+    home = f"{root or table_root(spark, table)}/{short}"
+    columns = [c for c in df.columns if c != slice_column]
+    rows = df.select(*[F.col(f"`{c}`") for c in columns], F.col(f"`{slice_column}`").cast("string"))
+    location = f"{home}/version-{uuid4().hex}"
+    rows.write.format(table_format).partitionBy(slice_column).save(location)
+    declared = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT {_text(f.metadata['comment'])}" if f.metadata.get("comment") else "") for f in rows.schema)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({declared}) USING {table_format} PARTITIONED BY (`{slice_column}`) LOCATION {_text(f'{home}/slices')}")
+    if _layout(spark.table(table).schema) != _layout(rows.schema):
+        raise ValueError(f"the slices' columns are not those of {table}")
+    known = slice_locations(spark, table)
+    done = {}
+    for name, folder in sorted(_written_folders(spark, location, slice_column).items()):
+        part = f"PARTITION (`{slice_column}` = {_text(name)})"
+        if name in known:
+            spark.sql(f"ALTER TABLE {table} {part} SET LOCATION {_text(folder)}")
+        else:
+            spark.sql(f"ALTER TABLE {table} ADD {part} LOCATION {_text(folder)}")
+        done[name] = Published(table, folder, known.get(name))
+    return done
+
+
+def drop_slice(spark: SparkSession, table: str, name: str) -> Published | None:
+    """Take a slice out of a table partitioned by slice; its files stay. None if there is no such slice."""
+    known = slice_locations(spark, table).get(name)
+    if known is None:
+        return None
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{partition_columns(spark, table)[0]}` = {_text(name)})")
+    return Published(table, "", known)
+
+
+def _written_folders(spark: SparkSession, location: str, column: str) -> dict[str, str]:
+    """The folders in which Spark has put the values of a partition column; names escape what paths can't hold."""
+    system, target = hadoop_path(spark, location)
+    folders = [status.getPath().getName() for status in system.listStatus(target) if status.isDirectory()]
+    found = {unquote(f.split("=", 1)[1]): f"{location}/{f}" for f in folders if f.startswith(f"{column}=")}
+    if NO_VALUE in found:
+        raise ValueError(f"rows without a value of {column} belong to no slice")
+    return found
+
+
 def remove_retired(spark: SparkSession, published: Published) -> bool:
     """Delete the version a publication replaced, unless the table has gone back to it; whether something went."""
     retired = published.previous_location
@@ -101,14 +203,27 @@ def remove_retired(spark: SparkSession, published: Published) -> bool:
 
 
 def append_table(df: DataFrame, table: str, root: str | None = None, table_format: str = "parquet") -> None:
-    """SNK-2: append rows of a fixed schema, creating schema and table on first use."""
+    """SNK-2: append rows of a fixed schema, creating schema and table on first use.
+
+    Any number of writers may append at once, first ones too: the table is created only if nobody else has done so, and the
+    rows are written to a folder that readers pass over and then take their place by one rename, so that a reader sees all
+    of an append or nothing. (On a store without atomic renames, such as an object store, it may see a part for a while.)
+    """
     spark = df.sparkSession
     ensure_schema(spark, table)
-    writer = df.write.format(table_format).mode("append")
+    location = f"{root or table_root(spark, table)}/{table.rsplit('.', 1)[-1]}/log"
     if not spark.catalog.tableExists(table):
-        short = table.rsplit(".", 1)[-1]
-        writer = writer.option("path", f"{root or table_root(spark, table)}/{short}/log")
-    writer.saveAsTable(table)
+        declared = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({declared}) USING {table_format} OPTIONS (recursiveFileLookup 'true') LOCATION {_text(location)}")
+    if _layout(spark.table(table).schema) != _layout(df.schema):
+        raise ValueError(f"the rows' columns are not those of {table}")
+    location = table_location(spark, table)
+    batch = uuid4().hex
+    df.write.format(table_format).save(f"{location}/_staged-{batch}")
+    system, staged = hadoop_path(spark, f"{location}/_staged-{batch}")
+    if not system.rename(staged, hadoop_path(spark, f"{location}/batch-{batch}")[1]):
+        raise OSError(f"the rows written to {staged.toString()} could not be moved into {table}")
+    spark.catalog.refreshTable(table)
 
 
 def published_columns(spark: SparkSession, table: str) -> DataFrame:

@@ -343,6 +343,11 @@ SELECT event_id, event_type, "VendorID", passenger_count, total_amount, tpep_pic
        CAST(rate AS INTEGER) AS "RatecodeID", fee AS airport_fee, min(_source_file) AS _source_file
 FROM landed GROUP BY ALL"""
 
+ORACLE["incremental_dedup"] = ORACLE["bronze_build"]
+ORACLE["slice_replace"] = f"""WITH {TRIPS}, first AS (SELECT min(week) AS week FROM trips)
+SELECT t.week, count(*) AS row_count, CAST(sum(event_id) AS BIGINT) AS sum_event_id, t.week = first.week AS replaced
+FROM trips t, first WHERE t.week <> first.week OR passenger_count IS NOT NULL GROUP BY t.week, first.week"""
+
 # --- profile --------------------------------------------------------------------------------------
 
 REQUIRED = ["VendorID", "passenger_count", "total_amount", "tpep_pickup_datetime", "tpep_dropoff_datetime"]

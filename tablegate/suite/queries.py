@@ -15,10 +15,10 @@ from tablegate.functions import calendar
 from tablegate.functions.families import families_of
 from tablegate.functions.text import number_text
 from tablegate.operators import analytics, profile, quality, reconcile, schema, slices, timeseries
-from tablegate.plans import gate, ingest, outliers, quantiles, runlog, sinks
+from tablegate.plans import gate, incremental, ingest, outliers, quantiles, runlog, sinks
 from tablegate.sources import manifest
 from tablegate.sources import slices as landed
-from tablegate.sources.workspace import fresh_path
+from tablegate.sources.workspace import fresh_path, kept
 from tablegate.suite import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -567,6 +567,32 @@ def overwrite_idempotent(spark, sf_dir):
     )
 
 
+@query
+def slice_replace(spark, sf_dir):
+    """Trips published by week, and the first week landed again without its unknown passengers: rows, and what moved."""
+    table, root, trips = _scratch_table(), fresh_path(spark, "weeks"), fx.trips_by_week(spark, sf_dir)
+    sinks.replace_slices(trips, table, "week", root)
+    before = sinks.slice_locations(spark, table)
+    first = trips.agg(F.min("week")).head()[0]
+    sinks.replace_slices(trips.filter((F.col("week") == first) & F.col("passenger_count").isNotNull()), table, "week", root)
+    moved = [week for week, place in sinks.slice_locations(spark, table).items() if before.get(week) != place]
+    rows = spark.table(table).groupBy("week").agg(F.count(F.lit(1)).alias("row_count"), F.sum("event_id").alias("sum_event_id"))
+    result = kept(rows.withColumn("replaced", F.col("week").isin(moved)), "replaced")
+    _drop_entry(spark, table)
+    return result
+
+
+@query
+def incremental_dedup(spark, sf_dir):
+    """The extracts added one by one: what is published is what ingesting them at once publishes."""
+    table, log, root = _scratch_table(), _scratch_table(), fresh_path(spark, "added")
+    for path in fx.weekly_extracts(spark, sf_dir):
+        incremental.add_slice(spark, path, fx.DRIFT, table, log, root, RUN_TS)
+    result = kept(spark.table(table).drop("_ingested_at"), "added")
+    _drop_entry(spark, table, log, incremental.index_name(table))
+    return result
+
+
 def _logged_runs(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Ingest, gate twice and fail once; returns log table name and its root."""
     root, log, table = fresh_path(spark, "runs"), _scratch_table(), _scratch_table()
