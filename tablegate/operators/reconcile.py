@@ -1,4 +1,4 @@
-"""Comparing tables and metrics between layers: REC-1 and REC-2.
+"""Comparing tables and metrics between layers: REC-1 and REC-2 (REC-1 by a tree of fingerprints is in ``plans/reconcile.py``).
 
 No row is ever paired with another: both sides are tagged, stacked and grouped, so copies collapse
 before the shuffle and one shuffle serves both sides.
@@ -6,8 +6,6 @@ before the shuffle and one shuffle serves both sides.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,35 +27,6 @@ def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     return copies.filter(F.col("left_copies") != F.col("right_copies"))
 
 
-def reconcile_exact(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """REC-1 per key: rows on either side and how many of them the other side lacks.
-
-    Fingerprints come first, a few numbers per key; whole rows are shuffled only for keys where these differ. Keys whose
-    counts and both 64-bit hashes agree are taken as equal; ``row_differences`` compares every row.
-    """
-    columns = [c for c in left.columns if c not in keys]
-    prints = reconcile_fingerprints(table_fingerprint(left, keys, columns), table_fingerprint(right, keys, columns), keys)
-    differing = prints.filter(~F.col("matches")).select(*[F.col(k).alias(f"_differing_{k}") for k in keys])
-    here = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_differing_{k}")) for k in keys])
-
-    def rows(df: DataFrame, is_left: int) -> DataFrame:
-        return df.join(differing, here, "left_semi").select("*", F.lit(is_left).alias("_l"), F.lit(1 - is_left).alias("_r"))
-
-    sides = rows(left, 1).unionByName(rows(right, 0))
-    copies = sides.groupBy(*[F.col(f"`{c}`") for c in left.columns]).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
-    surplus = F.col("_l") - F.col("_r")
-    unequal = copies.groupBy(*keys).agg(
-        F.sum("_l").alias("left_rows"),
-        F.sum("_r").alias("right_rows"),
-        F.sum(F.greatest(surplus, F.lit(0))).alias("only_left"),
-        F.sum(F.greatest(-surplus, F.lit(0))).alias("only_right"),
-    )
-    none = F.lit(0).cast("bigint")
-    equal = prints.filter("matches").select(*keys, "left_rows", "right_rows", none.alias("only_left"), none.alias("only_right"))
-    found = equal.unionByName(unequal)
-    return found.withColumn("matches", (F.col("only_left") == 0) & (F.col("only_right") == 0))
-
-
 def table_fingerprint(df: DataFrame, keys: list[str], columns: list[str] | None = None) -> DataFrame:
     """Row count and order-independent hash of the rows under each key; nothing but these is shuffled."""
     return df.groupBy(*keys).agg(*fingerprint(columns or [c for c in df.columns if c not in keys]))

@@ -1,8 +1,8 @@
 """Leave-one-out size outliers (MAN-1) without a self-join and without ranking every row.
 
 The median of all *other* values depends only on the two or three middle values of the whole list and on whether the
-row's own value lies below or above them. So one row of order statistics, found by the distributed sort of
-``plans/quantiles.py`` and fetched as a scalar subquery, is all each row needs.
+row's own value lies below or above them. So one row of order statistics, found by narrowing (``plans/quantiles.py``), is
+all each row needs.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablegate.plans.quantiles import at_ranks
-from tablegate.sources.workspace import fresh_path
 
 TOLERANCE = 0.5  # fixed value: share of the median a size may deviate
 
@@ -20,18 +19,15 @@ def leave_one_out(df: DataFrame, measure: str, tolerance: float = TOLERANCE) ->
     """MAN-1: adds ``median_of_others`` and ``is_outlier``.
 
     A value is an outlier when it deviates from the median of the others by more than ``tolerance`` times
-    that median, or when that median is 0. With no others, both columns are NULL. The input is evaluated once: it is
-    written to the shared folder.
+    that median, or when that median is 0. With no others, both columns are NULL. The input is read once per turn of the
+    narrowing and once more for the result.
     """
-    spark = df.sparkSession
-    path = fresh_path(spark, "measured")
-    df.write.parquet(path)
-    rows = spark.read.schema(df.schema).parquet(path)
     middle = F.ceil(F.col("n") / 2)
     ranks = {"below": middle - 1, "mid": middle, "above": middle + 1}
-    values = at_ranks(rows.select(F.lit(0).alias("__all"), measure), "__all", [measure], ranks)
+    values = at_ranks(df.select(F.lit(0).alias("__all"), measure), "__all", [measure], ranks)
     v = F.col(f"`{measure}`").cast("double")
-    n, below, mid, above = (F.col(f"_m.{name}") for name in ("n", *ranks))
+    found = values.select("n", *ranks).first() or dict.fromkeys(("n", *ranks))
+    n, below, mid, above = (F.lit(found[name]).cast(kind) for name, kind in (("n", "bigint"), *((r, "double") for r in ranks)))
 
     # Odd n leaves an even number of others: the mean of the two values around the gap the row leaves.
     # Even n leaves an odd number: the middle of the others lies across the middle from the row.
@@ -41,8 +37,6 @@ def leave_one_out(df: DataFrame, measure: str, tolerance: float = TOLERANCE) ->
 
     median = F.col("median_of_others")
     return (
-        rows.withColumn("_m", values.select(F.struct("n", *ranks)).scalar())
-        .withColumn("median_of_others", of_others)
-        .drop("_m")
+        df.withColumn("median_of_others", of_others)
         .withColumn("is_outlier", (median == 0) | (F.abs(v - median) > F.lit(tolerance) * median))
     )

@@ -1,75 +1,138 @@
-"""Exact values at ranks (AGG-5, exact form; MAN-1) by one distributed sort.
+"""Exact values at ranks (AGG-5, exact form; MAN-1) by narrowing, without sorting the table.
 
-Counting distinct values first makes a value's copies one row, so range partitioning by (measure, slice, value)
-splits even a slice that holds most rows into parts of like size; there are as many as the rows need. The number of rows
-per part then tells which part holds a rank, and only inside such parts are values numbered. No task sees more than one.
+A sketch of every slice and measure brackets each wanted rank between two values. One conditional aggregate counts exactly
+how many values lie below the bracket and inside it, which shows whether it holds the rank; if not, the bracket moves to the
+side on which the rank is. A bracket with many values is sketched and narrowed again: each turn keeps a small share of them.
+Only what is left inside, a bounded number of values, is sorted. Nothing is written, and the driver holds a bracket per
+slice, measure and rank. The table is read once per turn, so a frame that is dear to make should be persisted.
 """
 
 from __future__ import annotations
 
-from math import ceil
-
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablegate.operators.profile import QUANTILES, quantile_name
-from tablegate.sources.workspace import fresh_path
 
-PART_ROWS = 1_000_000  # distinct values sorted by one task
+CUTS = 64  # parts of equal rank into which a sketch cuts a bracket
+SKETCH_ACCURACY = 2000  # a cut is off by about a two-thousandth of the values, far less than a part
+SORTED_ROWS = 100_000  # values that are sorted together, at most
 
+_BRACKETS = pa.schema([("measure", pa.string()), ("of", pa.string()), ("name", pa.string()), ("rank", pa.int64()), ("low", pa.float64()), ("high", pa.float64())])
 
-def _kept(df: DataFrame, label: str) -> DataFrame:
-    path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
 
+def _cells(df: DataFrame, slice_column: str, measures: list[str]) -> DataFrame:
+    """(of, measure, v): every value; ``of`` is the slice as text, so that one plan serves slices of any type."""
+    cells = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(f"`{m}`").cast("double").alias("v")) for m in measures])
+    return df.select(_key(slice_column).alias("of"), F.inline(cells)).filter(F.col("v").isNotNull())
 
-def _ordered_values(df: DataFrame, slice_column: str, measures: list[str]) -> DataFrame:
-    """(slice, measure, v, c, part): distinct values with their counts, parts numbered in value order.
 
-    Written to the shared folder: the counts, so that their number is known before they are dealt into parts, and the
-    parts, because their numbers must stay the same for everything read from them.
-    """
-    cells = F.array(
-        *[F.struct(F.lit(m).alias("measure"), F.col(f"`{m}`").cast("double").alias("v")) for m in measures]
-    )
-    counts = (
-        df.select(F.col(slice_column).alias("slice"), F.inline(cells))
-        .filter(F.col("v").isNotNull())
-        .groupBy("measure", "slice", "v")
-        .agg(F.count(F.lit(1)).alias("c"))
+def _key(slice_column: str) -> Column:
+    return F.coalesce(F.concat(F.lit("="), F.col(slice_column).cast("string")), F.lit("NULL"))
+
+
+def _table(spark: SparkSession, brackets: list[dict]) -> DataFrame:
+    """From Arrow, so that Spark knows its size and broadcasts it or not by itself."""
+    return spark.createDataFrame(pa.Table.from_pylist(brackets, _BRACKETS))
+
+
+def _inside(values: DataFrame, brackets: DataFrame) -> DataFrame:
+    return values.join(brackets, ["measure", "of"]).filter((F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high")))
+
+
+def _narrowed(spark: SparkSession, values: DataFrame, brackets: list[dict]) -> None:
+    """Set low and high of each bracket nearer to its rank, by a sketch of the values that lie inside."""
+    shares = [k / CUTS for k in range(CUTS + 1)]
+    cuts = _inside(values, _table(spark, brackets)).groupBy("measure", "of", "name").agg(F.percentile_approx("v", shares, SKETCH_ACCURACY).alias("cuts"))
+    found = {(r["measure"], r["of"], r["name"]): r["cuts"] for r in cuts.collect()}
+    for b in brackets:
+        own = found[b["measure"], b["of"], b["name"]]
+        # The rank among the values inside; one part more on either side than the sketch may be off.
+        at = (b["rank"] - b["below"] - 1) * CUTS // max(1, b["inside"])
+        b["wide_low"], b["wide_high"] = b["low"], b["high"]
+        b["low"], b["high"] = own[max(0, at - 1)], own[min(CUTS, at + 2)]
+
+
+def _counted(spark: SparkSession, values: DataFrame, brackets: list[dict]) -> None:
+    """Count exactly what lies below and inside each bracket, and move those that miss their rank."""
+    joined = values.join(_table(spark, brackets), ["measure", "of"])
+    counts = joined.groupBy("measure", "of", "name").agg(
+        F.count_if(F.col("v") < F.col("low")).alias("below"), F.count_if((F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high"))).alias("inside")
     )
-    counts = _kept(counts, "value-counts")
-    parts = max(1, ceil(counts.count() / PART_ROWS))
-    numbered = counts.repartitionByRange(parts, "measure", "slice", "v").select("*", F.spark_partition_id().alias("part"))
-    return _kept(numbered, "ordered-values")
+    found = {(r["measure"], r["of"], r["name"]): (r["below"], r["inside"]) for r in counts.collect()}
+    missed = []
+    for b in brackets:
+        b["below"], b["inside"] = found[b["measure"], b["of"], b["name"]]
+        if b["rank"] <= b["below"]:
+            b["low"], b["high"] = b["wide_low"], b["low"]
+            missed.append(b)
+        elif b["rank"] > b["below"] + b["inside"]:
+            b["low"], b["high"] = b["high"], b["wide_high"]
+            missed.append(b)
+    if missed:
+        _counted(spark, values, missed)
 
 
 def at_ranks(df: DataFrame, slice_column: str, measures: list[str], ranks: dict[str, Column]) -> DataFrame:
     """(slice, measure, n, a column per rank): the values at the given ranks, 1 the smallest; NULLs do not count.
 
-    Ranks are expressions over ``n``, the number of values; one outside 1..n gives NULL.
+    Ranks are expressions over ``n``, the number of values; one outside 1..n gives NULL. NaN is the largest value.
     """
-    values = _ordered_values(df, slice_column, measures)
-    keys = ["measure", "slice"]
-
-    # One row per part and key; a key has at most as many parts as there are.
-    in_order = Window.partitionBy(*keys).orderBy("part")
-    parts = values.groupBy(*keys, "part").agg(F.sum("c").alias("rows"))
-    upto = F.sum("rows").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    total = F.sum("rows").over(Window.partitionBy(*keys))
-    located = parts.select(*keys, "part", (upto - F.col("rows")).alias("before"), upto.alias("upto"), total.alias("n"))
-
+    spark = df.sparkSession
+    values = _cells(df, slice_column, measures)
     wanted = F.array(*[F.struct(F.lit(name).alias("name"), rank.cast("bigint").alias("rank")) for name, rank in ranks.items()])
-    inside = F.filter(wanted, lambda r: (r["rank"] > F.col("before")) & (r["rank"] <= F.col("upto")))
-    holding = located.select(*keys, "part", "before", "n", inside.alias("ranks")).filter(F.size("ranks") > 0)
-
-    numbering = Window.partitionBy(*keys, "part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = values.join(holding, [*keys, "part"]).withColumn("upto", F.col("before") + F.sum("c").over(numbering))
-    hit = F.filter("ranks", lambda r: (r["rank"] <= F.col("upto")) & (r["rank"] > F.col("upto") - F.col("c")))
-    found = numbered.select(*keys, "n", "v", F.inline(hit))
-    results = [F.max(F.when(F.col("name") == name, F.col("v"))).alias(name) for name in ranks]
-    return found.groupBy("slice", "measure").agg(F.max("n").alias("n"), *results)
+    whole = values.groupBy("measure", "of").agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    told = whole.select("measure", "of", "n", "low", "high", wanted.alias("wanted")).collect()  # a row per slice and measure
+    brackets = [
+        {"measure": r["measure"], "of": r["of"], "name": w["name"], "rank": w["rank"], "low": r["low"], "high": r["high"], "below": 0, "inside": r["n"]}
+        for r in told
+        for w in r["wanted"]
+        if w["rank"] is not None and 1 <= w["rank"] <= r["n"]
+    ]
+    same = lambda b: b["low"] == b["high"] or b["low"] != b["low"]  # noqa: E731  one value is left, NaN perhaps
+    while large := [b for b in brackets if b["inside"] > SORTED_ROWS and not same(b)]:
+        before = repr([(b["low"], b["high"]) for b in large])
+        _narrowed(spark, values, large)
+        _counted(spark, values, large)
+        if before == repr([(b["low"], b["high"]) for b in large]):  # as when a few values make up nearly all
+            _halved(spark, values, large)
+
+    found = {(b["measure"], b["of"], b["name"]): b["low"] for b in brackets if same(b)}
+    rest = [b for b in brackets if not same(b)]
+    if rest:
+        copies = _inside(values, _table(spark, rest)).groupBy("measure", "of", "name", "rank", "v").agg(F.count(F.lit(1)).alias("c"))
+        below = spark.createDataFrame(pa.Table.from_pylist([{k: b[k] for k in ("measure", "of", "name", "below")} for b in rest]))
+        order = Window.partitionBy("measure", "of", "name").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        placed = copies.join(below, ["measure", "of", "name"]).withColumn("upto", F.col("below") + F.sum("c").over(order))
+        hit = placed.filter((F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("c")))
+        found |= {(r["measure"], r["of"], r["name"]): r["v"] for r in hit.select("measure", "of", "name", "v").collect()}
+    kind = df.schema[slice_column].dataType
+    rows = [(None if r["of"] == "NULL" else r["of"][1:], r["measure"], r["n"], *[found.get((r["measure"], r["of"], name)) for name in ranks]) for r in told]
+    columns = ", ".join(f"`{name}` double" for name in ranks)
+    made = spark.createDataFrame(rows, f"slice string, measure string, n bigint{', ' + columns if columns else ''}")
+    return made.withColumn("slice", F.col("slice").cast(kind))
+
+
+def _halved(spark: SparkSession, values: DataFrame, brackets: list[dict]) -> None:
+    """Narrow brackets that a sketch can't: to their end values if these hold the rank, else to what lies between them."""
+    joined = _inside(values, _table(spark, brackets)).groupBy("measure", "of", "name").agg(
+        F.count_if(F.col("v") == F.col("low")).alias("lowest"),
+        F.count_if(F.col("v") == F.col("high")).alias("highest"),
+        F.min(F.when(F.col("v") > F.col("low"), F.col("v"))).alias("second"),
+        F.max(F.when(F.col("v") < F.col("high"), F.col("v"))).alias("last_but_one"),
+    )
+    found = {(r["measure"], r["of"], r["name"]): r for r in joined.collect()}
+    for b in brackets:
+        own = found[b["measure"], b["of"], b["name"]]
+        if b["rank"] <= b["below"] + own["lowest"]:
+            b["high"], b["inside"] = b["low"], own["lowest"]
+        elif b["rank"] > b["below"] + b["inside"] - own["highest"]:
+            b["below"] += b["inside"] - own["highest"]
+            b["low"], b["inside"] = b["high"], own["highest"]
+        else:
+            b["below"], b["inside"] = b["below"] + own["lowest"], b["inside"] - own["lowest"] - own["highest"]
+            b["low"], b["high"] = own["second"], own["last_but_one"]
 
 
 def exact_quantiles(

@@ -570,3 +570,32 @@ SELECT (SELECT month FROM m ORDER BY v, month LIMIT 1) AS lowest_month, (SELECT
 ORACLE["many_slices"] = """
 SELECT * EXCLUDE (month), 'orders ' || month AS _source_file FROM (SELECT *, strftime(o_orderdate, '%Y-%m') AS month FROM orders)
 """
+
+ORACLE["trend_breaks"] = """
+WITH daily AS (
+    SELECT o_orderpriority AS series, CAST(o_orderdate AS DATE) AS day, count(*) AS y FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2
+    UNION ALL SELECT event_type, CAST(ts AS DATE), count(*) FROM events WHERE ts IS NOT NULL GROUP BY 1, 2
+), numbered AS (
+    SELECT series, day, y, count(*) OVER w AS n, row_number() OVER (w ORDER BY day) AS i, avg(y) OVER w AS mean,
+           CAST(date_diff('day', min(day) OVER w, day) AS DOUBLE) AS d
+    FROM daily WINDOW w AS (PARTITION BY series)
+), centred AS (
+    SELECT *, d - avg(d) OVER (PARTITION BY series) AS x, y - mean AS z FROM numbered
+), straight AS (
+    SELECT series, sum(x * x) AS xx, sum(x * z) AS xy, sum(z * z) AS yy FROM centred GROUP BY series
+), hinges AS (
+    SELECT series, k.x AS k, k.day AS break_day, any_value(k.i) AS i, any_value(k.n) AS n, avg(greatest(c.x - k.x, 0)) AS mean_h,
+           sum(greatest(c.x - k.x, 0) * greatest(c.x - k.x, 0)) - count(*) * avg(greatest(c.x - k.x, 0)) * avg(greatest(c.x - k.x, 0)) AS hh,
+           sum(c.x * greatest(c.x - k.x, 0)) AS xh, sum(c.z * greatest(c.x - k.x, 0)) AS hy
+    FROM centred k JOIN centred c USING (series) WHERE k.i >= 7 AND k.n - k.i >= 7 GROUP BY series, k.x, k.day
+), fitted AS (
+    SELECT *, (hh * xy - xh * hy) / (xx * hh - xh * xh) AS slope, (xx * hy - xh * xy) / (xx * hh - xh * xh) AS bend
+    FROM hinges JOIN straight USING (series)
+), gained AS (
+    SELECT *, round((slope * xy + bend * hy - xy / xx * xy) / (yy - xy / xx * xy), 9) AS gain FROM fitted WHERE yy - xy / xx * xy > 1e-9 * yy
+), best AS (
+    SELECT * FROM gained QUALIFY row_number() OVER (PARTITION BY series ORDER BY gain DESC, k) = 1
+)
+SELECT series, day, y, CASE WHEN gain >= 0.001 THEN break_day END AS break_day, round(gain, 5) AS gain,
+       round(mean + CASE WHEN gain >= 0.001 THEN slope * x + bend * (greatest(x - k, 0) - mean_h) ELSE coalesce(s.xy / s.xx, 0) * x END, 5) AS trend
+FROM centred JOIN straight s USING (series) LEFT JOIN best USING (series)"""

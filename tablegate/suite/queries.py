@@ -16,6 +16,7 @@ from tablegate.functions.families import families_of
 from tablegate.functions.text import number_text
 from tablegate.operators import analytics, profile, quality, reconcile, schema, slices, timeseries
 from tablegate.plans import gate, incremental, ingest, outliers, quantiles, runlog, sinks
+from tablegate.plans import reconcile as tree
 from tablegate.sources import manifest
 from tablegate.sources import slices as landed
 from tablegate.sources.workspace import fresh_path, kept
@@ -736,7 +737,7 @@ def reconcile_tables(spark, sf_dir):
     """Week by week, exactly: the trips against those inside the reporting window."""
     trips = fx.trips_by_week(spark, sf_dir)
     inside = trips.filter(~calendar.out_of_window([fx.PICKUP, fx.DROPOFF], *WINDOW))
-    return reconcile.reconcile_exact(trips, inside, ["week"])
+    return tree.reconcile_exact(trips, inside, ["week"])
 
 
 @query
@@ -789,3 +790,13 @@ def weekly_decomposition(spark, sf_dir):
     keys = ["event_type"]
     parts = timeseries.weekly_decomposition(timeseries.daily_series(events, "ts", keys), keys)
     return parts.select(*keys, "day", "y", *[F.round(c, 6).alias(c) for c in ("trend", "weekly", "remainder")])
+
+
+@query
+def trend_breaks(spark, sf_dir):
+    """Daily orders by priority and events by type with a trend that may bend once; the least gain lets some bend."""
+    orders = timeseries.daily_series(fx.table(spark, sf_dir, "orders"), "o_orderdate", ["o_orderpriority"])
+    events = timeseries.daily_series(fx.table(spark, sf_dir, "events"), "ts", ["event_type"])
+    both = orders.withColumnRenamed("o_orderpriority", "series").unionByName(events.withColumnRenamed("event_type", "series"))
+    found = timeseries.trend_breaks(both, ["series"], least_gain=0.001)
+    return found.select("series", "day", "y", "break_day", F.round("gain", 5).alias("gain"), F.round("trend", 5).alias("trend"))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import statistics
 from datetime import date, datetime, timedelta
@@ -17,7 +18,8 @@ from tablegate.functions.families import family_of
 from tablegate.functions.fingerprint import row_hash
 from tablegate.functions.text import number_text
 from tablegate.operators import analytics, quality, reconcile, timeseries
-from tablegate.plans import outliers
+from tablegate.plans import outliers, quantiles
+from tablegate.plans import reconcile as tree
 from tablegate.plans import runlog
 from tablegate.suite import fixtures as fx
 
@@ -88,7 +90,7 @@ def test_reconciliation_with_missing_and_null_keys(spark):
         return {r.key: (r.left_rows, r.right_rows, r.matches) for r in compared.collect()}
 
     by_print = verdicts(reconcile.reconcile_fingerprints(*prints, ["key"]))
-    exact = verdicts(reconcile.reconcile_exact(left, right, ["key"]))
+    exact = verdicts(tree.reconcile_exact(left, right, ["key"]))
     assert by_print == exact == {None: (1, 1, True), "a": (1, 1, True), "b": (1, 0, False), "c": (0, 1, False)}
 
 
@@ -226,3 +228,50 @@ def test_accounting_holds_and_rule_order_does_not_matter(spark, rows):
     assert counts == turned
     assert max(counts.values()) <= totals.total_dropped <= sum(counts.values())
     assert all(r.failed_count == 0 for r in quality.violations(quality.clean(df, contract), contract).collect())
+
+
+def test_one_changed_row_brings_few_rows_to_comparison(spark):
+    """Of a key with 50,000 rows only those under the same leading bits of the hash are compared in full."""
+    left = spark.range(100_000).selectExpr("id % 2 AS key", "id", "concat('row ', id) AS text").union(spark.sql("SELECT CAST(NULL AS BIGINT), 7L, 'x'"))
+    right = left.withColumn("text", F.when(F.col("id") == 4242, "changed").otherwise(F.col("text")))
+    prints = reconcile.reconcile_fingerprints(reconcile.table_fingerprint(left, ["key"]), reconcile.table_fingerprint(right, ["key"]), ["key"])
+    assert 2 <= tree.differing_rows(left, right, ["key"], prints).count() < 10
+    got = {r["key"]: (r["left_rows"], r["right_rows"], r["only_left"], r["only_right"], r["matches"]) for r in tree.reconcile_exact(left, right, ["key"]).collect()}
+    assert got == {0: (50_000, 50_000, 1, 1, False), 1: (50_000, 50_000, 0, 0, True), None: (1, 1, 0, 0, True)}
+
+
+@pytest.mark.parametrize("at_most", [5, 50])
+def test_ranks_by_narrowing_are_those_of_a_sort(spark, monkeypatch, at_most):
+    monkeypatch.setattr(quantiles, "SORTED_ROWS", at_most)
+    draw = random.Random(3)
+    cells = {"even": [draw.random() for _ in range(400)], "few": [draw.choice([1.0, 2.0, 2.0, 5.0]) for _ in range(300)], "one": [7.0] * 200}
+    cells |= {"ends": [0.0] * 90 + [draw.random() for _ in range(20)] + [9.0] * 90, "nan": [float("nan")] * 60 + [1.5, 2.5, float("inf"), -float("inf")], None: [3.0, 1.0]}
+    df = spark.createDataFrame([(s, v) for s, own in cells.items() for v in own] + [("even", None), ("void", None)], "s string, v double")
+    ranks = {f"r{q}": F.ceil(F.col("n") * F.lit(q)) + 1 for q in (0.0, 0.1, 0.33, 0.5, 0.9, 0.99, 1.0)}
+    found = {r["slice"]: r for r in quantiles.at_ranks(df, "s", ["v"], ranks).collect()}
+    assert found.keys() == cells.keys()
+    for name, own in cells.items():
+        ordered = sorted(own, key=lambda v: (v != v, v))
+        for q in (0.0, 0.1, 0.33, 0.5, 0.9, 0.99, 1.0):
+            rank = math.ceil(len(own) * q) + 1
+            want = ordered[rank - 1] if rank <= len(own) else None
+            assert repr(found[name][f"r{q}"]) == repr(want), (name, q)
+
+
+def test_a_planted_break_is_found(spark):
+    start = date(2024, 1, 1)
+    line = lambda k: 100 + 2 * k
+    bent = lambda k: 100 + 2 * k - 5 * max(0, k - 40)
+    rows = [(s, start + timedelta(days=k), f(k) + (k * 7919) % 5) for s, f in (("bent", bent), ("line", line)) for k in range(100) if k % 11]
+    rows += [("short", start + timedelta(days=k), k) for k in range(9)] + [("one", start, 3)] + [("flat", start + timedelta(days=k), 5) for k in range(30)]
+    got = {}
+    for r in timeseries.trend_breaks(spark.createDataFrame(rows, "s string, day date, y long"), ["s"]).collect():
+        got.setdefault(r["s"], []).append(r)
+    breaks = {s: {r["break_day"] for r in own} for s, own in got.items()}
+    assert abs((breaks["bent"].pop() - start).days - 40) <= 2 and all(breaks[s] == {None} for s in ("line", "short", "one", "flat"))
+    assert all(abs(r["trend"] - r["y"]) < 4 for s in ("bent", "line", "one", "flat") for r in got[s])
+    x = np.array([(r["day"] - start).days for r in got["bent"]], float)
+    k = (got["bent"][0]["break_day"] - start).days
+    design = np.column_stack([np.ones_like(x), x, np.maximum(0, x - k)])
+    y = np.array([r["y"] for r in got["bent"]], float)
+    assert np.allclose(design @ np.linalg.lstsq(design, y, rcond=None)[0], [r["trend"] for r in got["bent"]])
