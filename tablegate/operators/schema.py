@@ -6,7 +6,8 @@ raise. The drift report is a DataFrame, because with many slices it is a table t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,43 +22,65 @@ class SchemaDriftError(ValueError):
     """A schema differs from what the table or its contract allows."""
 
 
-def schema_rows(spark: SparkSession, schemas: dict[str, T.StructType]) -> DataFrame:
-    """(slice, column_name, type_family), names lower-cased, one row per slice and column."""
-    rows = [
-        (name, column, family)
-        for name, schema in schemas.items()
-        for column, family in families_of(schema, fold_case=True).items()
-    ]
-    return spark.createDataFrame(rows, "slice string, column_name string, type_family string")
+Families = dict[str, str]  # of a schema's columns, names lower-cased
 
 
-def drift_report(rows: DataFrame, slices: list[str], required: list[str]) -> DataFrame:
-    """SCH-2: the columns whose family differs between slices or that some slice lacks.
+def distinct_schemas(schemas: dict[str, T.StructType]) -> tuple[list[Families], list[int]]:
+    """The distinct schemas, and which of them each slice has, slices in order of their names.
 
-    A required column is ``critical``, any other ``informational``; critical ones come first.
+    Schemas that differ in nothing but widths are one, so there are few, whatever the number of slices.
     """
+    numbers: dict[tuple, int] = {}
+    own = [numbers.setdefault(tuple(sorted(families_of(schemas[name], fold_case=True).items())), len(numbers)) for name in sorted(schemas)]
+    return [dict(key) for key in numbers], own
+
+
+def _deviating(spark: SparkSession, schemas: dict[str, T.StructType]) -> tuple[DataFrame, DataFrame]:
+    """(schema_no, column_name, type_family), NULL where a schema lacks the column, of the columns that deviate, and
+    (slice, slice_no, schema_no) of every slice, numbered in order of their names."""
+    distinct, own = distinct_schemas(schemas)
+    spread = {c: {f.get(c) for f in distinct} for c in sorted(set().union(*distinct))} if distinct else {}
+    rows = [(no, c, families.get(c)) for c, found in spread.items() if len(found) > 1 for no, families in enumerate(distinct)]
+    columns = [pa.array(sorted(schemas), pa.string()), pa.array(range(len(own)), pa.int64()), pa.array(own, pa.int32())]
+    slices = spark.createDataFrame(pa.table(columns, ["slice", "slice_no", "schema_no"]))
+    return spark.createDataFrame(rows, "schema_no int, column_name string, type_family string"), slices
+
+
+def _severity(required: list[str]) -> list[Column]:
     needed = [c.lower() for c in required]
     is_required = F.col("column_name").isin(needed) if needed else F.lit(False)
-    deviates = (F.col("families") > 1) | (F.size("slices_present") < len(slices))
-    return (
-        rows.groupBy("column_name")
-        .agg(
-            F.count_distinct("type_family").alias("families"),
-            F.array_sort(F.collect_list("slice")).alias("slices_present"),
-            F.map_from_entries(F.array_sort(F.collect_list(F.struct("slice", "type_family")))).alias(
-                "type_family_by_slice"
-            ),
-        )
-        .filter(deviates)
-        .select(
-            "column_name",
-            "slices_present",
-            "type_family_by_slice",
-            is_required.alias("is_required"),
-            F.when(is_required, CRITICAL).otherwise(INFORMATIONAL).alias("severity"),
-        )
-        .orderBy(F.col("severity"), F.col("column_name"))
+    return [is_required.alias("is_required"), F.when(is_required, CRITICAL).otherwise(INFORMATIONAL).alias("severity")]
+
+
+def drift_bitmaps(spark: SparkSession, schemas: dict[str, T.StructType], required: list[str]) -> DataFrame:
+    """SCH-2: (column_name, type_family, slices, first_slice, bitmaps, is_required, severity) of every column that deviates.
+
+    A column deviates if its family differs between slices or some slice lacks it; a required one is ``critical``, any
+    other ``informational``. There is a row per family of such a column, and one with a NULL family for the slices that
+    lack it. ``bitmaps`` are the numbers of the slices, in order of their names, in buckets of 32,768 bits counted from 1.
+    """
+    odd, slices = _deviating(spark, schemas)
+    wide = odd.join(slices, "schema_no")
+    bucket, bit = F.bitmap_bucket_number("slice_no"), F.bitmap_bit_position("slice_no")
+    parts = wide.groupBy("column_name", "type_family", bucket.alias("bucket")).agg(
+        F.bitmap_construct_agg(bit).alias("bitmap"), F.count(F.lit(1)).alias("slices"), F.min("slice").alias("first_slice")
     )
+    whole = parts.groupBy("column_name", "type_family").agg(
+        F.sum("slices").alias("slices"), F.min("first_slice").alias("first_slice"), F.array_sort(F.collect_list(F.struct("bucket", "bitmap"))).alias("bitmaps")
+    )
+    return whole.select("*", *_severity(required)).orderBy("severity", "column_name", "type_family")
+
+
+def drift_report(spark: SparkSession, schemas: dict[str, T.StructType], required: list[str]) -> DataFrame:
+    """SCH-2 with names: (column_name, slices_present, type_family_by_slice, is_required, severity), critical ones first.
+
+    For reading; the names of all slices stand in a row, so for very many slices take ``drift_bitmaps``.
+    """
+    odd, slices = _deviating(spark, schemas)
+    named = odd.filter("type_family IS NOT NULL").join(slices, "schema_no").groupBy("column_name")
+    rows = named.agg(F.array_sort(F.collect_list(F.struct("slice", "type_family"))).alias("own"))
+    own = [F.col("own.slice").alias("slices_present"), F.map_from_entries("own").alias("type_family_by_slice")]
+    return rows.select("column_name", *own, *_severity(required)).orderBy("severity", "column_name")
 
 
 def deviations(schemas: dict[str, T.StructType], allowed_drift: list[str]) -> list[tuple[str, str, str | None, str | None]]:

@@ -19,10 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegate.operators.reconcile import reconcile_fingerprints, table_fingerprint
-from tablegate.operators.slices import union_slices
-from tablegate.sources.slices import SOURCE_FILE, by_name, scan_slices
-from tablegate.sources.stores import hadoop_path
-from tablegate.sources.workspace import release
+from tablegate.sources.slices import SLICE, by_name, file_url, footers, list_files, numbered_schemas
+from tablegate.sources.stores import existing, hadoop_path
+from tablegate.sources.workspace import kept, release
 
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's name for the folder of NULL
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
@@ -235,30 +234,74 @@ def published_columns(spark: SparkSession, table: str) -> DataFrame:
     return spark.createDataFrame(rows, "position int, column_name string, data_type string, description string")
 
 
-def verified_copy(spark: SparkSession, paths: list[str], destination: str) -> DataFrame:
-    """SNK-3: copy slices below ``destination`` and compare both sides slice by slice.
-
-    Returns (slice, left_rows, right_rows, matches, safe_to_drop); ``safe_to_drop`` is TRUE only when every
-    slice arrived whole. Dropping the source stays the caller's act. Each scan is one write, which keeps
-    its slices apart in folders named after them.
+COPY_BYTES = 64 << 30  # of files that are copied, verified and entered in the manifest together
+# The copy's manifest; a file is known by its path, length and time, its rows by number and fingerprint.
+COPIED = "url string, length bigint, modified timestamp, slice string, rows bigint, hash_xor bigint, hash_sum decimal(38,0), copy string"
+
+
+def copied_files(spark: SparkSession, destination: str) -> DataFrame:
+    """The manifest of a copy: the files that have arrived whole, and where."""
+    place = f"{destination}/manifest"
+    if not existing(spark, [place]):
+        return spark.createDataFrame([], COPIED)
+    return spark.read.schema(COPIED).option("recursiveFileLookup", "true").parquet(place)
+
+
+def _copied_together(spark: SparkSession, files: list, schema: T.StructType, destination: str) -> None:
+    """Copy some files of one schema, compare each with its copy, and enter those that agree in the manifest."""
+    target = f"{destination}/files-{uuid4().hex}"
+    columns = [F.col(f"`{c}`") for c in schema.names]
+    numbers = spark.createDataFrame(
+        [(f["url"], f["length"], f["modified"], f["slice"], i) for i, f in enumerate(files)], "url string, length bigint, modified timestamp, slice string, _file int"
+    )
+    read = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*[f["path"] for f in files])
+    source = read.select(*columns, file_url(F.col("_metadata.file_path")).alias("url")).join(numbers.select("url", "_file"), "url").drop("url")
+    source.write.partitionBy("_file").parquet(target)
+    copy = spark.read.schema(source.schema).parquet(target)
+    left, right = (table_fingerprint(df, ["_file"], schema.names) for df in (source, copy))
+    alike = reconcile_fingerprints(left, right, ["_file"]).select("_file", "matches")
+    told = numbers.join(right, "_file", "left").join(alike, "_file", "left")
+    # A file without rows has no fingerprint on either side, and has arrived.
+    arrived = told.filter(F.coalesce("matches", F.lit(True))).select(
+        "url", "length", "modified", "slice", F.coalesce("rows", F.lit(0)).alias("rows"), "hash_xor", F.col("hash_sum").cast("decimal(38,0)").alias("hash_sum"),
+        F.concat(F.lit(f"{target}/_file="), "_file").alias("copy"),
+    )
+    arrived.coalesce(1).write.parquet(f"{destination}/manifest/{uuid4().hex}")
+
+
+def verified_copy(spark: SparkSession, paths: list[str], destination: str, batch_bytes: int = COPY_BYTES) -> DataFrame:
+    """SNK-3: copy slices below ``destination`` and compare both sides file by file.
+
+    Returns (slice, left_rows, right_rows, matches, safe_to_drop); ``safe_to_drop`` is TRUE only when every file of every
+    slice has arrived whole. Dropping the source stays the caller's act. Files are copied ``batch_bytes`` at a time, and
+    those that agree with their copy are entered in a manifest (``copied_files``) with the number and fingerprint of their
+    rows. A run that stopped is taken up by running it again: only files the manifest lacks, as they are now, are copied.
     """
-    source_prints, copy_prints = [], []
-    for position, rows in enumerate(scan_slices(spark, paths)):
-        target = f"{destination}/layout-{position}"
-        columns = [c for c in rows.columns if c != SOURCE_FILE]
-        rows.write.partitionBy(SOURCE_FILE).parquet(target)
-        copied = spark.read.schema(rows.schema).parquet(target)
-        source_prints.append(table_fingerprint(rows, [SOURCE_FILE], columns))
-        copy_prints.append(table_fingerprint(copied, [SOURCE_FILE], columns))
-    compared = reconcile_fingerprints(union_slices(source_prints), union_slices(copy_prints), [SOURCE_FILE])
-    # A slice without rows has no fingerprint on either side: 0 rows arrived out of 0.
-    slices = spark.createDataFrame([(n,) for n in by_name(paths)], f"{SOURCE_FILE} string")
+    store = {name: i for i, name in enumerate(sorted(by_name(paths)))}
+    told = footers(spark, paths)
+    listed = list_files(spark, paths).select(F.col("url"), F.col("modificationTime").alias("modified"))
+    schemas, numbered = numbered_schemas(spark, told)
+    names = F.get(F.lit(list(store)), F.col(SLICE)).alias("slice")
+    files = told.join(numbered.select("path", "schema_no"), "path", "left").join(listed, "url")
+    files = kept(files.select("path", file_url(F.col("url")).alias("url"), "length", "modified", names, "rows", "schema_no"), "to-copy")
+    missing = files.filter("schema_no IS NOT NULL").join(copied_files(spark, destination), ["url", "length", "modified", "slice"], "left_anti").orderBy("schema_no", "url")
+    held: list = []
+    for f in [*missing.collect(), None]:  # as many as Spark's own listing holds on the driver
+        if held and (f is None or f["schema_no"] != held[0]["schema_no"] or sum(h["length"] for h in held) + f["length"] > batch_bytes):
+            _copied_together(spark, held, schemas[held[0]["schema_no"]], destination)
+            held = []
+        held.append(f)
+    arrived = copied_files(spark, destination).select("url", "length", "modified", "slice", F.col("rows").alias("arrived")).distinct()
+    seen = files.join(arrived, ["url", "length", "modified", "slice"], "left").groupBy("slice").agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("left_rows"),
+        F.coalesce(F.sum("arrived"), F.lit(0)).alias("right_rows"),
+        F.every(F.coalesce(F.col("rows") == F.col("arrived"), F.lit(False))).alias("matches"),
+    )
+    # A slice without files: 0 rows arrived out of 0.
+    slices = spark.createDataFrame([(n,) for n in store], "slice string")
     counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("left_rows", "right_rows")]
-    compared = slices.join(compared, SOURCE_FILE, "left").select(SOURCE_FILE, *counts, F.coalesce("matches", F.lit(True)).alias("matches"))
-    # Written down once, so that asking for the verdict does not read both sides again.
-    verdicts = f"{destination}/verdicts"
-    compared.withColumnRenamed(SOURCE_FILE, "slice").write.parquet(verdicts)
-    written = spark.read.parquet(verdicts)
+    compared = slices.join(seen, "slice", "left").select("slice", *counts, F.coalesce("matches", F.lit(True)).alias("matches"))
+    written = kept(compared, "verdicts")  # so that asking for the verdict does not compare again
     return written.withColumn("safe_to_drop", written.agg(F.every("matches")).scalar())
 
 

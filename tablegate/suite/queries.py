@@ -334,7 +334,7 @@ def schema_drift(spark, sf_dir):
     """The columns that drift between the weekly extracts, with their filled cells."""
     paths = fx.weekly_extracts(spark, sf_dir)
     schemas = landed.read_schemas(spark, paths)
-    report = schema.drift_report(schema.schema_rows(spark, schemas), list(schemas), fx.REQUIRED)
+    report = schema.drift_report(spark, schemas, fx.REQUIRED)
     stacked = ingest.conformed_slices(spark, paths, fx.DRIFT, schemas)
     cells = _filled_cells(stacked).select(F.lower("column_name").alias("column_name"), "non_null_count")
     families = F.transform(
@@ -588,7 +588,7 @@ def incremental_dedup(spark, sf_dir):
     """The extracts added one by one: what is published is what ingesting them at once publishes."""
     table, log, root = _scratch_table(), _scratch_table(), fresh_path(spark, "added")
     for path in fx.weekly_extracts(spark, sf_dir):
-        incremental.add_slice(spark, path, fx.DRIFT, table, log, root, RUN_TS)
+        incremental.add_slice(spark, path, fx.DRIFT, table, log, root, RUN_TS, buckets=8)
     result = kept(spark.table(table).drop("_ingested_at"), "added")
     _drop_entry(spark, table, log, incremental.index_name(table))
     return result

@@ -5,6 +5,7 @@ from uuid import uuid4
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablegate.operators import profile, schema, slices
 from tablegate.operators.schema import SchemaDriftError
@@ -163,7 +164,7 @@ def test_width_and_case_are_not_drift(spark, land):
     paths = land(a=narrow, b=new(spark, [(1, 2, 0.5)]))
     schemas = landed.read_schemas(spark, paths)
     schema.assert_uniform(schemas, [])
-    assert schema.drift_report(schema.schema_rows(spark, schemas), list(schemas), ["id"]).count() == 0
+    assert schema.drift_report(spark, schemas, ["id"]).count() == 0
     assert ingest.collapsed_slices(spark, paths, {}).count() == 1
 
 
@@ -173,7 +174,7 @@ def test_drift_report_lists_critical_columns_first(spark, land):
         b=spark.createDataFrame([(1, 1)], "id bigint, Z_Key bigint"),
     )
     schemas = landed.read_schemas(spark, paths)
-    report = schema.drift_report(schema.schema_rows(spark, schemas), list(schemas), ["id", "z_key"]).collect()
+    report = schema.drift_report(spark, schemas, ["id", "z_key"]).collect()
     assert [(r.column_name, r.severity, r.slices_present) for r in report] == [
         ("z_key", "critical", ["a", "b"]),
         ("a_note", "informational", ["a"]),
@@ -307,3 +308,19 @@ def test_shuffles_are_sized_by_the_input_and_restored(spark):
     with sinks.sized_shuffles(spark, 1000):
         assert spark.conf.get(sinks.SHUFFLE_PARTITIONS) == before
     assert spark.conf.get(sinks.SHUFFLE_PARTITIONS) == before
+
+
+def test_drift_of_very_many_slices(spark):
+    """A hundred thousand slices of three schemas: a bit for each, and no list of them."""
+    kind = lambda x, more=(): T.StructType([T.StructField("id", T.LongType()), T.StructField("X", x), *more])
+    usual, odd, wider = kind(T.IntegerType()), kind(T.DoubleType()), kind(T.LongType(), (T.StructField("late", T.StringType()),))
+    schemas = {f"s{k:06d}": odd if k % 40_000 == 7 else wider if k >= 99_990 else usual for k in range(100_000)}
+    found = {(r["column_name"], r["type_family"]): r for r in schema.drift_bitmaps(spark, schemas, ["x"]).collect()}
+    assert {k: (r["slices"], r["first_slice"], r["severity"]) for k, r in found.items()} == {
+        ("x", "floating"): (3, "s000007", "critical"),
+        ("x", "integer"): (99_997, "s000000", "critical"),
+        ("late", "string"): (10, "s099990", "informational"),
+        ("late", None): (99_990, "s000000", "informational"),
+    }
+    bits = {(b["bucket"] - 1) * 32768 + i * 8 + j for b in found["x", "floating"]["bitmaps"] for i, byte in enumerate(b["bitmap"]) for j in range(8) if byte >> j & 1}
+    assert bits == {7, 40_007, 80_007}

@@ -121,3 +121,50 @@ def test_runs_that_log_at_once_all_stand_in_the_log(spark, table, tmp_path):
     with runlog.logged_run(spark, "later", table, str(tmp_path)) as own:
         own.rows_read = 9
     assert sorted(r["rows_read"] for r in spark.table(table).collect()) == [0, 2, 9]
+
+
+def test_a_copy_that_stopped_goes_on_where_it_was(spark, tmp_path, monkeypatch):
+    source, target = tmp_path / "landed", str(tmp_path / "copy")
+    for k in range(4):
+        spark.range(10 * k).selectExpr("id", *["CAST(id AS STRING) AS late"] * (k == 3)).repartition(2).write.parquet(f"{source}/s {k}")
+    paths = [f"{source}/s {k}" for k in range(4)]
+    real, copied = sinks._copied_together, []
+
+    def watched(spark, files, *rest):
+        if len(copied) == 3:
+            raise OSError("the machine is gone")
+        copied.append([f["url"] for f in files])
+        real(spark, files, *rest)
+
+    monkeypatch.setattr(sinks, "_copied_together", watched)
+    with pytest.raises(OSError):
+        sinks.verified_copy(spark, paths, target, batch_bytes=1)
+    assert sinks.copied_files(spark, target).count() == 3
+    before = sum(copied, [])
+    copied.clear()
+    copied_now = []
+    monkeypatch.setattr(sinks, "_copied_together", lambda spark, files, *rest: (copied_now.extend(f["url"] for f in files), real(spark, files, *rest)))
+    told = {r["slice"]: r for r in sinks.verified_copy(spark, paths, target).collect()}
+    assert {n: (r["left_rows"], r["right_rows"], r["matches"], r["safe_to_drop"]) for n, r in told.items()} == {f"s {k}": (10 * k, 10 * k, True, True) for k in range(4)}
+    assert not {*before} & {*copied_now} and len(before) + len(copied_now) == sinks.copied_files(spark, target).count()
+    rows = [r for f in sinks.copied_files(spark, target).collect() if f["rows"] for r in spark.read.parquet(f["copy"]).select("id").collect()]
+    assert len(rows) == 60
+    copied_now.clear()
+    spark.range(5).coalesce(1).write.mode("append").parquet(paths[1])  # one file more: only that is missing
+    again = {r["slice"]: r["right_rows"] for r in sinks.verified_copy(spark, paths, target).collect()}
+    assert again["s 1"] == 15 and len(copied_now) == 1
+
+
+def test_a_copy_that_differs_is_not_entered(spark, tmp_path, monkeypatch):
+    spark.range(8).coalesce(1).write.parquet(f"{tmp_path}/s")
+    real = sinks.table_fingerprint
+    calls = []
+
+    def wrong(df, keys, columns):
+        calls.append(1)
+        return real(df.filter("id <> 3") if len(calls) == 2 else df, keys, columns)
+
+    monkeypatch.setattr(sinks, "table_fingerprint", wrong)
+    told = sinks.verified_copy(spark, [f"{tmp_path}/s"], f"{tmp_path}/copy").collect()[0]
+    assert (told["left_rows"], told["right_rows"], told["matches"], told["safe_to_drop"]) == (8, 0, False, False)
+    assert sinks.verified_copy(spark, [f"{tmp_path}/s"], f"{tmp_path}/copy").collect()[0]["safe_to_drop"]

@@ -47,7 +47,7 @@ def test_slices_of_both_stores_side_by_side(spark, mounted):
     seen = {r["slice"]: r for r in manifest.slice_readability(spark, paths).collect()}
     assert {n: (r["rows_declared"], r["rows_decoded"], r["is_readable"]) for n, r in seen.items()} == {f"s{k:02d}": (k + 1, k + 1, True) for k in (1, 2, 3)}
     schemas = slices.read_schemas(spark, [f"{far}/s{k:02d}" for k in range(12)])
-    drift = schema.drift_report(schema.schema_rows(spark, schemas), list(schemas), ["id"]).collect()
+    drift = schema.drift_report(spark, schemas, ["id"]).collect()
     assert [(r["column_name"], r["slices_present"]) for r in drift] == [("late", ["s07"])]
 
 
