@@ -7,6 +7,7 @@ stage's result is written to the shared folder and read again as the next one's
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,8 @@ from tablegate.llm.store import kept
 
 LEAST_SCORE = 0.3  # of the language predicted; four equal ones have 0.25
 CAPACITY = 2048
-ROW = "__row"  # a number of its own for every row, kept in the written tables
+_OWN = uuid4().hex  # no column of a caller's ends so
+ROW, LANGUAGE, SCORE = (f"{name}_{_OWN}" for name in ("row", "language", "score"))  # ROW: a number of its own for every row
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -34,9 +36,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     network = langid.learn(docs)
     if network is None:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    found = langid.predict(docs, network, ("__language", "__score"))
-    good = (F.col("__language") != langid.UNDETERMINED) & (F.col("__score") >= LEAST_SCORE)
-    return found.filter(good).drop("__language", "__score")
+    found = langid.predict(docs, network, (LANGUAGE, SCORE))
+    good = (F.col(LANGUAGE) != langid.UNDETERMINED) & (F.col(SCORE) >= LEAST_SCORE)
+    return found.filter(good).drop(LANGUAGE, SCORE)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

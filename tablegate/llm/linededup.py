@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -250,7 +251,8 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     a line number that goes, goes in each; who wants them apart gives every row a doc_id of its own, a struct if need be,
     here and to ``duplicates``. n_chars, if there is such a column, is set to the new length.
     """
-    lists = gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("__gone"))  # of one document's lines
+    gone_lines, rest = f"gone_{uuid4().hex}", f"rest_{uuid4().hex}"  # no column of the caller's has such a name
+    lists = gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias(gone_lines))  # of one document's lines
     d, g = bounded_batches(docs).alias("d"), lists.alias("g")
     joined = d.join(g, F.expr("d.doc_id <=> g.doc_id"), "left")
 
@@ -268,15 +270,15 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
         return pd.Series(out, dtype=object)
 
     # Called nondeterministic, lest a filter on the result has Spark compute it once more.
-    gone_any = F.col("__gone").isNotNull()
-    made = joined.select(*[F.col(f"d.`{c}`") for c in docs.columns], "g.__gone")
-    made = made.withColumn("__cut", cut.asNondeterministic()(F.when(gone_any, F.col("text")), F.col("__gone")))
+    gone_any = F.col(gone_lines).isNotNull()
+    made = joined.select(*[F.col(f"d.`{c}`") for c in docs.columns], f"g.{gone_lines}")
+    made = made.withColumn(rest, cut.asNondeterministic()(F.when(gone_any, F.col("text")), F.col(gone_lines)))
     columns = []
     for c in docs.columns:
         own = F.col(f"`{c}`")
         if c == "text":
-            own = F.when(gone_any, F.col("__cut")).otherwise(own)
+            own = F.when(gone_any, F.col(rest)).otherwise(own)
         elif c == "n_chars":
-            own = F.when(gone_any, F.length("__cut")).otherwise(own).cast(docs.schema[c].dataType)
+            own = F.when(gone_any, F.length(rest)).otherwise(own).cast(docs.schema[c].dataType)
         columns.append(own.alias(c))
     return made.select(*columns)

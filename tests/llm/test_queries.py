@@ -138,6 +138,14 @@ def test_rows_without_or_with_shared_ids_are_documents_of_their_own(spark, corpu
     assert sorted(t for _, t in got) == sorted([texts[0], texts[1], texts[2], texts[4], cut[texts[5]]]) and {i for i, _ in got} == {"None"}
 
 
+def test_columns_of_the_caller_s_stay(spark, corpus):
+    names = ["__row", "__language", "__score", "__gone", "__cut", "row", "component_id"]
+    docs = spark.read.parquet(f"{corpus}/documents.parquet").selectExpr("*", *[f"'mine' AS {n}" for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        result = stage(spark, docs, corpus)
+        assert result.columns == docs.columns and result.select(*names).distinct().collect() == [("mine",) * len(names)], name
+
+
 def test_stages_take_empty_tables(spark, corpus):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty(spark), corpus).count() == 0, name
