@@ -30,6 +30,12 @@ WORD_BYTES[48:58] = WORD_BYTES[65:91] = WORD_BYTES[97:123] = WORD_BYTES[128:] =
 
 # The notices by which licences are commonly stated, by family.
 TEMPLATES = {
+    "AGPL": [
+        "This work is licensed under the GNU Affero General Public License, version 3",
+        "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+        "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License",
@@ -40,7 +46,10 @@ TEMPLATES = {
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
         "Licensed under the BSD License",
         "Use of this source code is governed by a BSD-style license",
+        "BSD 3-Clause License",
+        "BSD 2-Clause License",
         "SPDX-License-Identifier: BSD-3-Clause",
+        "SPDX-License-Identifier: BSD-2-Clause",
     ],
     "CC-BY": [
         "Licensed under CC BY 4.0",
@@ -50,32 +59,90 @@ TEMPLATES = {
         "Licensed under CC BY-NC 4.0",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
     ],
+    "CC-BY-NC-ND": [
+        "Licensed under CC BY-NC-ND 4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License",
+    ],
+    "CC-BY-NC-SA": [
+        "Licensed under CC BY-NC-SA 4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License",
+    ],
+    "CC-BY-ND": [
+        "Licensed under CC BY-ND 4.0",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License",
+    ],
     "CC-BY-SA": [
         "Licensed under CC BY-SA 4.0",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
     ],
     "CC0": ["This work is dedicated to the public domain under CC0 1.0 Universal", "Released into the public domain"],
+    "EPL-2.0": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+        "made available under the terms of the Eclipse Public License 2.0",
+        "Licensed under the Eclipse Public License, Version 2.0",
+        "SPDX-License-Identifier: EPL-2.0",
+    ],
+    "EUPL-1.2": [
+        "Licensed under the EUPL, Version 1.2",
+        "Licensed under the European Union Public Licence, Version 1.2",
+        "SPDX-License-Identifier: EUPL-1.2",
+    ],
     "GPL": [
         "This work is licensed under the GNU General Public License, version 3",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "Licensed under the ISC License",
+        "SPDX-License-Identifier: ISC",
+    ],
     "LGPL": [
         "This library is licensed under the GNU Lesser General Public License, version 3",
         "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
     ],
     "MIT": [
         "Released under the MIT License",
         "Licensed under the MIT License",
+        "The MIT License (MIT)",
+        "MIT License Copyright (c)",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
         "SPDX-License-Identifier: MIT",
     ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+        "Licensed under the Mozilla Public License, Version 2.0",
+        "Mozilla Public License Version 2.0",
         "SPDX-License-Identifier: MPL-2.0",
     ],
     "proprietary": ["All rights reserved", "Copyright all rights reserved", "Proprietary and confidential"],
 }
+# Words that tell families apart. A notice must have all words of one of the first lists of its family, and
+# none of the second, between its first and its last word.
+_FREE = ["affero", "agpl", "lesser", "lgpl", "eclipse", "mozilla"]
+MARKS = {
+    "AGPL": (["affero", "agpl"], []),
+    "Apache-2.0": (["apache"], []),
+    "BSD": (["bsd", "redistribution binary forms"], []),
+    "CC-BY": (["cc by", "creative commons attribution"], ["nc", "noncommercial", "sa", "sharealike", "nd", "noderivatives"]),
+    "CC-BY-NC": (["cc by nc", "attribution noncommercial"], ["sa", "sharealike", "nd", "noderivatives"]),
+    "CC-BY-NC-ND": (["cc by nc nd", "attribution noncommercial noderivatives"], []),
+    "CC-BY-NC-SA": (["cc by nc sa", "attribution noncommercial sharealike"], []),
+    "CC-BY-ND": (["cc by nd", "attribution noderivatives"], ["nc", "noncommercial"]),
+    "CC-BY-SA": (["cc by sa", "attribution sharealike"], ["nc", "noncommercial"]),
+    "CC0": (["cc0", "public domain"], []),
+    "EPL-2.0": (["eclipse", "epl"], []),
+    "EUPL-1.2": (["eupl", "european union"], []),
+    "GPL": (["gnu general public", "gpl"], _FREE),
+    "ISC": (["isc", "permission purpose fee granted"], ["mit"]),
+    "LGPL": (["lesser", "lgpl"], ["affero", "agpl"]),
+    "MIT": (["mit", "permission granted charge person"], []),
+    "MPL-2.0": (["mozilla", "mpl"], []),
+    "proprietary": (["rights reserved", "proprietary"], []),
+}
 UNKNOWN = "unknown"
 CLASSES = [*sorted(TEMPLATES), UNKNOWN]
 BITS = 16
@@ -124,6 +191,18 @@ class Templates:
         self.each = [(f, words) for f, texts in self.words.items() for words in texts]
         self.has = np.stack([np.isin(self.any, _pairs(words)) for _, words in self.each])
         self.sizes = self.has.sum(1)
+        self.marks = {f: ([_hashed(m) for m in needed], _hashed(" ".join(barred))) for f, (needed, barred) in MARKS.items()}
+
+    def confirmed(self, match: Match, words: np.ndarray) -> bool:
+        """Whether the words are there that tell the match's family from others, and none that tell of another."""
+        own = words[match.places[0] : match.places[-1] + 2]
+        needed, barred = self.marks[match.family]
+        return any(np.isin(m, own).all() for m in needed) and not np.isin(barred, own).any()
+
+    def without_marks(self, family: str, words: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """A notice with the words exchanged that tell its family: it reads like a licence, but is none that is known."""
+        marks = np.concatenate(self.marks[family][0])
+        return np.where(np.isin(words, marks), other[: len(words)], words)
 
     def matches(self, places: np.ndarray, codes: np.ndarray) -> list[Match]:
         """Where enough of a template's word pairs stand together, of the pairs ``any[codes]`` at ascending places."""
@@ -191,6 +270,8 @@ def _variations(templates: Templates, unknown: list[np.ndarray], draw: np.random
                 words = np.where(draw.random(len(words)) < 0.04, some(max(1, len(words)))[: len(words)], words)
                 around = draw.integers(0, 14, 2) * (draw.random(2) < 0.5)
                 out.append((features(np.concatenate([some(around[0]), words, some(around[1])]).astype(np.uint64)), CLASSES.index(family)))
+            for _ in range(VARIATIONS // 3):
+                out.append((features(templates.without_marks(family, text, some(len(text)).astype(np.uint64))), CLASSES.index(UNKNOWN)))
     everything = np.concatenate([w for texts in templates.words.values() for w in texts])
     for words in unknown:
         out.append((features(words), CLASSES.index(UNKNOWN)))
@@ -254,7 +335,7 @@ def notices(words: np.ndarray, places: np.ndarray, codes: np.ndarray, known: Tem
     for start in sorted(starts):
         a, b = np.searchsorted(places, [start, min(start + WINDOW, len(words)) - 1])
         if b - a > 1:
-            found.update(known.matches(places[a:b], codes[a:b]))
+            found.update(m for m in known.matches(places[a:b], codes[a:b]) if known.confirmed(m, words))
     taken: dict[str, list[Match]] = {}
     for match in sorted(found, key=lambda m: (-m.share, -len(m.places), m.places[0])):
         near = taken.setdefault(match.family, [])

@@ -54,6 +54,30 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), size=2, percent=80)
 
 
+ORACLE["op5_minhash_near_dedup"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN [w] ELSE list_transform(range(1, len(w)), lambda i: w[i:i + 1]) END) AS s
+    FROM words WHERE len(w) > 0
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), numbered AS (
+    SELECT doc_id, dense_rank() OVER (ORDER BY s) AS s FROM shingles
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM numbered a JOIN numbered b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)
+), both_ways AS (
+    SELECT a, b FROM links UNION SELECT b, a FROM links
+), reached AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reached r JOIN both_ways l ON r.b = l.a
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, min(r.b) AS component_id, d.doc_id = min(r.b) AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN reached r ON r.a = d.doc_id GROUP BY d.doc_id, n
+"""
+
+
 @_registered
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.write(_table(spark, sf_dir, "pages"), warc.archive_folder(spark))

@@ -198,3 +198,35 @@ def test_networks_don_t_depend_on_partitions(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     one, seven = (langid.learn(df.repartition(n), 30) for n in (1, 7))
     assert all(np.array_equal(a, b) for a, b in zip(one.weights.values(), seven.weights.values()))
+
+
+def test_licences_are_told_apart(spark, licence_model):
+    apart = "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3"
+    want = {
+        "Licensed under the Mozilla Public License, Version 2.0": {"MPL-2.0"},
+        "This program is made available under the terms of the Eclipse Public License 2.0": {"EPL-2.0"},
+        "Licensed under the EUPL, Version 1.2": {"EUPL-1.2"},
+        f"This program is free software: {apart}": {"AGPL"},
+        "SPDX-License-Identifier: AGPL-3.0-or-later": {"AGPL"},
+        "SPDX-License-Identifier: LGPL-3.0-or-later": {"LGPL"},
+        "SPDX-License-Identifier: ISC": {"ISC"},
+        "SPDX-License-Identifier: BSD-2-Clause": {"BSD"},
+        "Licensed under CC BY-ND 4.0": {"CC-BY-ND"},
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License": {"CC-BY-NC-SA"},
+        "The MIT License (MIT)": {"MIT"},
+        "MIT License\n\nCopyright (c) 2024 Somebody\n\nPermission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files": {"MIT"},
+        "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007": {"GPL"},
+        # of licences that it doesn't know it names none
+        "Licensed under the Unlicense, Version 2.0": set(),
+        "Licensed under the Server Side Public License, Version 1.0": set(),
+        "SPDX-License-Identifier: Zlib": set(),
+        "This work is licensed under the Open Data Commons Open Database License, version 1": set(),
+        "Licensed under the Aladdin Free Public License, Version 9": set(),
+        "Licensed under the Microsoft Public License, Version 2.0": set(),
+    }
+    for model in (licence_model, licenses.learn(empty(spark))):
+        df = spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")
+        got: dict[int, set[str]] = {}
+        for r in licenses.scan(df, model).collect():
+            got.setdefault(r.doc_id, set()).add(r.family)
+        assert {t: got.get(k, set()) for k, t in enumerate(want)} == want
