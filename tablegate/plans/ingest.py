@@ -19,6 +19,7 @@ from tablegate.plans.runlog import PASSED, RAISE, logged_run
 from tablegate.plans.sinks import Published, overwrite_table, sized_shuffles
 from tablegate.sources.manifest import slice_sizes
 from tablegate.sources.slices import SLICE, SOURCE_FILE, name_of, read_schemas, scan_slices
+from tablegate.sources.workspace import released
 
 INGESTED_AT = "_ingested_at"
 
@@ -67,7 +68,7 @@ def ingest(
 ) -> IngestResult | None:
     """Build the ingested table from its slices; None when a schema error was only reported."""
     result = None
-    with logged_run(spark, "bronze", log_table, root, on_schema_error) as run:
+    with logged_run(spark, "bronze", log_table, root, on_schema_error) as run, released(spark):
         schemas = read_schemas(spark, paths)
         assert_uniform(schemas, list(drift))
         run.schema_check = PASSED

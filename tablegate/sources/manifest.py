@@ -115,10 +115,14 @@ def manifest_status(
     )
 
 
+def out_of_proportion(slices: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    """MAN-3 over (slice, row_count, size_bytes): adds ``bytes_per_row``, ``median_of_others`` and ``is_outlier``."""
+    each = slices.withColumn("bytes_per_row", F.try_divide(F.col("size_bytes"), F.col("row_count")))
+    return leave_one_out(each, "bytes_per_row", tolerance)
+
+
 def bytes_per_row(spark: SparkSession, paths: list[str], tolerance: float = TOLERANCE) -> DataFrame:
     """MAN-3: slices whose bytes per row are out of line with the others; only footers are read."""
     sums = landed.footers(spark, paths).groupBy(SLICE)
     sums = sums.agg(F.sum("rows").alias("row_count"), F.sum("length").alias("size_bytes"))
-    slices = sums.select(name_of(F.col(SLICE), paths).alias("slice"), "row_count", "size_bytes")
-    slices = slices.withColumn("bytes_per_row", F.try_divide(F.col("size_bytes"), F.col("row_count")))
-    return leave_one_out(slices, "bytes_per_row", tolerance)
+    return out_of_proportion(sums.select(name_of(F.col(SLICE), paths).alias("slice"), "row_count", "size_bytes"), tolerance)

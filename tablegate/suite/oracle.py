@@ -483,15 +483,24 @@ ORACLE["slice_readability"] = union(
 ORACLE["manifest_status"] = f"""{SLICES},
 keyed AS (SELECT _source_file AS slice, count(*) AS n FROM landed GROUP BY 1),
 others AS (SELECT a.slice, median(b.n) AS m FROM keyed a JOIN keyed b ON a.slice != b.slice GROUP BY 1)
-SELECT slice, n AS row_count, TRUE AS is_readable,
+SELECT slice, TRUE AS size_agrees, n AS row_count, abs(n - m) > 0.5 * m AS is_outlier, TRUE AS is_readable,
        CASE WHEN abs(n - m) > 0.5 * m THEN 'incomplete' ELSE 'verified' END AS verification_status
 FROM keyed JOIN others USING (slice)
 UNION ALL
-SELECT 'slice=' || strftime(CAST(substr(max(_source_file), 7) AS DATE) + INTERVAL 7 DAY, '%Y-%m-%d'), 0, FALSE, 'incomplete'
+SELECT 'slice=' || strftime(CAST(substr(max(_source_file), 7) AS DATE) + INTERVAL 7 DAY, '%Y-%m-%d'), TRUE, 0, NULL, FALSE, 'incomplete'
 FROM landed"""
 ORACLE["file_manifest"] = union([f"SELECT '{t}.parquet' AS file_name, TRUE AS filled, TRUE AS size_agrees" for t in COLUMNS])
 ORACLE["bytes_per_row_outliers"] = f"""{SLICES}
 SELECT _source_file AS slice, count(*) AS row_count, TRUE AS is_size_by_rows, TRUE AS verdict_follows FROM landed GROUP BY 1"""
+ORACLE["bytes_per_row_documents"] = """
+WITH sizes AS (
+    SELECT source AS slice, count(*) AS row_count, CAST(sum(n_chars) AS BIGINT) AS size_bytes, sum(n_chars) / count(*) AS bytes_per_row FROM documents GROUP BY 1
+), others AS (
+    SELECT a.slice, median(b.bytes_per_row) AS m FROM sizes a JOIN sizes b ON a.slice <> b.slice GROUP BY 1
+)
+SELECT slice, row_count, size_bytes, round(bytes_per_row, 6) AS bytes_per_row, round(m, 6) AS median_of_others,
+       m = 0 OR abs(bytes_per_row - m) > 0.25 * m AS is_outlier
+FROM sizes JOIN others USING (slice)"""
 ORACLE["loo_outliers"] = leave_one_out(
     "SELECT source, CAST(sum(n_chars) AS BIGINT) AS total_chars FROM documents GROUP BY 1",
     "source",

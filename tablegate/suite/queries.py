@@ -687,7 +687,13 @@ def manifest_status(spark, sf_dir):
     missing = date.fromisoformat(names[-1].split("=")[1]) + timedelta(days=7)
     absent = f"{paths[-1].rsplit('/', 1)[0]}/slice={missing}"
     status = manifest.manifest_status(spark, [*names, f"slice={missing}"], [*paths, absent])
-    return status.select("slice", "row_count", "is_readable", "verification_status")
+    # Sizes on disk are not SQL's to state; what the scan says of the files behind the rows must add up to them.
+    scans = landed.scan_slices(spark, paths, file_columns=True)
+    files = slices.union_slices([s.select(landed.SOURCE_FILE, "_path", "_bytes").distinct() for s in scans])
+    scanned = files.groupBy(F.col(landed.SOURCE_FILE).alias("slice")).agg(F.sum("_bytes").alias("scanned"))
+    agrees = F.col("size_bytes") == F.coalesce("scanned", F.lit(0))
+    joined = status.join(scanned, "slice", "left")
+    return joined.select("slice", agrees.alias("size_agrees"), "row_count", "is_outlier", "is_readable", "verification_status")
 
 
 @query
@@ -699,6 +705,16 @@ def bytes_per_row_outliers(spark, sf_dir):
     return found.select("slice", "row_count", exact.alias("is_size_by_rows"), (F.col("is_outlier") == off).alias("verdict_follows"))
 
 
+@query
+def bytes_per_row_documents(spark, sf_dir):
+    """The same rule over sizes that SQL can state: sources whose characters per document are out of line."""
+    docs = fx.table(spark, sf_dir, "documents").groupBy(F.col("source").alias("slice"))
+    sizes = docs.agg(F.count(F.lit(1)).alias("row_count"), F.sum("n_chars").alias("size_bytes"))
+    found = manifest.out_of_proportion(sizes, tolerance=0.25)
+    rounded = [F.round(c, 6).alias(c) for c in ("bytes_per_row", "median_of_others")]
+    return found.select("slice", "row_count", "size_bytes", *rounded, "is_outlier")
+
+
 @query
 def loo_outliers(spark, sf_dir):
     """Sources whose text volume is out of line with the other sources."""
