@@ -116,7 +116,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     known = labels.filter((fold("doc_id", 5) != 0) & F.col("label").isin(0, 1))
     known = langid.bounded_sample(known, "doc_id", quality.SAMPLE_DOCS)
-    weights = quality.learn(docs.join(known, "doc_id"))
+    weights = quality.learn(docs.join(F.broadcast(known), "doc_id"))  # SAMPLE_DOCS rows of a number and a label
     held_out = (fold("doc_id", 5) == 0).alias("held_out")
     return quality.predict(docs, weights).select("doc_id", held_out, "score", "predicted")
 
