@@ -220,6 +220,58 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resampled(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def _crc_steps() -> str:
+    """The effect of one byte on an empty crc32 register, as a list in SQL."""
+    table = list(range(256))
+    for _ in range(8):
+        table = [c >> 1 ^ (0xEDB88320 if c & 1 else 0) for c in table]
+    return str(table)
+
+
+# The crc32 of an n-gram from those of its words: bytes that follow are zeros to the register, and add their own.
+ORACLE["op11_importance_resampling"] = r"""
+WITH texts AS (
+    SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents
+    UNION ALL
+    SELECT 'b', item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') FROM benchmark
+), hexed AS (
+    SELECT word, octet_length(encode(word)) AS n, hex(encode(word)) AS h FROM (SELECT DISTINCT unnest(w) AS word FROM texts)
+), bytes AS (
+    SELECT word, n, list_transform(range(0, n), lambda i: CAST((strpos('0123456789ABCDEF', substr(h, CAST(2 * i + 1 AS INT), 1)) - 1) * 16
+           + strpos('0123456789ABCDEF', substr(h, CAST(2 * i + 2 AS INT), 1)) - 1 AS BIGINT)) AS body FROM hexed
+), crcs AS (
+    SELECT word, n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, body), lambda c, b: xor(STEPS[(xor(c, b) & 255) + 1], c >> 8))) AS crc FROM bytes
+), spaced AS (
+    SELECT word, n, crc, xor(crc, list_reduce(list_prepend(3916222277::BIGINT, range(0, n)), lambda c, i: xor(STEPS[(c & 255) + 1], c >> 8))) AS after_space FROM crcs
+), places AS (
+    SELECT kind, id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM texts
+), ones AS (
+    SELECT kind, id, crc, lead(n) OVER o AS n2, lead(after_space) OVER o AS s2, lead(n, 2) OVER o AS n3, lead(after_space, 2) OVER o AS s3
+    FROM places JOIN spaced USING (word) WINDOW o AS (PARTITION BY kind, id ORDER BY i)
+), twos AS (
+    SELECT *, CASE WHEN n2 IS NOT NULL THEN xor(s2, list_reduce(list_prepend(crc, range(0, n2 + 1)), lambda c, k: xor(STEPS[(c & 255) + 1], c >> 8))) END AS crc2 FROM ones
+), threes AS (
+    SELECT *, CASE WHEN n3 IS NOT NULL THEN xor(s3, list_reduce(list_prepend(crc2, range(0, n3 + 1)), lambda c, k: xor(STEPS[(c & 255) + 1], c >> 8))) END AS crc3 FROM twos
+), features AS (
+    SELECT kind, id, crc % 10000 AS bucket FROM threes UNION ALL SELECT kind, id, crc2 % 10000 FROM threes WHERE crc2 IS NOT NULL
+    UNION ALL SELECT kind, id, crc3 % 10000 FROM threes WHERE crc3 IS NOT NULL
+), counts AS (
+    SELECT bucket, count(*) FILTER (kind = 'd') AS s, count(*) FILTER (kind = 'b') AS t FROM features GROUP BY bucket
+), gains AS (
+    SELECT bucket, CAST(floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM counts) + 10000)::DOUBLE / ((s + 1) * ((SELECT sum(t) FROM counts) + 10000)::DOUBLE))) AS BIGINT) AS gain FROM counts
+), weights AS (
+    SELECT id AS doc_id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight FROM features JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY id
+), scored AS (
+    SELECT id AS doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(len(w), 0) >= 20 AS takes_part,
+           coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || id), 1, 8) AS BIGINT) + 0.5) / 4294967296::DOUBLE))) AS BIGINT) AS score
+    FROM texts LEFT JOIN weights ON doc_id = id WHERE kind = 'd'
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY takes_part ORDER BY score DESC, doc_id) AS place, count(*) FILTER (takes_part) OVER () AS taking FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN takes_part AND place <= 5 * taking // 100 THEN place END AS rank FROM ranked
+""".replace("STEPS", _crc_steps())
+
+
 @_registered
 def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.top_k(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0, k=5)
