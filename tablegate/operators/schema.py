@@ -37,11 +37,11 @@ def distinct_schemas(schemas: dict[str, T.StructType]) -> tuple[list[Families],
 
 def _deviating(spark: SparkSession, schemas: dict[str, T.StructType]) -> tuple[DataFrame, DataFrame]:
     """(schema_no, column_name, type_family), NULL where a schema lacks the column, of the columns that deviate, and
-    (slice, slice_no, schema_no) of every slice, numbered in order of their names."""
+    (slice, slice_no, schema_no) of every slice, numbered from 1 in order of their names."""
     distinct, own = distinct_schemas(schemas)
     spread = {c: {f.get(c) for f in distinct} for c in sorted(set().union(*distinct))} if distinct else {}
     rows = [(no, c, families.get(c)) for c, found in spread.items() if len(found) > 1 for no, families in enumerate(distinct)]
-    columns = [pa.array(sorted(schemas), pa.string()), pa.array(range(len(own)), pa.int64()), pa.array(own, pa.int32())]
+    columns = [pa.array(sorted(schemas), pa.string()), pa.array(range(1, len(own) + 1), pa.int64()), pa.array(own, pa.int32())]
     slices = spark.createDataFrame(pa.table(columns, ["slice", "slice_no", "schema_no"]))
     return spark.createDataFrame(rows, "schema_no int, column_name string, type_family string"), slices
 
@@ -57,7 +57,8 @@ def drift_bitmaps(spark: SparkSession, schemas: dict[str, T.StructType], require
 
     A column deviates if its family differs between slices or some slice lacks it; a required one is ``critical``, any
     other ``informational``. There is a row per family of such a column, and one with a NULL family for the slices that
-    lack it. ``bitmaps`` are the numbers of the slices, in order of their names, in buckets of 32,768 bits counted from 1.
+    lack it. ``bitmaps`` hold a bit for each slice, numbered from 1 in order of their names, in buckets of 32,768: bit i of
+    bucket b is slice ``(b - 1) * 32768 + i + 1``.
     """
     odd, slices = _deviating(spark, schemas)
     wide = odd.join(slices, "schema_no")

@@ -609,10 +609,11 @@ def _logged_runs(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return log, root
 
 
-def _log_location(spark: SparkSession, log: str) -> str:
+def _log_rows(spark: SparkSession, log: str) -> DataFrame:
+    """The rows of a log, a folder an append, whose catalog entry is then removed."""
     location = sinks.table_location(spark, log)
     _drop_entry(spark, log)
-    return location
+    return spark.read.option("recursiveFileLookup", "true").parquet(location)
 
 
 @query
@@ -621,7 +622,7 @@ def run_log_append(spark, sf_dir):
     root, log, table = fresh_path(spark, "log"), _scratch_table(), _scratch_table()
     gate.build(spark, fx.trips(spark, sf_dir), fx.trips_contract(), table, log, root)
     _drop_entry(spark, table)
-    rows = spark.read.parquet(_log_location(spark, log))
+    rows = _log_rows(spark, log)
     return rows.select(
         "pipeline_stage",
         "status",
@@ -638,14 +639,14 @@ def run_log_append(spark, sf_dir):
 @query
 def run_log_latest(spark, sf_dir):
     log, _ = _logged_runs(spark, sf_dir)
-    latest = runlog.latest_runs(spark.read.parquet(_log_location(spark, log)))
+    latest = runlog.latest_runs(_log_rows(spark, log))
     return latest.select("pipeline_stage", "status", "schema_check_status", "rows_read", "error")
 
 
 @query
 def run_log_metrics(spark, sf_dir):
     log, _ = _logged_runs(spark, sf_dir)
-    history = runlog.metric_history(spark.read.parquet(_log_location(spark, log)))
+    history = runlog.metric_history(_log_rows(spark, log))
     return history.select(
         "pipeline_stage", "metric", "rows_read", "value", "previous_value", "change", F.round("share", 8).alias("share")
     )

@@ -322,5 +322,5 @@ def test_drift_of_very_many_slices(spark):
         ("late", "string"): (10, "s099990", "informational"),
         ("late", None): (99_990, "s000000", "informational"),
     }
-    bits = {(b["bucket"] - 1) * 32768 + i * 8 + j for b in found["x", "floating"]["bitmaps"] for i, byte in enumerate(b["bitmap"]) for j in range(8) if byte >> j & 1}
-    assert bits == {7, 40_007, 80_007}
+    bits = {(b["bucket"] - 1) * 32768 + i * 8 + j + 1 for b in found["x", "floating"]["bitmaps"] for i, byte in enumerate(b["bitmap"]) for j in range(8) if byte >> j & 1}
+    assert bits == {8, 40_008, 80_008}
