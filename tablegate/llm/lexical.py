@@ -38,7 +38,8 @@ from tablegate.llm.text import buffers, chunks, random_words, runs, span_hashes
 
 TOP = 50
 SHARD_POSTINGS = 1_000_000  # postings that a task inverts at a time
-BLOCK_TERMS = 200_000  # terms of the queries that are searched together
+BLOCK_TERMS = 50_000  # terms of the queries that are searched together
+SUMMARY_BYTES = 256 << 20  # of the summaries that a task remembers
 BLOCK_DOCS = 64  # documents of a block, at most
 SKETCH = 24  # dimensions of the random projection by which lists are clustered
 _WORD = np.ones(256, bool)  # bytes of a term: digits, letters, all beyond ASCII
@@ -169,6 +170,7 @@ class Shard:
             self.maxima[filled] = np.maximum.reduceat(value[order], self.list_bounds[filled])
         self.sketches: np.ndarray | None = None
         self.made: dict[int, Blocks] = {}
+        self.summary_bytes = 0
 
     def _sketched(self) -> np.ndarray:
         """Documents as unit vectors of a random projection, in which near ones stay near."""
@@ -200,14 +202,17 @@ class Shard:
             place = np.arange(len(docs)) - np.searchsorted(near, near)
             new = place % self.block_docs == 0  # each cluster begins a block, and so do its documents from time to time
             block = np.cumsum(new) - 1
-            column = np.full(self.size, -1)
+            column = np.full(self.size, -1, np.int32)
             column[self.asked[term]] = np.arange(len(self.asked[term]))
             at, _ = self._entries(docs)
             row = np.repeat(block, self.starts[docs + 1] - self.starts[docs])
             own = column[self.term[at]]
             summaries = np.zeros((block[-1] + 1, len(self.asked[term])), np.int64)
             np.maximum.at(summaries.reshape(-1), (row * summaries.shape[1] + own)[own >= 0], self.value[at[own >= 0]])
+            if self.summary_bytes > SUMMARY_BYTES:  # made again when a query needs them
+                self.made, self.summary_bytes = {}, 0
             self.made[term] = Blocks(docs, np.append(np.flatnonzero(new), len(docs)), column, summaries)
+            self.summary_bytes += summaries.nbytes + column.nbytes
         return self.made[term]
 
     def search(self, items: np.ndarray, best: Best) -> None:
@@ -289,11 +294,11 @@ def _shards(
 
 def _searched(index: DataFrame, block: Queries, told: Statistics, k: int, postings: int, block_docs: int) -> DataFrame:
     """(item, item_id, doc_id, score): the best k of each task for every query."""
-    asked: dict[int, set[int]] = {}
+    asked: dict[int, list[np.ndarray]] = {}
     for own in block.items:
         for term in own.tolist():
-            asked.setdefault(term, set()).update(own.tolist())
-    columns = {term: np.array(sorted(own)) for term, own in asked.items()}
+            asked.setdefault(term, []).append(own)
+    columns = {term: np.unique(np.concatenate(own)) for term, own in asked.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = [Best(k) for _ in block.items]

@@ -194,7 +194,7 @@ def test_search_is_all_pairs(spark, postings, block_docs, block_terms, k):
     assert got_rows(found, "item_id", "rank", "doc_id", "score") == searched(rows, items, k)
 
 
-def test_blocks_are_skipped_by_their_summaries():
+def test_blocks_are_skipped_by_their_summaries(monkeypatch):
     """Far fewer documents are scored than postings say, and none of the best is missed."""
     draw = np.random.default_rng(5)
     size, n = 400, 3000
@@ -219,6 +219,11 @@ def test_blocks_are_skipped_by_their_summaries():
     whole = np.add.reduceat(np.where(asked, value, 0), starts[:-1])
     want = np.lexsort((np.arange(n), -whole))[:10]
     assert best.ids.tolist() == want.tolist() and scored < 0.3 * (whole > 0).sum()
+    with monkeypatch.context() as patched:  # nothing is remembered, all is made again
+        patched.setattr(lexical, "SUMMARY_BYTES", -1)
+        shard.made = {}
+        shard.search(query, again := lexical.Best(10))
+        assert again.ids.tolist() == want.tolist() and len(shard.made) == 1
 
 
 def test_shards_hold_bounded_postings():
