@@ -30,6 +30,7 @@ from tablegate.llm.store import bounded_batches, kept
 from tablegate.llm.text import UNSPACED, buffers, character_class, chunks, mix, random_words, words
 
 MIN_WORDS = 6
+HOT_SHARE = 10_000
 _SOLO = character_class(UNSPACED)
 _WORD = re.compile(f"[{_SOLO}]|[^\x20\x09-\x0d{_SOLO}]+")  # as the keys have it: no other white space ends a word
 _BASE = int(random_words(31, 1)[0]) | 1
@@ -194,8 +195,8 @@ def duplicates(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     found = kept(occurrences(docs, min_words), "lines")
     first = F.min(F.struct("doc_id", "line_no")).alias("first")
-    classes = found.groupBy("line").agg(first, *[F.first(k).alias(k) for k in ("k0", "k1", "k2", "k3")])
-    classes = kept(classes.select("line", "first.doc_id", "first.line_no", "k0", "k1", "k2", "k3"), "line-classes")
+    classes = found.groupBy("line").agg(first, F.count(F.lit(1)).alias("n"), *[F.first(k).alias(k) for k in ("k0", "k1", "k2", "k3")])
+    classes = kept(classes.select("line", "first.doc_id", "first.line_no", "n", "k0", "k1", "k2", "k3"), "line-classes")
     halves = classes.select("line", F.explode(F.array_distinct(F.array("k0", "k1", "k2", "k3"))).alias("key"))
     halves = halves.filter("key IS NOT NULL")
     shared = halves.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
@@ -237,8 +238,14 @@ def duplicates(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     pairs = pairs.filter(verified("body", "other_body"))
     earlier = kept(pairs.groupBy("line").agg(F.min("other_at").alias("earlier")), "near-lines")
 
-    placed = classes.join(earlier, "line", "left").select("line", F.struct("doc_id", "line_no").alias("first"), "earlier")
-    every = found.select("line", F.struct("doc_id", "line_no").alias("at")).join(placed, "line")
+    placed = classes.join(earlier, "line", "left").select("line", F.struct("doc_id", "line_no").alias("first"), "earlier", "n")
+    # Lines that each make up a ten-thousandth of all, of which there are at most HOT_SHARE, come to their places by a
+    # broadcast; the others by a shuffle in which no line is heavy.
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    is_hot = F.col("n") * HOT_SHARE >= total
+    places, hot = found.select("line", F.struct("doc_id", "line_no").alias("at")), F.broadcast(placed.filter(is_hot))
+    rest = places.join(hot.select("line"), "line", "left_anti").join(placed.filter(~is_hot), "line")
+    every = places.join(hot, "line").unionAll(rest)
     of = F.coalesce(F.least("earlier", "first"), "first").alias("of")
     gone = every.filter(F.col("earlier").isNotNull() | (F.col("at") > F.col("first"))).select("at", of)
     return gone.select("at.doc_id", "at.line_no", F.col("of.doc_id").alias("copy_of_doc"), F.col("of.line_no").alias("copy_of_line")).distinct()
