@@ -7,8 +7,10 @@ ones the library gives for the whole text.
 
 from __future__ import annotations
 
+import codecs
 import json
 import os
+import re
 from array import array
 from collections.abc import Iterator, Sequence
 
@@ -18,10 +20,20 @@ import pyarrow.compute as pc
 
 FIRST = " "  # marks the first part of a text; no part holds a space itself
 KEPT_WORDS = 300_000  # pieces remembered by a worker in each of two generations
-TOGETHER = 2000  # words that the library gets as one text
+TOGETHER = 2000  # words that the library gets, or normalizes, as one text
+SETTLED = re.compile("[A-Za-zªµºÀ-ÖØ-öø-\u012f\u0131-\u024f]+")  # letters in all versions of Unicode, but dotted I
+SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}  # bytes that byte-level vocabularies spell as themselves
+HIDDEN = sorted({*range(256)} - SHOWN)  # the others, which they spell from U+0100 on
+SPELLING = "".join(chr(b if b in SHOWN else 256 + HIDDEN.index(b)) for b in range(256))
+SPACE = SPELLING[32]
 ENDINGS = "!\"#$%&()*+,-./:;=?@[]^_`{|}~"  # ASCII signs but the apostrophe and angle brackets
 
 
+def _strings(column: pa.StringArray) -> list[str]:
+    """The strings of a column without nulls, by numpy, which makes them several times as fast as to_pylist."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 class Encoder:
     """ids of texts as little-endian unsigned 32-bit integers, the same as ``encode(text, add_special_tokens=False)``."""
 
@@ -39,7 +51,15 @@ class Encoder:
         self.keeps_spaces = kind.get("type") == "ByteLevel" and kind.get("use_regex") and not kind.get("add_prefix_space")
         drops = steps[0].get("type") == "Split" and steps[0].get("behavior") == "Removed" and "\\s" in json.dumps(steps[0])
         plain = not settings.get("normalizer") if self.keeps_spaces else True
-        self.cuts = bool((self.keeps_spaces and plain or drops) and not spaced and not stripped)
+        named = any(all(c.isalpha() or c in ENDINGS for c in t["content"]) for t in settings.get("added_tokens", []))
+        self.cuts = bool((self.keeps_spaces and plain or drops) and not spaced and not stripped and not named)
+        # whether a run of letters is one word to the model, spelled byte by byte
+        before, runs, _ = str((steps[0].get("pattern") or {}).get("Regex")).partition("|[\\p{L}]+|")
+        lettered = bool(runs) and bool(steps[0].get("invert")) and all(x[:1] == "'" for x in before.split("|"))
+        bytewise = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+        lettered = lettered and len(steps) == 2 and bytewise.items() <= steps[1].items()
+        self.wordwise = bool(self.cuts and (self.keeps_spaces or lettered))
+        self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
         ending = (settings.get("model") or {}).get("end_of_word_suffix") or ""
         self.edges = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids that begin a word, or end one
         for token, number in self.tokenizer.get_vocab().items():
@@ -61,7 +81,25 @@ class Encoder:
             return part
         return part[1:] if part[:1] == FIRST else " " + part
 
-    def _words(self, words: list[str]) -> list[bytes]:
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of runs of letters. The library's model gets each as it is spelled, where that is sure to be one word of it."""
+        out: dict[str, bytes] = {}
+        plain = [w for w in words if SETTLED.fullmatch(w)] if self.wordwise else []
+        for start in range(0, len(plain), TOGETHER):
+            own = plain[start : start + TOGETHER]
+            text = " ".join(own)
+            normal = self.normalizer.normalize_str(text) if self.normalizer else text
+            spelled = codecs.charmap_decode(normal.encode(), "strict", SPELLING)[0].split(SPACE)
+            if len(spelled) != len(own) or normal is not text and not all(map(SETTLED.fullmatch, normal.split(" "))):
+                continue
+            if self.keeps_spaces:
+                spelled = [SPACE + x for x in spelled]
+            out.update((w, array("I", [t.id for t in self.model.tokenize(x)]).tobytes()) for w, x in zip(own, spelled))
+        rest = [w for w in words if w not in out]
+        out.update(zip(rest, self._together(rest)))
+        return out
+
+    def _together(self, words: list[str]) -> list[bytes]:
         """Ids of runs of letters. Many go to the library as one text, whose ids are cut where a token begins or ends a
         word; should it cut otherwise than they were put together, each goes alone."""
         out: list[bytes] = []
@@ -79,10 +117,14 @@ class Encoder:
 
     def _known(self, parts: list[str]) -> list[bytes | None]:
         """The ids of parts, learned where they are new."""
-        missing = [p for p in parts if p not in self.young]
-        if missing:
-            self._learn(missing)
-        return [self.young[p] for p in parts]
+        found = list(map(self.young.get, parts))
+        missing = [k for k, v in enumerate(found) if v is None]
+        new = [parts[k] for k in missing if parts[k] not in self.young]
+        if new:
+            self._learn(new)
+        for k in missing:
+            found[k] = self.young[parts[k]]
+        return found
 
     def _learn(self, parts: list[str]) -> None:
         """Remember the ids of new parts; letters and the signs after them are tokens apart, so each is looked up once.
@@ -96,14 +138,14 @@ class Encoder:
         stems = pc.utf8_rtrim(column, ENDINGS)
         lettered = pc.and_(pc.utf8_is_alpha(stems), pc.invert(pc.match_substring_regex(stems, r"[\x{2000}-\x{10FFFF}]")))
         whole = pc.equal(pc.binary_length(stems), pc.binary_length(column))
-        words = set(pc.filter(column, pc.and_(lettered, whole)).to_pylist())
+        words = set(_strings(pc.filter(column, pc.and_(lettered, whole))))
         ended = pc.and_(lettered, pc.invert(whole))
-        split = list(zip(pc.filter(column, ended).to_pylist(), pc.filter(stems, ended).to_pylist()))
+        split = list(zip(_strings(pc.filter(column, ended)), _strings(pc.filter(stems, ended))))
+        young.update((stem, old[stem]) for _, stem in split if stem in old and stem not in young)
         words.update(stem for _, stem in split if stem not in young)
-        words = list(words)
-        young.update(zip(words, self._words(words)))
+        young.update(self._words(list(words)))
         others = {(FIRST if self.keeps_spaces else "") + part[len(stem) :] for part, stem in split}
-        for part in pc.filter(column, pc.invert(lettered)).to_pylist():
+        for part in _strings(pc.filter(column, pc.invert(lettered))):
             if self.keeps_spaces and not ((part[1:] or part).isprintable() and part):
                 young[part] = None
             else:
@@ -129,23 +171,24 @@ class Encoder:
             return self._library(texts)
         lists = self._parts(texts)
         bounds, coded = lists.offsets.to_numpy(), lists.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        place = coded.indices.to_numpy().astype(np.int64)
+        distinct = _strings(coded.dictionary)
+        place = coded.indices.to_numpy()
         values = self._known(distinct)
         if self.keeps_spaces:  # no space precedes the first part of a text, which is another thing to encode
+            place = place.copy()
             first = [FIRST + distinct[k] for k in place[bounds[:-1]].tolist()]
             place[bounds[:-1]] = np.arange(len(first)) + len(distinct)
             values += self._known(first)
-        unsafe = np.array([v is None for v in values])[place]
-        merged = np.flatnonzero(np.add.reduceat(unsafe, bounds[:-1], dtype=np.int64)) if len(place) else []
-        ids = np.frombuffer(b"".join(v or b"" for v in values), "<u4")
-        sizes = np.array([len(v or b"") // 4 for v in values])
-        starts = np.cumsum(sizes) - sizes
-        each = sizes[place]
-        ends = np.concatenate([[0], np.cumsum(each)])
-        body = ids[np.arange(ends[-1]) + np.repeat(starts[place] - ends[:-1], each)].tobytes()
-        cuts = (ends[bounds] * 4).tolist()
-        out = [body[a:b] for a, b in zip(cuts, cuts[1:])]
+        pieces = pa.array(values, pa.large_binary())
+        merged = []
+        if pieces.null_count:
+            unsafe = pieces.is_null().to_numpy(zero_copy_only=False)[place]
+            merged = np.flatnonzero(np.add.reduceat(unsafe, bounds[:-1], dtype=np.int64))
+            pieces = pieces.fill_null(b"")
+        joined = pieces.take(pa.array(place))  # the pieces stand one after another in its data
+        cuts = np.frombuffer(joined.buffers()[1], np.int64)[bounds].tolist()
+        body = memoryview(joined.buffers()[2] or b"")
+        out = [bytes(body[a:b]) for a, b in zip(cuts, cuts[1:])]
         for k in merged:
             own = lists[int(k)].as_py()
             out[k] = self._merged([FIRST + own[0], *own[1:]] if self.keeps_spaces else own)

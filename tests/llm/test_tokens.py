@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tablegate.llm import packing, tokens
+from tablegate.llm import packing, tokenizing, tokens
 from tablegate.llm.queries import vocabulary
 from tablegate.llm.tokenizing import Encoder
 from tests.llm.tables import awkward, awkward_rows, empty
@@ -35,6 +35,43 @@ def test_cut_texts_have_the_ids_of_whole_ones(path):
     assert encoder.encode(texts) == want  # from memory
 
 
+@pytest.mark.parametrize("path", [BYTES, PLAIN])
+def test_runs_of_letters_have_the_ids_of_whole_texts(path):
+    draw = random.Random(2)
+    letters = [chr(c) for c in range(0x250) if chr(c).isalpha()] + list("abcdeAB" * 40)
+    words = ["".join(draw.choice(letters) for _ in range(draw.randint(1, 9))) for _ in range(4000)]
+    texts = [" ".join(words[i : i + 50]) + "." for i in range(0, 4000, 50)] + ["İ ſt ŉ ΑΣ ΣΑ straße"]
+    encoder = Encoder(path)
+    assert encoder.wordwise
+    assert encoder.encode(texts) == [x[:-1].tobytes() for x in library(path, texts, 0)]
+
+
+@pytest.mark.parametrize("path", [BYTES, PLAIN])
+def test_words_go_to_the_model_once(path, monkeypatch):
+    monkeypatch.setattr(tokenizing, "KEPT_WORDS", 0)  # every call begins a generation
+    encoder, asked, texts = Encoder(path), [], []
+    words, whole = encoder._words, encoder._library
+    monkeypatch.setattr(encoder, "_words", lambda own: (asked.extend(own), words(own))[1])
+    monkeypatch.setattr(encoder, "_library", lambda own: (texts.extend(own), whole(own))[1])
+    own = ["", "thndster", "größe", "alpha"]
+    encoder.encode([" ".join(own)])
+    assert set(own[1:]) <= set(asked) and not any(w in t for w in own[1:] for t in texts)
+    asked.clear()
+    assert encoder.encode([" ".join(w + "," for w in own)])[0] == library(path, [" ".join(w + "," for w in own)], 0)[0][:-1].tobytes()
+    assert not set(asked) & set(own[1:])
+
+
+@pytest.mark.parametrize("token", ["chung", "g."])
+@pytest.mark.parametrize("path", [BYTES, PLAIN])
+def test_a_vocabulary_with_letters_as_a_token_of_their_own(path, token, tmp_path):
+    found = Tokenizer.from_file(path)
+    found.add_tokens([token])
+    found.save(str(tmp_path / "named.json"))
+    encoder, texts = Encoder(str(tmp_path / "named.json")), ["achtung chung abchungen. x chung"]
+    assert not encoder.cuts
+    assert encoder.encode(texts) == [np.array(found.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
 @given(st.lists(st.integers(0, 2**32 - 1)))
 @settings(max_examples=200, deadline=None)
 def test_values_round_trip(values):
