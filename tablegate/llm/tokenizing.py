@@ -19,7 +19,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 FIRST = " "  # marks the first part of a text; no part holds a space itself
-KEPT_WORDS = 300_000  # pieces remembered by a worker in each of two generations
+KEPT_WORDS, KEPT_BYTES = 1_000_000, 96 << 20  # parts remembered by a worker, and their size with their ids
+KEPT_SIGNS = 10_000  # signs after words, remembered apart
 TOGETHER = 2000  # words that the library gets, or normalizes, as one text
 SETTLED = re.compile("[A-Za-zªµºÀ-ÖØ-öø-\u012f\u0131-\u024f]+")  # letters in all versions of Unicode, but dotted I
 SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}  # bytes that byte-level vocabularies spell as themselves
@@ -29,7 +30,7 @@ SPACE = SPELLING[32]
 ENDINGS = "!\"#$%&()*+,-./:;=?@[]^_`{|}~"  # ASCII signs but the apostrophe and angle brackets
 
 
-def _strings(column: pa.StringArray) -> list[str]:
+def _strings(column: pa.LargeStringArray) -> list[str]:
     """The strings of a column without nulls, by numpy, which makes them several times as fast as to_pylist."""
     return column.to_numpy(zero_copy_only=False).tolist()
 
@@ -64,8 +65,12 @@ class Encoder:
         self.edges = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids that begin a word, or end one
         for token, number in self.tokenizer.get_vocab().items():
             self.edges[number] = token.startswith("\u0120") if self.keeps_spaces else bool(ending) and token.endswith(ending)
-        self.young: dict[str, bytes | None] = {}
-        self.old: dict[str, bytes | None] = {}
+        self._remember(pa.array([], pa.large_string()), pa.array([], pa.large_binary()))
+        self.signs: dict[str, bytes] = {}
+
+    def _remember(self, parts: pa.LargeStringArray, ids: pa.LargeBinaryArray) -> None:
+        """What is known from now on: distinct parts, and their ids (null if a part isn't safe to cut after)."""
+        self.parts, self.ids = parts, ids
 
     def _library(self, texts: Sequence[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
@@ -115,85 +120,97 @@ class Encoder:
                 out += self._library([self._piece(w) for w in own])
         return out
 
-    def _known(self, parts: list[str]) -> list[bytes | None]:
-        """The ids of parts, learned where they are new."""
-        found = list(map(self.young.get, parts))
-        missing = [k for k, v in enumerate(found) if v is None]
-        new = [parts[k] for k in missing if parts[k] not in self.young]
-        if new:
-            self._learn(new)
-        for k in missing:
-            found[k] = self.young[parts[k]]
-        return found
-
-    def _learn(self, parts: list[str]) -> None:
+    def _where(self, parts: pa.LargeStringArray) -> np.ndarray:
+        """Where distinct parts stand among those remembered, -1 for new ones. The few are hashed, the many looked up."""
+        found = pc.index_in(self.parts, value_set=parts).fill_null(-1).to_numpy()
+        place, hits = np.full(len(parts), -1, np.int64), np.flatnonzero(found >= 0)
+        place[found[hits]] = hits
+        return place
+
+    def _places(self, parts: pa.LargeStringArray) -> np.ndarray:
+        """Where distinct parts stand among those remembered; new ones are learned."""
+        place = self._where(parts)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            place[new] = np.arange(len(self.parts), len(self.parts) + len(new))
+            self._learn(parts.take(pa.array(new)))
+        return place
+
+    def _learn(self, new: pa.LargeStringArray) -> None:
         """Remember the ids of new parts; letters and the signs after them are tokens apart, so each is looked up once.
 
-        A part that isn't safe to cut after, as it ends in white space or holds some, is remembered as None.
+        A part that isn't safe to cut after, as it ends in white space or holds some, is remembered as null.
         """
-        young, old = self.young, self.old
-        young.update((p, old[p]) for p in parts if p in old)
-        parts = [p for p in parts if p not in young]
-        column = pa.array(parts, pa.string())
-        stems = pc.utf8_rtrim(column, ENDINGS)
+        stems = pc.utf8_rtrim(new, ENDINGS)
         lettered = pc.and_(pc.utf8_is_alpha(stems), pc.invert(pc.match_substring_regex(stems, r"[\x{2000}-\x{10FFFF}]")))
-        whole = pc.equal(pc.binary_length(stems), pc.binary_length(column))
-        words = set(_strings(pc.filter(column, pc.and_(lettered, whole))))
-        ended = pc.and_(lettered, pc.invert(whole))
-        split = list(zip(_strings(pc.filter(column, ended)), _strings(pc.filter(stems, ended))))
-        young.update((stem, old[stem]) for _, stem in split if stem in old and stem not in young)
-        words.update(stem for _, stem in split if stem not in young)
-        young.update(self._words(list(words)))
-        others = {(FIRST if self.keeps_spaces else "") + part[len(stem) :] for part, stem in split}
-        for part in _strings(pc.filter(column, pc.invert(lettered))):
-            if self.keeps_spaces and not ((part[1:] or part).isprintable() and part):
-                young[part] = None
-            else:
-                others.add(part)
-        ordered = [x for x in others if x not in young]
-        young.update(zip(ordered, self._library([self._piece(x) for x in ordered])))
-        first = FIRST if self.keeps_spaces else ""
-        young.update((part, young[stem] + young[first + part[len(stem) :]]) for part, stem in split)
-
-    def _merged(self, parts: list[str]) -> bytes:
+        stems, whole = stems.filter(lettered), new.filter(lettered)
+        words = stems.dictionary_encode()
+        place = self._where(words.dictionary)
+        unknown = words.dictionary.filter(pa.array(place < 0))
+        asked = _strings(unknown)
+        found = self._words(asked)
+        fresh = pa.array([found[w] for w in asked], pa.large_binary())
+        place[place < 0] = np.arange(len(self.ids), len(self.ids) + len(fresh))
+        bodies = pa.concat_arrays([self.ids, fresh]).take(pa.array(place[words.indices.to_numpy()]))
+        signs = [part[n:] for part, n in zip(_strings(whole), pc.utf8_length(stems).to_numpy().tolist())]
+        if len(self.signs) > KEPT_SIGNS:
+            self.signs = {}
+        more = [x for x in dict.fromkeys(signs) if x not in self.signs]
+        self.signs.update(zip(more, self._library(more)))
+        ended = pa.array([self.signs[x] for x in signs], pa.large_binary())
+        others, safe = _strings(new.filter(pc.invert(lettered))), []
+        if self.keeps_spaces:
+            safe = [bool((part[1:] or part).isprintable() and part) for part in others]
+        told = iter(self._library([self._piece(part) for part, x in zip(others, safe or [True] * len(others)) if x]))
+        rest = pa.array([next(told) if x else None for x in safe or [True] * len(others)], pa.large_binary())
+        both = pa.concat_arrays([pc.binary_join_element_wise(bodies, ended, pa.scalar(b"", pa.large_binary())), rest])
+        own = both.take(pa.array(np.argsort(np.argsort(~lettered.to_numpy(zero_copy_only=False), kind="stable"))))
+        apart = pc.invert(pc.is_in(unknown, value_set=whole))  # words that only stand before signs
+        self._remember(
+            pa.concat_arrays([self.parts, new, unknown.filter(apart)]), pa.concat_arrays([self.ids, own, fresh.filter(apart)])
+        )
+
+    def _merged(self, parts: list[str], unsafe: list[bool]) -> bytes:
         """Ids of a text of which some parts aren't safe to cut after: those go together with what follows."""
         runs, held = [], ""
-        for part in parts:
+        for part, kept in zip(parts, unsafe):
             held += self._piece(part)
-            if self.young[part] is not None:
+            if not kept:
                 runs.append(held)
                 held = ""
         return b"".join(self._library([*runs, held]))
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text."""
-        if not self.cuts:
+        if not self.cuts or not texts:
             return self._library(texts)
         lists = self._parts(texts)
         bounds, coded = lists.offsets.to_numpy(), lists.flatten().dictionary_encode()
-        distinct = _strings(coded.dictionary)
-        place = coded.indices.to_numpy()
-        values = self._known(distinct)
+        distinct, order = coded.dictionary.cast(pa.large_string()), coded.indices.to_numpy()
         if self.keeps_spaces:  # no space precedes the first part of a text, which is another thing to encode
-            place = place.copy()
-            first = [FIRST + distinct[k] for k in place[bounds[:-1]].tolist()]
-            place[bounds[:-1]] = np.arange(len(first)) + len(distinct)
-            values += self._known(first)
-        pieces = pa.array(values, pa.large_binary())
+            first = distinct.take(pa.array(order[bounds[:-1]]))
+            first = pc.binary_join_element_wise(pa.scalar(FIRST, pa.large_string()), first, pa.scalar("", pa.large_string()))
+            first, order = first.dictionary_encode(), order.copy()
+            order[bounds[:-1]] = first.indices.to_numpy() + len(distinct)
+            distinct = pa.concat_arrays([distinct, first.dictionary])
+        place = self._places(distinct)
+        joined = self.ids.take(pa.array(place[order]))  # the parts' ids stand one after another in its data
         merged = []
-        if pieces.null_count:
-            unsafe = pieces.is_null().to_numpy(zero_copy_only=False)[place]
+        if joined.null_count:
+            unsafe = joined.is_null().to_numpy(zero_copy_only=False)
             merged = np.flatnonzero(np.add.reduceat(unsafe, bounds[:-1], dtype=np.int64))
-            pieces = pieces.fill_null(b"")
-        joined = pieces.take(pa.array(place))  # the pieces stand one after another in its data
+            joined = joined.fill_null(b"")
         cuts = np.frombuffer(joined.buffers()[1], np.int64)[bounds].tolist()
         body = memoryview(joined.buffers()[2] or b"")
         out = [bytes(body[a:b]) for a, b in zip(cuts, cuts[1:])]
         for k in merged:
             own = lists[int(k)].as_py()
-            out[k] = self._merged([FIRST + own[0], *own[1:]] if self.keeps_spaces else own)
-        if len(self.young) > KEPT_WORDS:
-            self.young, self.old = {}, self.young
+            own = [FIRST + own[0], *own[1:]] if self.keeps_spaces else own
+            out[k] = self._merged(own, unsafe[bounds[k] : bounds[k + 1]].tolist())
+        if len(self.parts) > KEPT_WORDS or self.parts.nbytes + self.ids.nbytes > KEPT_BYTES:
+            self._remember(distinct, self.ids.take(pa.array(place)))  # anew, from the words of these texts
+            if self.parts.nbytes + self.ids.nbytes > KEPT_BYTES:
+                self._remember(self.parts[:0], self.ids[:0])
         return [b"" if not t else o for t, o in zip(texts, out)]
 
 

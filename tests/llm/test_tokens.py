@@ -61,6 +61,21 @@ def test_words_go_to_the_model_once(path, monkeypatch):
     assert not set(asked) & set(own[1:])
 
 
+@pytest.mark.parametrize("most_words, most_bytes", [(0, 1 << 30), (10, 1 << 30), (1000, 2000), (1000, 0)])
+@pytest.mark.parametrize("path", [BYTES, PLAIN])
+def test_what_is_remembered_is_bounded_in_words_and_bytes(path, most_words, most_bytes, monkeypatch):
+    monkeypatch.setattr(tokenizing, "KEPT_WORDS", most_words)
+    monkeypatch.setattr(tokenizing, "KEPT_BYTES", most_bytes)
+    monkeypatch.setattr(tokenizing, "KEPT_SIGNS", 2)
+    encoder, draw = Encoder(path), random.Random(3)
+    texts = ["ab, ab. ab! cd? " + "x1" * draw.randint(1, 900) + "\t\tgrün," + "".join(draw.choice("abé") for _ in range(9)) for _ in range(60)]
+    want = [x[:-1].tobytes() for x in library(path, texts, 0)]
+    for i in range(0, 60, 4):
+        assert encoder.encode(texts[i : i + 4]) == want[i : i + 4]
+        assert len(encoder.parts) <= max(most_words, 40) and encoder.parts.nbytes + encoder.ids.nbytes <= max(most_bytes, 100)
+    assert len(set(encoder.parts.to_pylist())) == len(encoder.parts) == len(encoder.ids)
+
+
 @pytest.mark.parametrize("token", ["chung", "g."])
 @pytest.mark.parametrize("path", [BYTES, PLAIN])
 def test_a_vocabulary_with_letters_as_a_token_of_their_own(path, token, tmp_path):
